@@ -5,11 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import packing, token_counts, token_files
+from textloom.llm import exact_dedup, mixing, packing, sharding, simhash, token_counts, token_files
 from textloom.llm.common import documents
 from textloom.session import Workspace
 
 
+def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: the row that stays in its group. The lower half of the ids is the history."""
+    docs = documents(spark, sf_dir)
+    low, high = docs.agg(F.min("doc_id"), F.max("doc_id")).first()
+    found = exact_dedup.exact_dedup(docs, old=f"doc_id < {((low or 0) + (high or 0)) // 2}")
+    return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
+
+
+def op2_balanced_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: its shard of 40 and its slot there; shards' row counts are at most one apart."""
+    found = sharding.shard(documents(spark, sf_dir))
+    return found.select("doc_id", "size", "text_crc32", "law", "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per piece of every document: its place, its ids' crc32 and its sequence."""
     work = Workspace(spark, "op3")
@@ -22,6 +36,20 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(documents(spark, sf_dir))
 
 
+def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: its source's target and how many of its words the mix takes."""
+    work = Workspace(spark, "op8")
+    sized = work.keep(mixing.sizes(documents(spark, sf_dir)), "sizes")
+    mixed = mixing.mix(sized, mixing.targets(sized))
+    return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
+
+
+def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: its fingerprint and the smallest doc_id that links of at most two bits reach."""
+    found = simhash.near_duplicates(documents(spark, sf_dir))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("mark"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document, read back from the written files: its first id's place, number of ids and their crc32."""
     path = Workspace(spark, "op10").path("token-files")
@@ -31,8 +59,12 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_exact_dedup": op1_exact_dedup,
+    "op2_balanced_sharding": op2_balanced_sharding,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op5_token_counts": op5_token_counts,
+    "op8_source_mixing": op8_source_mixing,
+    "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_token_files": op10_token_files,
 }
 
