@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import exact_dedup, mixing, packing, sharding, simhash, token_counts, token_files
+from textloom.llm import exact_dedup, mixing, packing, sharding, simhash, substring_dedup, token_counts, token_files
 from textloom.llm.common import documents
 from textloom.session import Workspace
 
@@ -36,6 +36,12 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(documents(spark, sf_dir))
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: its words, how many repeated windows remove, and the hash of what stays."""
+    found = substring_dedup.remove_repeats(documents(spark, sf_dir))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: its source's target and how many of its words the mix takes."""
     work = Workspace(spark, "op8")
@@ -63,6 +69,7 @@ QUERIES = {
     "op2_balanced_sharding": op2_balanced_sharding,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op5_token_counts": op5_token_counts,
+    "op6_substring_dedup": op6_substring_dedup,
     "op8_source_mixing": op8_source_mixing,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_token_files": op10_token_files,
