@@ -51,7 +51,7 @@ def _byte_letters() -> dict[int, str]:
 _LETTERS = _byte_letters()
 
 
-class _Memo(dict):
+class Memo(dict):
     """The ids of recent keys: two generations of at most `cap` keys, the older one dropped whole."""
 
     def __init__(self, make, cap: int):
@@ -88,9 +88,9 @@ class Encoder:
         self.words = self.model.end_of_word_suffix is not None
         self.dtype = np.dtype("<u2" if self.whole.get_vocab_size() <= 1 << 16 else "<u4")
         self._pieces = regex.compile(WORD_PIECES if self.words else BYTE_PIECES)
-        self._ids = _Memo(self._chunk_ids, memo)
-        self._piece = _Memo(self._piece_ids, memo)
-        self._spans = _Memo(self._chunk_spans, memo)
+        self._ids = Memo(self._chunk_ids, memo)
+        self._piece = Memo(self._piece_ids, memo)
+        self._spans = Memo(self._chunk_spans, memo)
         self._get, self._get_piece, self._get_spans = self._ids.__getitem__, self._piece.__getitem__, self._spans.__getitem__
 
     def ids(self, text: str | None) -> np.ndarray:
