@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import exact_dedup, mixing, packing, sharding, simhash, substring_dedup, token_counts, token_files
+from textloom.llm import exact_dedup, mixing, packing, sharding, simhash, substring_dedup, token_counts, token_files, topk_search
 from textloom.llm.common import documents
 from textloom.session import Workspace
 
@@ -42,6 +42,11 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op7_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten highest inner products of every vector whose id is divisible by 100, over all other vectors."""
+    return topk_search.search(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), "vec_id % 100 = 0")
+
+
 def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: its source's target and how many of its words the mix takes."""
     work = Workspace(spark, "op8")
@@ -70,6 +75,7 @@ QUERIES = {
     "op3_best_fit_packing": op3_best_fit_packing,
     "op5_token_counts": op5_token_counts,
     "op6_substring_dedup": op6_substring_dedup,
+    "op7_topk_search": op7_topk_search,
     "op8_source_mixing": op8_source_mixing,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_token_files": op10_token_files,
