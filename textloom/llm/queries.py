@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import exact_dedup, mixing, packing, sharding, simhash, substring_dedup, token_counts, token_files, topk_search
+from textloom.llm import exact_dedup, mixing, packing, sharding, simhash, substring_dedup, token_counts, token_files, topk_search, toxicity
 from textloom.llm.common import documents
 from textloom.session import Workspace
 
@@ -31,6 +31,14 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.assign(work.keep(pieces, "pieces")).drop("row_key")
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: whether its label is held out, its score, and the label the score predicts."""
+    docs = documents(spark, sf_dir)
+    model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    scored = toxicity.score(docs.select("doc_id", "text"), model)
+    return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every line of every document."""
     return token_counts.token_counts(documents(spark, sf_dir))
@@ -73,6 +81,7 @@ QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_balanced_sharding": op2_balanced_sharding,
     "op3_best_fit_packing": op3_best_fit_packing,
+    "op4_toxicity": op4_toxicity,
     "op5_token_counts": op5_token_counts,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_topk_search": op7_topk_search,
