@@ -7,7 +7,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: A row's key is its task's number times this, plus its place in the task.
 KEY_STRIDE = 1 << 33
@@ -27,13 +28,20 @@ def row_keys(taken: int, n: int) -> np.ndarray:
     return np.arange(first, first + n, dtype=np.int64)
 
 
-def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, pa.RecordBatch]]:
+def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, pa.RecordBatch]]:
+    """Each batch with its rows' keys: those of its first column, or new ones where that is null."""
     taken = 0
     for batch in batches:
-        yield row_keys(taken, batch.num_rows), batch
+        given = batch.column(0)
+        yield given if not given.null_count else pa.array(row_keys(taken, batch.num_rows)), batch
         taken += batch.num_rows
 
 
+def key_column(row_col: str | None) -> Column:
+    """The first column that keyed() expects. A row_col must be unique and free of nulls."""
+    return (F.col(row_col) if row_col else F.lit(None)).cast("long").alias("_key")
+
+
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of a whole string column, and where each row's text begins (one more at the end); null is empty."""
     column = column.fill_null("") if column.null_count else column

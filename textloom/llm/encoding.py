@@ -11,6 +11,7 @@ whose white space makes the safe points doubtful goes to the library whole.
 from __future__ import annotations
 
 import os
+from array import array
 
 import numpy as np
 import regex
@@ -88,10 +89,10 @@ class Encoder:
         self.words = self.model.end_of_word_suffix is not None
         self.dtype = np.dtype("<u2" if self.whole.get_vocab_size() <= 1 << 16 else "<u4")
         self._pieces = regex.compile(WORD_PIECES if self.words else BYTE_PIECES)
-        self._ids = Memo(self._chunk_ids, memo)
-        self._piece = Memo(self._piece_ids, memo)
+        self._code = self.dtype.char
+        self._ids = Memo(self._word_ids if self.words else self._chunk_ids, memo)
         self._spans = Memo(self._chunk_spans, memo)
-        self._get, self._get_piece, self._get_spans = self._ids.__getitem__, self._piece.__getitem__, self._spans.__getitem__
+        self._get, self._get_spans = self._ids.__getitem__, self._spans.__getitem__
 
     def ids(self, text: str | None) -> np.ndarray:
         """Token ids of a whole text; null and empty texts have none."""
@@ -128,17 +129,28 @@ class Encoder:
                 return inside + np.repeat(np.cumsum(sizes) - sizes, counts)[:, None]
         return np.array(self.whole.encode(text, add_special_tokens=False).offsets, np.int64).reshape(-1, 2)
 
+    def _word_ids(self, chunk: str) -> bytes:
+        if not chunk:
+            return b""
+        if max(chunk) >= "\u0250":  # beyond Latin letters, normalisation is the library's business
+            return array(self._code, self.whole.encode(chunk, add_special_tokens=False).ids).tobytes()
+        chunk = chunk.lower()
+        if chunk.isalpha():
+            return self._merged(chunk)
+        pieces = self._pieces.findall(chunk)
+        return self._merged(chunk) if pieces == [chunk] else b"".join(map(self._get, pieces))
+
     def _chunk_ids(self, chunk: str) -> bytes | None:
-        if self.words:
-            if not chunk.isascii():  # normalisation beyond lower-casing is the library's business
-                return np.array(self.whole.encode(chunk, add_special_tokens=False).ids, self.dtype).tobytes()
-            return b"".join(map(self._get_piece, self._pieces.findall(chunk.lower())))
+        """Ids of a chunk that is one piece, or of its pieces, each of which is a chunk too."""
+        if chunk[1:].isalpha() and (chunk[0] == " " or chunk[0].isalpha()):
+            return self._merged(chunk)
         if _doubtful(chunk):
             return None
-        return b"".join(map(self._get_piece, self._pieces.findall(chunk)))
+        pieces = self._pieces.findall(chunk)
+        return self._merged(chunk) if pieces == [chunk] else b"".join(map(self._get, pieces))
 
-    def _piece_ids(self, piece: str) -> bytes:
-        return np.array([t.id for t in self._tokens(piece)], self.dtype).tobytes()
+    def _merged(self, piece: str) -> bytes:
+        return array(self._code, [t.id for t in self._tokens(piece)]).tobytes()
 
     def _tokens(self, piece: str):
         return self.model.tokenize(piece.encode().decode("latin-1").translate(_LETTERS))

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.common import keyed
+from textloom.llm.common import key_column, keyed
 from textloom.session import Workspace
 
 #: Digests in one shard of the index, about; a shard is built and probed in one task's memory.
@@ -19,7 +19,7 @@ _HASHED = "row_key long, doc_id long, digest binary, old boolean"
 _INDEX = "shard int, n int, levels array<binary>, slots binary, keeps array<struct<doc_id:long,row_key:long>>, counts array<long>"
 
 
-def digests(docs: DataFrame, old: str = "false", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def digests(docs: DataFrame, old: str = "false", id_col: str = "doc_id", text_col: str = "text", row_col: str | None = None) -> DataFrame:
     """A row key, the id, the SHA-256 of the text with A-Z lower-cased (null: empty), and whether the row is old.
 
     old is an SQL condition on docs that says which rows are history. Texts stay where
@@ -28,12 +28,13 @@ def digests(docs: DataFrame, old: str = "false", id_col: str = "doc_id", text_co
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for keys, batch in keyed(batches):
-            texts = batch.column(1).cast(pa.large_binary()).to_pylist()
+            texts = batch.column(2).cast(pa.large_binary()).to_pylist()
             found = [hashlib.sha256((t or b"").lower()).digest() for t in texts]
-            yield pa.RecordBatch.from_arrays([pa.array(keys), batch.column(0), pa.array(found, pa.binary()), batch.column(2)], names=["row_key", "doc_id", "digest", "old"])
+            yield pa.RecordBatch.from_arrays([keys, batch.column(1), pa.array(found, pa.binary()), batch.column(3)], names=["row_key", "doc_id", "digest", "old"])
 
     is_old = F.coalesce(F.expr(old).cast("boolean"), F.lit(False))
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string"), is_old).mapInArrow(hashed, _HASHED)
+    picked = docs.select(key_column(row_col), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string"), is_old)
+    return picked.mapInArrow(hashed, _HASHED)
 
 
 def _word(digest: np.ndarray, seed: int) -> np.ndarray:

@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from textloom.llm.common import keyed, word_counts
+from textloom.llm.common import key_column, keyed, word_counts
 from textloom.operators.ranking import bucket_totals, buckets_for
 from textloom.session import Workspace
 
@@ -17,14 +17,14 @@ MOST = 3
 SEED = 8
 
 
-def sizes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+def sizes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", row_col: str | None = None) -> DataFrame:
     """row_key, doc_id, source and size (words of the text, null: 0) of each document."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for keys, batch in keyed(batches):
-            yield pa.RecordBatch.from_arrays([pa.array(keys), batch.column(0), batch.column(1), pa.array(word_counts(batch.column(2)))], names=["row_key", "doc_id", "source", "size"])
+            yield pa.RecordBatch.from_arrays([keys, batch.column(1), batch.column(2), pa.array(word_counts(batch.column(3)))], names=["row_key", "doc_id", "source", "size"])
 
-    picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"), F.col(text_col).cast("string"))
+    picked = docs.select(key_column(row_col), F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"), F.col(text_col).cast("string"))
     return picked.mapInArrow(counted, "row_key long, doc_id long, source string, size long")
 
 

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.common import keyed
+from textloom.llm.common import key_column, keyed
 from textloom.operators.components import connected_components
 from textloom.session import Workspace
 
@@ -21,7 +21,7 @@ SEED = 42
 _HASH_ROWS = 1 << 18
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text", row_col: str | None = None) -> DataFrame:
     """row_key, doc_id and the 64-bit SimHash (as a signed long) of each document's word shingles.
 
     A-Z is lower-cased, words are `[^\\x20\\x09-\\x0D]+`, shingles count with their repeats;
@@ -35,7 +35,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id"
             held: list[list[int]] = []
             rows: list[int] = []
             size = 0
-            for row, text in enumerate(batch.column(1).cast(pa.large_binary()).to_pylist()):
+            for row, text in enumerate(batch.column(2).cast(pa.large_binary()).to_pylist()):
                 found = _hashes(text, shingle)
                 if found:
                     held.append(found)
@@ -46,9 +46,10 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id"
                     held, rows, size = [], [], 0
             if rows:
                 marks[rows] = _majority(held)
-            yield pa.RecordBatch.from_arrays([pa.array(keys), batch.column(0), pa.array(marks.view(np.int64))], names=["row_key", "doc_id", "mark"])
+            yield pa.RecordBatch.from_arrays([keys, batch.column(1), pa.array(marks.view(np.int64))], names=["row_key", "doc_id", "mark"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string")).mapInArrow(made, "row_key long, doc_id long, mark long")
+    picked = docs.select(key_column(row_col), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string"))
+    return picked.mapInArrow(made, "row_key long, doc_id long, mark long")
 
 
 def _hashes(text: bytes | None, shingle: int) -> list[int]:
@@ -154,12 +155,13 @@ def _placed(values: np.ndarray, free: tuple[int, ...]) -> np.ndarray:
 
 
 def near_duplicates(docs: DataFrame, apart: int = BITS_APART, id_col: str = "doc_id", text_col: str = "text", marked: DataFrame | None = None) -> DataFrame:
-    """One row a document: row_key, doc_id, mark and component_id, the smallest doc_id it reaches by links.
+    """One row a document: row_key, doc_id, mark, component_id (the smallest doc_id it reaches by links) and component.
 
     Documents link when their fingerprints differ in at most `apart` bits. Equal
     fingerprints are one node, so copies of any number cost one row; components are found
-    over distinct fingerprints. Null ids belong to components but never name one unless
-    all are null. Other columns are not read.
+    over distinct fingerprints. component names a component by one of its fingerprints.
+    Null ids belong to components but never give component_id unless all are null. Other
+    columns are not read.
     """
     work = Workspace(docs.sparkSession, "simhash")
     marked = marked if marked is not None else work.keep(fingerprints(docs, id_col=id_col, text_col=text_col), "marks")
@@ -169,5 +171,5 @@ def near_duplicates(docs: DataFrame, apart: int = BITS_APART, id_col: str = "doc
     grouped = nodes.join(found, nodes.mark == found.node, "left").select("mark", "first", F.coalesce("component", "mark").alias("component"))
     grouped = work.keep(grouped, "groups")
     least = grouped.groupBy("component").agg(F.min("first").alias("component_id"))
-    names = grouped.join(least, "component").select("mark", "component_id")
-    return marked.join(names, "mark").select("row_key", "doc_id", "mark", "component_id")
+    names = grouped.join(least, "component").select("mark", "component_id", "component")
+    return marked.join(names, "mark").select("row_key", "doc_id", "mark", "component_id", "component")

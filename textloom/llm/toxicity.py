@@ -277,7 +277,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", out: str = "sco
     schema = docs.select(*kept).schema.add(out, "double")
     kind = pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64()), ("toxic", pa.int32())]))
     if evidence:
-        schema = schema.add(evidence, ArrayType(StructType().add("doc_id", "long").add("cosine", "double").add("toxic", "int")))
+        schema = schema.add(evidence, ArrayType(StructType().add("doc_id", "long").add("cosine", "double").add("toxic", "integer")))
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
