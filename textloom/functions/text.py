@@ -72,10 +72,16 @@ def pieces(text: Column | str) -> Column:
 
 
 def shingles(tokens: Column, n: int, least: int = 0) -> Column:
-    """Distinct n-grams of an array, joined by spaces; none when there are fewer than n (or `least`) tokens."""
-    size = F.size(tokens)
-    grams = F.transform(F.sequence(F.lit(1), F.greatest(size - n + 1, F.lit(1))), lambda i: F.array_join(F.slice(tokens, i, n), " "))
-    return F.when(size >= max(n, least), F.array_distinct(grams)).otherwise(F.array().cast("array<string>"))
+    """Distinct n-grams of an array, joined by spaces; none when there are fewer than n (or `least`) tokens.
+
+    Shifted copies are zipped, rather than sliced at each place in a lambda, where the
+    array's own expression would be computed again for every place.
+    """
+    count = F.greatest(F.size(tokens) - n + 1, F.lit(0))
+    grams = F.slice(tokens, F.lit(1), count)
+    for k in range(1, n):
+        grams = F.zip_with(grams, F.slice(tokens, F.lit(k + 1), count), lambda a, b: F.concat(a, F.lit(" "), b))
+    return F.when(F.size(tokens) >= max(n, least), F.array_distinct(grams)).otherwise(F.array().cast("array<string>"))
 
 
 def hash32(value: Column | str) -> Column:

@@ -230,7 +230,8 @@ def meta_prefix(spark, sf_dir):
 # ---- shingles and near-duplicates
 
 _PIECES = "regexp_split_to_array(text, '[^A-Za-z_0-9]')"
-_GRAMS = f"select doc_id, unnest(list_distinct(list_transform(range(1, len(p) - 3), lambda i: array_to_string(list_slice(p, i, i + 4), ' ')))) gram from (select doc_id, {_PIECES} p from documents) where len(p) >= 5"
+_GRAMS = f"""select distinct doc_id, gram from (select doc_id, w || ' ' || lead(w, 1) over o || ' ' || lead(w, 2) over o || ' ' || lead(w, 3) over o || ' ' || lead(w, 4) over o gram
+  from (select doc_id, unnest({_PIECES}) w, generate_subscripts({_PIECES}, 1) i from documents) window o as (partition by doc_id order by i)) where gram is not null"""
 _H32 = "('0x' || substr(h, 7, 2) || substr(h, 5, 2) || substr(h, 3, 2) || substr(h, 1, 2))::bigint"
 
 
