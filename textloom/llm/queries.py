@@ -90,4 +90,25 @@ QUERIES = {
     "op10_token_files": op10_token_files,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+_WORD = "[^\\x20\\x09-\\x0D]+"
+
+#: What SQL can express. Perfect balance, packing, sampling, fingerprints, trained scores and token ids are beyond it.
+ORACLE_SQL: dict[str, str] = {
+    "op1_exact_dedup": """
+        select doc_id, max(doc_id) over g keep_id, count(*) over g group_size, doc_id = max(doc_id) over g kept, sha256(t) text_sha256
+        from (select doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') t from documents)
+        window g as (partition by t)""",
+    "op6_substring_dedup": f"""
+        with d as (select doc_id, regexp_extract_all(coalesce(text, ''), '{_WORD}') w from documents),
+        t as (select doc_id, unnest(w) w, generate_subscripts(w, 1) i, len(w) n from d),
+        s as (select *, string_agg(w, ' ') over (partition by doc_id order by i rows between current row and 34 following) s from t),
+        r as (select *, case when i <= n - 34 and count(*) over (partition by s, i <= n - 34) > 1 then i end start from s),
+        c as (select *, coalesce(i - max(start) over (partition by doc_id order by i) < 35, false) gone from r),
+        k as (select doc_id, count(*) n, count(*) filter (gone) removed, string_agg(w, ' ' order by i) filter (not gone) kept from c group by doc_id)
+        select doc_id, coalesce(n, 0) n_words, coalesce(removed, 0) n_removed, sha256(coalesce(kept, '')) kept_sha256 from documents left join k using (doc_id)""",
+    "op7_topk_search": """
+        with v as (select vec_id, list_transform(embedding, lambda x: floor(1024 * x::double)::bigint) e from embeddings
+          where len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+        s as (select a.vec_id query_id, b.vec_id, list_sum(list_transform(list_zip(a.e, b.e), lambda p: p[1] * p[2]))::bigint score from v a, v b where a.vec_id % 100 = 0 and a.vec_id <> b.vec_id)
+        select query_id, rank, vec_id, score from (select *, (row_number() over (partition by query_id order by score desc, vec_id))::int rank from s) where rank <= 10""",
+}
