@@ -86,15 +86,18 @@ def by_users_and_size(found: DataFrame) -> DataFrame:
 
 
 def masked_users(found: DataFrame) -> DataFrame:
-    """Authors named username_0, username_1, ... by first appearance, in events and texts."""
+    """Authors named username_0, username_1, ... by first appearance, in events and, replaced in that order, in texts."""
     authors = F.array_distinct(F.transform("events", lambda e: e["author"]))
     numbered = F.transform(F.filter(authors, lambda a: a.isNotNull() & (a != "")), lambda a, i: F.struct(a.alias("a"), F.concat(F.lit("username_"), i.cast("string")).alias("to")))
 
     def mask(text: Column, names: Column) -> Column:
         return F.aggregate(names, text, lambda t, n: F.replace(t, n["a"], n["to"]))
 
+    def named(author: Column, names: Column) -> Column:
+        return F.coalesce(F.try_element_at(F.filter(names, lambda n: n["a"] == author), F.lit(1))["to"], author)
+
     return found.withColumn("_n", numbered).withColumn(
-        "events", F.transform("events", lambda e: F.struct(mask(e["author"], F.col("_n")).alias("author"), mask(e["text"], F.col("_n")).alias("text")))
+        "events", F.transform("events", lambda e: F.struct(named(e["author"], F.col("_n")).alias("author"), mask(e["text"], F.col("_n")).alias("text")))
     ).drop("_n")
 
 
