@@ -4,9 +4,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from textloom.functions import code, ner, pii
+from textloom.functions import code, ner, pii, sequences
 from textloom.functions import text as T
-from textloom.operators import components, discussions, fim, graph, interactions, lines, minhash, ranking, testcases, vocabulary
+from textloom.operators import components, discussions, evaluation, fim, graph, interactions, lines, minhash, ranking, testcases, vocabulary
 from textloom.sources import files, sinks
 
 
@@ -168,3 +168,18 @@ def test_keep_first_and_bands(spark):
     assert {(r.k, r.o) for r in vocabulary.keep_first(rows, ["k"], ["o"]).collect()} == {("a", 1), (None, 4)}
     words = spark.createDataFrame([("a",), ("ab",), ("abcdefg",), ("x" * 40,)], "w string").select(vocabulary.word_band("w").alias("b")).collect()
     assert [r.b for r in words] == [None, 6, 11, 1000]
+
+
+def test_sequences():
+    assert sequences.is_subsequence([1, 3], [1, 2, 3]) and not sequences.is_subsequence([3, 1], [1, 2, 3])
+    assert sequences.repeated_run("xxabcabcabcyy") in ("abc", "abcabc"[:3]) and sequences.repeated_run("abcdef") == ""
+    source = "a = 'x\\'\\n'\nb = \"\"\"one\ntwo\"\"\"\nc"
+    assert sequences.code_lines(source) == source.split("\n")[:1] + ['b = """one\ntwo"""', "c"] and "\n".join(sequences.code_lines(source)) == source
+
+
+def test_evaluation_set(spark):
+    rows = spark.range(400).select(F.col("id"), (F.col("id") % 30).cast("string").alias("filename"), F.lit("p").alias("prompt"), (F.col("id") % 90).cast("string").alias("answer"))
+    found = evaluation.evaluation_set(rows, files=10, rows_most=100, keep=20).collect()
+    assert 0 < len(found) <= 20 and len({r.filename for r in found}) <= 10 and len({r.answer for r in found}) == len(found)
+    scores = evaluation.prompt_scores(rows.withColumn("same", F.col("answer")), "answer", ["same", "prompt"]).collect()
+    assert {r.variant: r["mean"] for r in scores} == {"same": 100.0, "prompt": 0.0}

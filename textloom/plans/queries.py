@@ -7,9 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.functions import pii
+from textloom.functions import pii, sequences
 from textloom.functions import text as T
-from textloom.operators import decontamination, discussions, filters, fim, graph, interactions, lines, metadata, minhash, vocabulary
+from textloom.operators import decontamination, discussions, evaluation, filters, fim, graph, interactions, lines, metadata, minhash, vocabulary
 from textloom.session import Workspace
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -516,3 +516,31 @@ def json_extract_props(spark, sf_dir):
     return table(spark, sf_dir, "events").groupBy("event_type").agg(F.count("*").alias("n"), F.sum(k).alias("k_sum"))
 
 
+
+
+@query("select doc_id, round(length(text) / len(regexp_extract_all(text, '[A-Za-z0-9_]+|[^A-Za-z0-9_\\s]')), 4)::double chars_per_token from documents")
+def fertility(spark, sf_dir):
+    return docs(spark, sf_dir).select("doc_id", r4(sequences.chars_per_token("text")).alias("chars_per_token"))
+
+
+@query(f"select p_partkey, lower(replace(p_name, ' ', '-')) name from part")
+def language_names(spark, sf_dir):
+    return table(spark, sf_dir, "part").select("p_partkey", T.language_name("p_name").alias("name"))
+
+
+@query("""select n_imports, count(*) n_files from (select o_custkey, count(distinct o_orderstatus) n_imports from orders group by o_custkey) group by n_imports""")
+def import_distribution(spark, sf_dir):
+    rows = table(spark, sf_dir, "orders").select(F.lit("r").alias("repo"), F.col("o_custkey").alias("path"), F.col("o_orderstatus").alias("name"))
+    return evaluation.import_counts(rows)
+
+
+@query("""select user_id, event_type, count(*) filter (lower(event_type) in ('click', 'error')) n_in, count(*) filter (lower(event_type) not in ('click', 'error')) n_out from events group by all""")
+def in_repository_counts(spark, sf_dir):
+    rows = table(spark, sf_dir, "events").select(F.col("event_id").alias("id"), F.col("event_type").alias("department"), F.col("user_id").alias("user"), F.concat(F.lit("src/"), "event_type").alias("filename"))
+    found = evaluation.in_repository(rows, spark.createDataFrame([("click",), ("error",)], "name string"))
+    return found.select(F.col("user").alias("user_id"), F.col("department").alias("event_type"), "n_in", "n_out")
+
+
+@query()
+def repeated_runs(spark, sf_dir):
+    return docs(spark, sf_dir).select("doc_id", sequences.repeats("text").alias("run"))
