@@ -113,7 +113,7 @@ def test_answers():
 def test_commits_and_discussions(spark):
     old = "\n".join(f"line {i} of the file" for i in range(40))
     new = old.replace("line 5 of", "line five of").replace("line 9 of", "line nine of")
-    rows = spark.createDataFrame([(1, "Fix the off by one error", old, new, "me/a,you/b"), (2, "v1.2.3", old, new, "you/b"), (3, "Update readme now", old, new, "x/y")], "id long, subject string, old_contents string, new_contents string, repos string")
+    rows = spark.createDataFrame([(1, "Fix the off by one error here", old, new, "me/a,you/b"), (2, "v1.2.3", old, new, "you/b"), (3, "Update readme now", old, new, "x/y")], "id long, subject string, old_contents string, new_contents string, repos string")
     kept = discussions.commit_sample(discussions.commit_filter(rows), "id").collect()
     assert [r.id for r in kept] == [1] and kept[0].change.inserted == 2 and kept[0].content.startswith("<commit_before>")
     left = discussions.without_opted_out(rows, spark.createDataFrame([("YOU",)], "owner string"), "id").collect()

@@ -123,21 +123,21 @@ def detect(text: Column | str) -> Column:
     return spans(T.col(text))
 
 
-#: What takes the place of each kind. The pools are invented and belong to nobody.
-POOLS = {
-    "EMAIL": tuple(f"{n}@example.com" for n in ("ada", "ben", "cleo", "dev", "eli", "fay", "gus", "hal", "ivy", "jon")),
-    "KEY": tuple(f"redacted-key-{i}" for i in range(10)),
-    "IP_ADDRESS": tuple(f"192.0.2.{i}" for i in (10, 20, 30, 40, 50)),
-}
+#: Private addresses that take the place of public ones.
+IPV4_POOL = ("172.16.31.10", "172.16.58.3", "172.16.17.32", "192.168.127.12", "192.168.3.11")
+IPV6_POOL = ("fd00:c2b6:b24b:be67:2827:688d:e6a1:6a3b", "fd00:a516:7c1b:17cd:6d81:2137:bd2a:2c5b", "fc00:e968:6179::de52:7100", "fc00:db20:35b:7399::5", "fdf8:f53e:61e4::18")
+#: Invented stand-ins for the other kinds, made by rule: ten each.
+EMAIL_POOL = tuple(f"user{i:02d}@example.com" for i in range(10))
+KEY_POOL = tuple(f"{i:02d}".rjust(32, "k") for i in range(10))
 
 
 def replacement(tag: Column, value: Column, seed: int = 0) -> Column:
     """One of the tag's pool, by a hash of the value: the same everywhere and in every run."""
-    out = F.lit("<REDACTED>")
-    for name, pool in POOLS.items():
-        chosen = F.element_at(F.array(*map(F.lit, pool)), (F.pmod(F.xxhash64(value, F.lit(seed)), F.lit(len(pool))) + 1).cast("int"))
-        out = F.when(tag == name, chosen).otherwise(out)
-    return out
+    def one_of(pool: tuple[str, ...]) -> Column:
+        return F.element_at(F.array(*map(F.lit, pool)), (F.pmod(F.xxhash64(value, F.lit(seed)), F.lit(len(pool))) + 1).cast("int"))
+
+    ip = F.when(F.contains(value, F.lit(":")), one_of(IPV6_POOL)).otherwise(one_of(IPV4_POOL))
+    return F.when(tag == "EMAIL", one_of(EMAIL_POOL)).when(tag == "KEY", one_of(KEY_POOL)).when(tag == "IP_ADDRESS", ip).otherwise(F.lit("<REDACTED>"))
 
 
 def public_ip(span: Column) -> Column:

@@ -10,20 +10,26 @@ from pyspark.sql import functions as F
 
 from textloom.functions import text as T
 
-#: What marks an author as a machine.
-BOT_KEYWORDS, BOT_SUFFIXES, BOT_NAMES = ("[bot]", "bot]"), ("bot", "-bot", "_bot", ".bot", "-ci", "-app"), ("github-actions", "dependabot", "renovate", "codecov", "travis", "jenkins")
+#: Keywords, endings and names of authors that are machines.
+BOT_KEYWORDS = ("[bot]", "botmanager", "bors-", "jenkins", "k8s-", "-test-", "travis")
+BOT_SUFFIXES = ("-automaton", "-automation", "-benchmark", "-build", "-deployer", "-cloud", "bot", "-ci", "-linter", "-teamcity", "-test", "-testing", "-Service-Account")
+BOT_NAMES = (
+    "Apache-HBase", "AutorestCI", "CLAassistant", "cmsbuild", "codecov-io", "codecov-commenter", "coveralls", "danger-public",
+    "dnfclas", "msftclas", "PyDocTeur", "SparkQA", "karma-pr-reporter", "danger-public", "claassistantio", "probot-stale",
+)
 LEAST_SIZE, MOST_SIZE, MOST_EVENTS = 200, 7000, 10
 MOST_LINES, FIRST_LINES, LAST_LINES = 80, 60, 20
 TRUNCATED = "\n[Truncated]\n"
 
 
 def is_bot(author: Column) -> Column:
+    """Keywords and endings whatever the case, names as written."""
     a = F.lower(author)
-    out = a.isin(*BOT_NAMES)
+    out = author.isin(*BOT_NAMES)
     for k in BOT_KEYWORDS:
         out = out | F.contains(a, F.lit(k))
     for s in BOT_SUFFIXES:
-        out = out | F.endswith(a, F.lit(s))
+        out = out | F.endswith(a, F.lit(s.lower()))
     return F.coalesce(out, F.lit(False))
 
 
@@ -39,12 +45,25 @@ def truncated(text: Column | str) -> Column:
     return F.when(T.n_lines(t) > MOST_LINES, cut).otherwise(t)
 
 
+#: Mails quoted below a comment, and what marks them line by line.
+_MAILS = (
+    r"(?s)^(.*)From:.+Reply to this email directly.+view it on GitHub(.*)\n?(.*)$",
+    r"(?s)^(.*)On.+notifications@github\.com.+wrote:.+Reply to this email directly.+view it on GitHub(.*)\n?(.*)$",
+    r"(?s)^(.*)Signed-off-by: .+<.+>(.*?)\n?(.*)$",
+)
+_MAIL_LINE = r"^>|\d+/\d+/\d+ \d{2}:\d{2} [AP]M.+wrote|_{20,}"
+
+
 def without_reply(text: Column | str) -> Column:
-    """A comment sent by e-mail without the mail it answers."""
-    t = F.regexp_replace(T.col(text), r"(?s)\n?On .{1,200}? wrote:\s*\n.*$", "")
-    t = F.regexp_replace(t, r"(?s)\n?-{2,}\s*Original Message\s*-{2,}.*$", "")
-    t = F.regexp_replace(t, r"(?s)\n?_{5,}\s*\nFrom:.*$", "")
-    return F.array_join(F.filter(T.lines(t), lambda line: ~F.startswith(F.ltrim(line), F.lit(">"))), "\n")
+    """A comment sent by e-mail without the mail it answers.
+
+    The first known frame of a quoted mail is cut out; without one, quoted lines and marks go.
+    """
+    t = T.col(text)
+    out = F.array_join(F.filter(T.lines(t), lambda line: ~F.rlike(line, F.lit(_MAIL_LINE))), "\n")
+    for pattern in reversed(_MAILS):
+        out = F.when(F.rlike(t, F.lit(pattern)), F.regexp_replace(t, pattern, "$1$2$3")).otherwise(out)
+    return F.trim(out)
 
 
 def issues(events: DataFrame, id_col: str = "conv_id", order_col: str = "turn", author_col: str = "role", text_col: str = "text") -> DataFrame:
@@ -101,9 +120,13 @@ def masked_users(found: DataFrame) -> DataFrame:
     ).drop("_n")
 
 
-#: Subjects that say nothing, and bounds of commits worth keeping.
-DULL_SUBJECTS = ("initial commit", "first commit", "update readme", "update readme.md", "merge branch", "merge pull request", "bump version", "auto commit")
-SUBJECT_CHARS, MOST_CHARS, MOST_CHANGED = (10, 1000), 50_000, 200
+#: Parts of subjects and whole subjects that say nothing; bounds and sampling shares.
+BAD_PARTS = ("auto commit", "update contributing", "<?xml")
+BAD_SUBJECTS = (
+    "readme", "update", "dummy", "updated", "debug", "test", "update readme", "update readme.md", "updated readme.md", "updated readme",
+)
+MOST_CHARS, SHORT_SPAN, LONG_SPAN = 100_000, 2, 200
+SHORT_SHARE, LONG_SHARE, SHORT_SUBJECT_SHARE = 0.1, 0.1, 0.5
 
 
 def change_range(old: Column | str, new: Column | str) -> Column:
@@ -124,21 +147,26 @@ def change_range(old: Column | str, new: Column | str) -> Column:
     return ranges(T.col(old), T.col(new))
 
 
-def commit_filter(commits: DataFrame) -> DataFrame:
-    """Commits with a telling subject, a change of moderate size and contents that are no data dump.
+def commit_filter(commits: DataFrame, id_col: str = "id") -> DataFrame:
+    """Commits with a telling subject and a change of moderate size; adds `change`.
 
-    commits: subject, old_contents, new_contents. Adds `change`.
+    commits: id, subject, old_contents, new_contents. Very small and very large changes and
+    short subjects stay with the given shares, by a hash of the id. Subjects of versions,
+    of one indented word, or of very long words go, as do empty new contents.
     """
-    subject = F.lower(F.trim("subject"))
-    dull = F.rlike(subject, F.lit(r"^v?\d+(\.\d+)+$"))
-    for s in DULL_SUBJECTS:
-        dull = dull | F.startswith(subject, F.lit(s))
-    ranged = commits.where(
-        F.length("subject").between(*SUBJECT_CHARS) & ~dull & (F.size(T.words("subject")) > 1) & (F.length("new_contents") > 0) & (F.length("old_contents") < MOST_CHARS) & (F.length("new_contents") < MOST_CHARS)
-        & (F.length("new_contents") / F.greatest(F.size(T.words("new_contents")), F.lit(1)) <= 20)
-    ).withColumn("change", change_range("old_contents", "new_contents"))
-    span = F.col("change.new_end") - F.col("change.new_start")
-    return ranged.where((F.col("change.inserted") + F.col("change.deleted") > 0) & (span > 2) & (span < MOST_CHANGED))
+    low = F.lower("subject")
+    dull = low.isin(*BAD_SUBJECTS) | F.rlike(low, F.lit(r"^v?\d+\.\d+\.\d+($|\S)"))
+    for s in BAD_PARTS:
+        dull = dull | F.contains(low, F.lit(s))
+    n_words = F.size(T.words("subject"))
+    indented = F.startswith("subject", F.lit(" ")) & (n_words == 1)
+    long_words = F.length("subject") / F.greatest(n_words, F.lit(1)) > 20
+    told = (n_words >= 5) | (T.uniform(id_col, "subject") < SHORT_SUBJECT_SHARE)
+    kept = commits.where((n_words > 0) & ~dull & ~indented & ~long_words & told & (F.length("new_contents") > 0) & (F.length("old_contents") < MOST_CHARS))
+    ranged = kept.withColumn("change", change_range("old_contents", "new_contents"))
+    span = F.col("change.old_end") - F.col("change.old_start")
+    fits = ((span > SHORT_SPAN) | (T.uniform(id_col, "short") < SHORT_SHARE)) & ((span < LONG_SPAN) | (T.uniform(id_col, "long") < LONG_SHARE))
+    return ranged.where(fits)
 
 
 def commit_sample(commits: DataFrame, id_col: str, whole_share: float = 0.2, margin: int = 32) -> DataFrame:

@@ -14,7 +14,7 @@ from textloom.functions import text as T
 #: The tokens of the sample format, and the marker of completion prompts.
 BEGIN, HOLE, END, STOP, FILL = "<｜fim▁begin｜>", "<｜fim▁hole｜>", "<｜fim▁end｜>", "<｜end▁of▁sentence｜>", "<FILL_ME>"
 WINDOWS, LEAST_LINES = (2000, 3000, 4000), 15
-PRINT_LIKE = ("print", "log", "console.", "echo", "printf", "cout", "fmt.")
+PRINT_LIKE = ("print", "log", "cout", "write", "say", "echo", "put", "inspect", "console", "output", "cat", "http")
 APART = 1000
 
 
@@ -30,11 +30,20 @@ def fill_prompt(prompt: Column | str) -> Column:
     return F.when(F.size(parts) == 1, T.col(prompt)).when(F.size(parts) == 2, fim(parts[0], parts[1]))
 
 
+#: Comment marks of the languages that prompts name.
+COMMENT_MARKS = {"golang": "//", "python": "#", "javascript": "//", "typescript": "//", "java": "//", "c": "//", "cpp": "//", "c++": "//", "cc": "//", "cxx": "//", "hpp": "//", "cppm": "//"}
+
+
 def completion_prompt(prefix: Column | str, suffix: Column | str, lang: Column | str, most_prefix: int = 3500, most_suffix: int = 1000) -> Column:
-    """`// this is <lang> code`, prefix, marker, suffix; the prefix is cut only where there is no suffix."""
-    p, s = F.coalesce(T.col(prefix), F.lit("")), F.coalesce(T.col(suffix), F.lit(""))
-    head = F.concat(F.lit("// this is "), T.col(lang), F.lit(" code\n"))
-    return F.when(s == "", F.concat(head, F.right(p, F.lit(most_prefix)), F.lit(FILL))).otherwise(F.concat(head, p, F.lit(FILL), F.left(s, F.lit(most_suffix))))
+    """A comment line that names a known language, the prefix, then the marker and the suffix if there is one.
+
+    Only without a suffix the prompt is cut to its last most_prefix characters.
+    """
+    name, s = T.col(lang), F.coalesce(T.col(suffix), F.lit(""))
+    marks = F.create_map(*(F.lit(x) for pair in COMMENT_MARKS.items() for x in pair))
+    line = F.coalesce(F.concat(F.try_element_at(marks, name), F.lit(" this is "), name, F.lit(" code\n\n")), F.lit(""))
+    prompt = F.concat(line, F.coalesce(T.col(prefix), F.lit("")))
+    return F.when(s == "", F.right(prompt, F.lit(most_prefix))).otherwise(F.concat(prompt, F.lit(FILL), F.left(s, F.lit(most_suffix))))
 
 
 def middle_line(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -55,7 +64,7 @@ def line_sample(text: str, key: str) -> tuple[str, str, str] | None:
         return None
     longest = max(len(x.strip()) for x in lines)
     skip, least = pick.choice((n // 5, n // 2)), min(30, longest // 2)
-    good = (i for i in range(skip, n) if len(lines[i].strip()) >= least and not lines[i].strip().lower().startswith(PRINT_LIKE))
+    good = (i for i in range(skip, n) if len(lines[i].strip()) >= least and not any(p in lines[i] for p in PRINT_LIKE))
     at = next(good, n)
     if at >= n - 5:
         at = max(range(5, n - 1), key=lambda i: (len(lines[i]) if not lines[i].startswith("<|PathStart|>") else -1, -i))
