@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterator
-from itertools import compress
+from itertools import chain, compress
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +27,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textloom.llm.common import row_keys, word_counts
-from textloom.llm.encoding import Memo
 from textloom.llm.token_files import decode_segment, encode_segment
 from textloom.session import Workspace
 
@@ -66,9 +65,6 @@ def _powers(base: int, n: int) -> np.ndarray:
     return found
 
 
-_WORDS = Memo(lambda w: xxhash.xxh3_64_intdigest(w), 400_000)
-
-
 class Block:
     """A block's words, its windows' places, and their hashes."""
 
@@ -79,8 +75,7 @@ class Block:
         n = int(self.counts.sum())
         ends = np.repeat(np.cumsum(self.counts), self.counts)
         self.places = np.flatnonzero(np.arange(n) + window <= ends)
-        get = _WORDS.__getitem__
-        self._hashes = np.fromiter((h for w in self.words for h in map(get, w)), np.uint64, n)
+        self._hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, chain.from_iterable(self.words)), np.uint64, n)
 
     def digests(self, which: int, places: np.ndarray) -> np.ndarray:
         """64-bit hashes of the windows at places: polynomials over the word hashes, one base for each `which`."""
@@ -149,10 +144,7 @@ class _Plan:
         """Places of windows estimated repeated; their sorted distinct digests, each place's digest, and counts."""
         _, inverse, counts = self.sketched(block)
         places = block.places[(_ordered(reply) | (counts > 1))[inverse]]
-        found = np.empty(len(places), [("a", "<u8"), ("b", "<u4")])
-        found["a"], found["b"] = block.digests(0, places), block.digests(1, places) >> np.uint64(32)
-        distinct, inverse, counts = np.unique(found, return_inverse=True, return_counts=True)
-        return places, distinct, inverse, counts
+        return places, *_distinct(block.digests(0, places), block.digests(1, places) >> np.uint64(32))
 
     def ranges(self, top: np.ndarray, bits: int) -> list[tuple[int, slice]]:
         """The non-empty ranges of sorted values of so many bits, with the part of each."""
@@ -161,38 +153,40 @@ class _Plan:
         return [(int(r), slice(a, b)) for r, a, b in zip(found, first, [*first[1:], len(top)])]
 
 
+def _distinct(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted distinct digests (a, b), the place of each input among them, and how often each occurs."""
+    order = np.lexsort((b, a))
+    x, y = a[order], b[order]
+    new = np.ones(len(order), bool)
+    new[1:] = (x[1:] != x[:-1]) | (y[1:] != y[:-1])
+    out = np.empty(int(new.sum()), [("a", "<u8"), ("b", "<u4")])
+    out["a"], out["b"] = x[new], y[new]
+    inverse = np.empty(len(order), np.int64)
+    inverse[order] = np.cumsum(new) - 1
+    return out, inverse, np.diff(np.append(np.flatnonzero(new), len(order)))
+
+
 def _merge_sketches(table: pa.Table) -> pa.Table:
-    """Merge the sparse sketches of one range and answer each block which entries are estimated in two blocks."""
+    """Merge the sparse sketches of one range and answer each block which entries are estimated twice or more.
+
+    A row of the sketch sums what all blocks add to its cells; an entry's estimate is the
+    least of its cells. Entries that meet in a cell can only raise it.
+    """
     parts = [np.cumsum(decode_segment(p).astype(np.uint64), dtype=np.uint64) for p in table.column("payload").to_pylist()]
-    total = sum(map(len, parts))
-    width = max(64, CELLS * total)
-    estimate = None
+    entries = np.concatenate(parts)
+    width = max(64, CELLS * len(entries))
+    repeated = np.ones(len(entries), bool)
     for row in range(DEPTH):
-        cells = [(_mix(p * _ODD[row] + np.uint64(row)) % np.uint64(width)).astype(np.int64) for p in parts]
-        counts = np.zeros(width, np.uint8)
-        for c in cells:
-            hit = np.unique(c)
-            counts[hit] = np.minimum(counts[hit] + 1, 2)
-            repeated = c[np.isin(c, c[_again(c)])] if len(hit) < len(c) else c[:0]
-            counts[repeated] = 2
-        mine = [counts[c] for c in cells]
-        estimate = mine if estimate is None else [np.minimum(a, b) for a, b in zip(estimate, mine)]
-    return _replies(table, [e > 1 for e in estimate])
-
-
-def _again(values: np.ndarray) -> np.ndarray:
-    """Places of values that occurred earlier in the array."""
-    order = np.argsort(values, kind="stable")
-    same = values[order[1:]] == values[order[:-1]]
-    return order[1:][same]
+        cells = (_mix(entries * _ODD[row] + np.uint64(row)) % np.uint64(width)).astype(np.int64)
+        repeated &= np.bincount(cells, minlength=width)[cells] > 1
+    return _replies(table, np.split(repeated, np.cumsum([len(p) for p in parts])[:-1]))
 
 
 def _count_digests(table: pa.Table) -> pa.Table:
     """Count the digests of one range exactly and answer each block which are in two blocks or more."""
     unpack = zstandard.ZstdDecompressor()
     parts = [_joined(unpack.decompress(p, max_output_size=1 << 62)) for p in table.column("payload").to_pylist()]
-    everything = np.concatenate(parts)
-    _, inverse, counts = np.unique(everything, return_inverse=True, return_counts=True)
+    _, inverse, counts = _distinct(np.concatenate([p["a"] for p in parts]), np.concatenate([p["b"] for p in parts]))
     flags = counts[inverse] > 1
     ends = np.cumsum([len(p) for p in parts])
     return _replies(table, np.split(flags, ends[:-1]))
