@@ -48,3 +48,33 @@ def test_odd_rows(spark, odd, none, labelled):
     rows = toxicity.score(odd.withColumn("score", F.lit("clash")), model, evidence="why").collect()
     assert len(rows) == odd.count() and all(0 <= r.score <= 1 for r in rows)
     assert toxicity.score(none, toxicity.fit(none, labels)).count() == 0
+
+
+def test_smallest_label_set_rejects_its_toxic_documents(spark):
+    """Planted: what labels call toxic, and texts of its telling words among words no example has."""
+    where = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{where}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{where}/labels.parquet")
+    filler = " ".join(f"qx{chr(97 + i % 26)}{chr(97 + i // 26)}zzj" for i in range(200))
+    planted = spark.createDataFrame([(10**6, filler + " pathetic idiot moron worthless clown"), (10**6 + 1, filler)], "doc_id long, text string")
+    model = toxicity.fit(docs, labels)
+    scored = {r.doc_id: r.score for r in toxicity.score(docs.union(planted), model).collect()}
+    known = {r.doc_id: r.toxic for r in labels.collect()}
+    assert sum(known.values()) == 11 and all((scored[i] >= 0.5) == bool(t) for i, t in known.items())
+    assert scored[10**6] >= 0.5 > scored[10**6 + 1]
+
+
+def test_model_nearest_equals_comparing_with_every_example(spark):
+    where = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{where}/documents.parquet").select("doc_id", "text")
+    model = toxicity.fit(docs, spark.read.parquet(f"{where}/labels.parquet"))
+    vectors = [model.vector((r.text or "").encode()) for r in docs.limit(40).collect()] + [model.vector(None)]
+    rows = np.zeros((len(model.toxic), len(model.terms)))
+    for i in range(len(rows)):
+        cut = slice(model.starts[i], model.starts[i + 1])
+        rows[i, model.term[cut]] = model.value[cut]
+    for (t, w), (places, cosines) in zip(vectors, model.nearest(vectors, 25)):
+        all_ = rows[:, t] @ w.astype(float)
+        kth = np.sort(all_)[-25]
+        assert set(places.tolist()) == set(np.flatnonzero((all_ > 0) & (all_ >= kth - 1e-9)).tolist())
+        assert np.allclose(cosines, all_[places])

@@ -1,9 +1,9 @@
-"""Toxicity by nearest labelled examples: exact TF-IDF cosine over a block-max inverted index.
+"""Toxicity by nearest labelled examples: exact TF-IDF cosine over an inverted index.
 
 The labelled examples are a bounded sample (EXAMPLES rows at most, chosen by a hash of
-the id). Terms are whole words and word beginnings; of all terms in the examples, the
-TERMS that best tell the labels apart (chi-squared) span the vectors, since over the full
-vocabulary a few telling words drown in hundreds of ordinary ones. Document frequencies
+the id). Terms are all words and word beginnings of the examples. None is cut; a term's
+TF-IDF weight is scaled by how surely its smoothed log-odds tell the labels apart, since
+unscaled a few telling words drown in hundreds of ordinary ones. Document frequencies
 come from all documents. A text's score is its nearest examples' distance-weighted vote,
 mapped to a probability by an isotonic fit to votes that leave each example itself out.
 """
@@ -12,23 +12,29 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
 
+from textloom.llm.common import text_bytes
 from textloom.llm.encoding import Memo
 
 EXAMPLES = 20_000
-TERMS = 512
-LEAST_CHI2 = 30.0
 NEIGHBOURS = 25
 BLOCK = 64
+#: Terms in most examples, whose weights are multiplied as a matrix; texts compared at once.
+DENSE, TOGETHER = 1024, 128
+#: The share of labels that smooth a term's odds, the squared deviation that scales its weight to about a half, and the least one counted.
+SMOOTH, HALF, LEAST = 5.0, 30.0, 0.1
 PREFIXES = (3, 4, 5, 6, 7)
 _LETTERS = re.compile(r"[^\W\d_]+")
 
@@ -104,68 +110,149 @@ class Postings:
 
 @dataclass
 class Model:
-    """All that scoring needs; its size is bounded by EXAMPLES and TERMS."""
+    """All that scoring needs: the examples as rows of (term, times it occurs) from starts[i] to starts[i + 1]."""
 
     terms: dict[str, int]
-    idf: np.ndarray
-    vectors: list[tuple[tuple[int, float], ...]]
-    counts: np.ndarray
+    weight: np.ndarray
+    starts: np.ndarray
+    term: np.ndarray
+    times: np.ndarray
     toxic: np.ndarray
-    ids: list[list[int]]
+    ids: np.ndarray
     bare: tuple[int, int]
     steps: tuple[np.ndarray, np.ndarray] | None = None
     _ready: dict = field(default_factory=dict, repr=False)
 
     def __getstate__(self):
-        return {k: v for k, v in self.__dict__.items() if k != "_ready"}
+        """Compressed, since every machine keeps a copy on disk: terms as text, rows as steps between ascending terms."""
+        state = {k: v for k, v in self.__dict__.items() if k not in ("_ready", "terms", "term", "times")}
+        steps = np.diff(self.term, prepend=np.int32(0)).astype(np.int32)
+        planes = steps.view(np.uint8).reshape(-1, 4).T.tobytes()
+        return state | {"_packed": [zlib.compress(x, 1) for x in ("\n".join(self.terms).encode(), planes, self.times.tobytes())]}
 
     def __setstate__(self, state):
-        self.__dict__ |= state | {"_ready": {}}
+        terms, planes, times = map(zlib.decompress, state.pop("_packed"))
+        self.__dict__ |= state | {"_ready": {}, "terms": {t: i for i, t in enumerate(terms.decode().split("\n"))} if terms else {}}
+        steps = np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(4, -1).T).view(np.int32)[:, 0] if planes else np.zeros(0, np.int32)
+        self.term, self.times = np.cumsum(steps, dtype=np.int32), np.frombuffer(times, np.int32)
+
+    def counts(self, text: bytes | None) -> tuple[np.ndarray, np.ndarray]:
+        """The text's terms, ascending, and how often each occurs."""
+        if "memo" not in self._ready:
+            self._ready["memo"] = Memo(lambda chunk: tuple(self.terms[t] for t in terms_of(chunk) if t in self.terms), 100_000).__getitem__
+        found = np.fromiter(chain.from_iterable(map(self._ready["memo"], (text or b"").split())), np.int32)
+        found.sort()
+        at = np.flatnonzero(np.diff(found, prepend=np.int32(-1)))
+        return found[at], np.diff(at, append=len(found)).astype(np.int32)
+
+    def vector(self, text: bytes | None) -> tuple[np.ndarray, np.ndarray]:
+        """The text's terms and their weights, of length one; empty if it has none of them."""
+        at, n = self.counts(text)
+        made = (1 + np.log(n)) * self.weight[at]
+        return at, (made / (math.sqrt(made @ made) or 1)).astype(np.float32)
+
+    @property
+    def value(self) -> np.ndarray:
+        """The weights of the examples' rows."""
+        if "value" not in self._ready:
+            made = ((1 + np.log(self.times)) * self.weight[self.term]) if len(self.term) else np.zeros(0)
+            length = np.sqrt(np.add.reduceat(made * made, self.starts[:-1])) if len(made) else np.zeros(0)
+            self._ready["value"] = (made / np.repeat(length, np.diff(self.starts))).astype(np.float32)
+        return self._ready["value"]
 
     @property
-    def index(self) -> Postings:
+    def index(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Each term's column in the matrix of the DENSE most frequent (-1: none), that matrix, and the postings of the rest."""
         if "index" not in self._ready:
-            self._ready["index"] = Postings(self.vectors, self.counts, self.toxic, len(self.terms))
+            rows = np.repeat(np.arange(len(self.toxic), dtype=np.int32), np.diff(self.starts))
+            n = np.bincount(self.term, minlength=len(self.terms))
+            column = np.full(len(self.terms), -1, np.int32)
+            most = np.argsort(-n, kind="stable")[:DENSE]
+            column[most] = np.arange(len(most))
+            dense = np.zeros((len(most), len(self.toxic)), np.float32)
+            common = column[self.term] >= 0
+            dense[column[self.term[common]], rows[common]] = self.value[common]
+            rare = np.flatnonzero(~common)
+            rare = rare[np.argsort(self.term[rare], kind="stable")]
+            cuts = np.concatenate(([0], np.cumsum(np.where(column < 0, n, 0))))
+            self._ready["index"] = column, dense, cuts, rows[rare], self.value[rare]
         return self._ready["index"]
 
-    def vector(self, text: bytes | None) -> tuple[tuple[int, float], ...]:
-        """The text's TF-IDF vector over the terms, of length one; empty if it has none of them."""
-        if "memo" not in self._ready:
-            self._ready["memo"] = Memo(lambda chunk: tuple(self.terms[t] for t in terms_of(chunk) if t in self.terms), 400_000).__getitem__
-        found = Counter(t for hit in filter(None, map(self._ready["memo"], (text or b"").split())) for t in hit)
-        return normal(found, self.idf)
-
-    def vote(self, vector: tuple[tuple[int, float], ...], leave: int | None = None) -> float:
-        """Distance-weighted share of toxic examples among the nearest, drawn slightly to the share of all."""
-        toxic, all_ = int(self.toxic.sum()) + self.bare[1], int(self.counts.sum()) + self.bare[0]
-        prior = (toxic + 1) / (all_ + 2)
-        places, cosines = self.index.nearest(vector, NEIGHBOURS, leave) if vector else (np.zeros(0, np.int64), np.zeros(0))
-        if not len(places):
-            n, t = self.bare
-            return (t + prior) / (n + 1)
-        weight = 1 / (1.05 - np.minimum(cosines, 1.0))
-        n = (self.counts[places] - (places == leave)) * weight
-        t = (self.toxic[places] - (places == leave) * (self.toxic[places] > 0) * (self.toxic[places] * 2 > self.counts[places])) * weight
-        return float((t.sum() + prior) / (n.sum() + 1))
-
-    def score(self, text: bytes | None) -> tuple[float, tuple[tuple[int, float], ...]]:
-        vector = self.vector(text)
-        scores = self._ready.setdefault("scores", Memo(self._scored, 100_000))
-        return scores[vector], vector
-
-    def _scored(self, vector) -> float:
-        vote = self.vote(vector)
-        if self.steps is None or not len(self.steps[0]):
-            return vote
-        return float(np.interp(vote, *self.steps))
-
-    def evidence(self, vector, most: int = 3) -> list[dict]:
-        """The nearest examples: id, cosine, and whether most of those with the same vector are toxic."""
-        if not vector:
-            return []
-        places, cosines = self.index.nearest(vector, most)
-        order = np.argsort(-cosines, kind="stable")[:most]
-        return [{"doc_id": self.ids[places[i]][0], "cosine": float(cosines[i]), "toxic": int(2 * self.toxic[places[i]] >= self.counts[places[i]])} for i in order]
+    def nearest(self, vectors: list[tuple[np.ndarray, np.ndarray]], k: int, leave: list[int] | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each vector the places and cosines of its k nearest examples, all ties at the k-th included.
+
+        Frequent terms are multiplied as matrices and the others added from their postings,
+        in single precision; what may be among the k is then compared in double precision.
+        So every example is compared. `leave` names an example to take out. Examples that
+        share no term are not near.
+        """
+        column, dense, cuts, ids, values = self.index
+        asked = np.zeros((len(vectors), len(dense)), np.float32)
+        for i, (t, w) in enumerate(vectors):
+            common = column[t] >= 0
+            asked[i, column[t[common]]] = w[common]
+        made = asked @ dense
+        whole, out = np.zeros(len(self.terms)), []
+        for i, (t, w) in enumerate(vectors):
+            rare = column[t] < 0
+            first, size = cuts[t[rare]], cuts[t[rare] + 1] - cuts[t[rare]]
+            total = int(size.sum())
+            if total:
+                at = np.repeat(first - np.cumsum(size) + size, size) + np.arange(total)
+                made[i] += np.bincount(ids[at], values[at] * np.repeat(w[rare], size), len(self.toxic)).astype(np.float32)
+            if leave is not None:
+                made[i, leave[i]] = 0
+            row = made[i]
+            kth = np.partition(row, len(row) - k)[len(row) - k] if len(row) > k else 0
+            places = np.flatnonzero((row > 0) & (row >= kth - 1e-5))
+            whole[t] = w
+            size = self.starts[places + 1] - self.starts[places]
+            at = np.repeat(self.starts[places] - np.cumsum(size) + size, size) + np.arange(int(size.sum()))
+            cosines = np.bincount(np.repeat(np.arange(len(places)), size), whole[self.term[at]] * self.value[at], len(places))
+            whole[t] = 0
+            if len(places) > k:
+                keep = cosines >= np.partition(cosines, len(places) - k)[len(places) - k] - 1e-12
+                places, cosines = places[keep], cosines[keep]
+            out.append((places, cosines))
+        return out
+
+    def bare_vote(self) -> float:
+        """The vote on a text that shares no term with any example: that of the examples without terms."""
+        prior = (int(self.toxic.sum()) + self.bare[1] + 1) / (len(self.toxic) + self.bare[0] + 2)
+        return (self.bare[1] + prior) / (self.bare[0] + 1)
+
+    def votes(self, vectors: list[tuple[np.ndarray, np.ndarray]], leave: list[int] | None = None) -> list[float]:
+        """Distance-weighted share of toxic examples among the nearest of each, drawn slightly to the share of all."""
+        toxic, all_ = int(self.toxic.sum()) + self.bare[1], len(self.toxic) + self.bare[0]
+        prior, out = (toxic + 1) / (all_ + 2), []
+        for places, cosines in self.nearest(vectors, NEIGHBOURS, leave):
+            weight = 1 / (1.05 - np.minimum(cosines, 1.0))
+            out.append(float(((self.toxic[places] * weight).sum() + prior) / (weight.sum() + 1)) if len(places) else self.bare_vote())
+        return out
+
+    def scores(self, vectors: list[tuple[np.ndarray, np.ndarray]]) -> list[float]:
+        votes = self.votes(vectors)
+        return votes if self.steps is None or not len(self.steps[0]) else np.interp(votes, *self.steps).tolist()
+
+    def evidence(self, vectors: list[tuple[np.ndarray, np.ndarray]], most: int = 3) -> list[list[dict]]:
+        """The nearest examples of each: id, cosine and label."""
+        out = []
+        for places, cosines in self.nearest(vectors, most):
+            order = np.lexsort((self.ids[places], -cosines))[:most]
+            out.append([{"doc_id": int(self.ids[places[i]]), "cosine": float(cosines[i]), "toxic": int(self.toxic[places[i]])} for i in order])
+        return out
+
+
+def telling(n: np.ndarray, t: np.ndarray, all_: int, bad: int) -> np.ndarray:
+    """How surely a term in n examples, t of them toxic, tells the labels apart: 0 to 1, never 0.
+
+    The smoothed log-odds over their deviation, squared, on a scale where HALF is about a half.
+    """
+    share = bad / all_
+    a, b = t + SMOOTH * share, n - t + SMOOTH * (1 - share)
+    odds = np.log(a / b) - math.log(share / (1 - share))
+    square = odds**2 / (1 / a + 1 / b)
+    return (LEAST + square) / (HALF + square)
 
 
 def normal(counts: Counter, idf: np.ndarray) -> tuple[tuple[int, float], ...]:
@@ -190,8 +277,8 @@ def isotonic(x: np.ndarray, y: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, n
 def fit(docs: DataFrame, labels: DataFrame, most: int = EXAMPLES, id_col: str = "doc_id", text_col: str = "text") -> Model:
     """Learn from the labelled examples among docs; document frequencies are those of all docs.
 
-    Driver memory is bounded by `most` examples and TERMS terms. Without examples of both
-    labels every score is the share of toxic ones (0.5 without any).
+    Driver memory is bounded by `most` examples' terms. Without examples of both labels
+    every score is the share of toxic ones (0.5 without any).
     """
     chosen = F.broadcast(examples(labels, most))  # `most` rows of two numbers
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
@@ -213,57 +300,71 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = EXAMPLES, id_col: str =
     total, bad = known.agg(F.count("*"), F.sum("toxic")).first()
     good, bad = (total or 0) - (bad or 0), bad or 0
     terms: dict[str, int] = {}
+    told = np.zeros(0)
     if good and bad:
-        by = known.mapInArrow(by_term, "term string, n long, t long").groupBy("term").agg(F.sum("n").alias("n"), F.sum("t").alias("t")).where("t >= 3")
-        n, t, all_ = F.col("n").cast("double"), F.col("t").cast("double"), float(total)
-        chi2 = all_ * (t * all_ - n * bad) ** 2 / (n * F.greatest(all_ - n, F.lit(0.5)) * bad * good)
-        best = by.withColumn("chi2", chi2).where((F.col("chi2") >= LEAST_CHI2) & (t * all_ > n * bad)).orderBy(F.col("chi2").desc(), "term").limit(TERMS)
-        terms = {r.term: i for i, r in enumerate(best.collect())}
+        found = known.mapInArrow(by_term, "term string, n long, t long").groupBy("term").agg(F.sum("n").alias("n"), F.sum("t").alias("t")).toArrow()
+        found = found.take(pc.sort_indices(found["term"]))
+        terms = {term: i for i, term in enumerate(found["term"].to_pylist())}
+        told = telling(found["n"].to_numpy(), found["t"].to_numpy(), total, bad)
+        del found
+
+    none = np.zeros(0, np.int32)
+    model = Model(terms, np.ones(len(terms)), np.zeros(1, np.int64), none, none, none, none, (0, 0))
 
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = Memo(lambda chunk: tuple(terms[t] for t in terms_of(chunk) if t in terms), 400_000).__getitem__
-        n, rows = np.zeros(len(terms) + 1, np.int64), 0
+        n, rows = np.zeros(len(model.terms) + 1, np.int64), 0
         for batch in batches:
             for text in batch.column(0).cast(pa.large_binary()).to_pylist():
-                found = {t for hit in filter(None, map(memo, (text or b"").split())) for t in hit}
-                n[list(found)] += 1
+                n[model.counts(text)[0]] += 1
                 rows += 1
         n[-1] = rows
-        yield pa.RecordBatch.from_arrays([pa.array(range(len(n)), pa.int32()), pa.array(n)], names=["term", "n"])
+        some = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(n[some])], names=["term", "n"])
 
     df = np.zeros(len(terms) + 1)
     if terms:
-        for r in texts.select("text").mapInArrow(frequencies, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).collect():
-            df[r.term] = r.n
-    model = Model(terms, np.log((1 + df[-1]) / (1 + df[:-1])) + 1, [], np.zeros(0, np.int64), np.zeros(0, np.int64), [], (0, 0))
+        made = texts.select("text").mapInArrow(frequencies, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+        df[made["term"].to_numpy()] = made["n"].to_numpy()
+    model.weight = (np.log((1 + df[-1]) / (1 + df[:-1])) + 1) * told
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = [model.vector(t) for t in batch.column(1).cast(pa.large_binary()).to_pylist()]
-            columns = [batch.column(0), batch.column(2), pa.array([[t for t, _ in v] for v in made], pa.list_(pa.int32())), pa.array([[w for _, w in v] for v in made], pa.list_(pa.float64()))]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "toxic", "t", "w"])
-
-    held: dict[tuple, list] = {}
-    for r in known.mapInArrow(vectors, "doc_id long, toxic int, t array<int>, w array<double>").collect():
-        entry = held.setdefault(tuple(zip(r.t, r.w)), [0, 0, []])
-        entry[0] += 1
-        entry[1] += r.toxic
-        entry[2] = sorted([*entry[2], r.doc_id])[:3]
-    bare = held.pop((), [0, 0, []])
-    order = sorted(held, key=lambda v: (max(v, key=lambda x: x[1]), v))  # alike vectors share blocks
-    model.vectors, model.ids, model.bare = order, [held[v][2] for v in order], (bare[0], bare[1])
-    model.counts, model.toxic = (np.array([held[v][i] for v in order], np.int64) for i in (0, 1))
+            for at in range(0, batch.num_rows, 1024):
+                some = batch.slice(at, 1024)
+                made = [model.counts(t) for t in some.column(1).cast(pa.large_binary()).to_pylist()]
+                columns = [some.column(0), some.column(2), pa.array([t.tobytes() for t, _ in made], pa.binary()), pa.array([n.tobytes() for _, n in made], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "toxic", "t", "n"])
+
+    held = known.mapInArrow(vectors, "doc_id long, toxic int, t binary, n binary").toArrow()
+    held = held.take(pc.sort_indices(held, [("doc_id", "ascending"), ("toxic", "ascending")]))
+    ids, toxic = held["doc_id"].to_numpy(), held["toxic"].to_numpy().astype(np.int32)
+    size = pc.binary_length(held["t"]).to_numpy().astype(np.int64) // 4
+    model.bare = int((size == 0).sum()), int(toxic[size == 0].sum())
+    model.ids, model.toxic, model.starts = ids[size > 0], toxic[size > 0], np.concatenate(([0], np.cumsum(size[size > 0])))
+    model.term, model.times = (np.concatenate([text_bytes(x)[0] for x in held[c].chunks] or [none.view(np.uint8)]).view(np.int32) for c in ("t", "n"))
+    del held
     if good and bad:
-        x, y, n = [], [], []
-        for i, v in enumerate(order):
-            for label, times in ((1, int(model.toxic[i])), (0, int(model.counts[i] - model.toxic[i]))):
-                if times:
-                    x.append(model.vote(v, i))
-                    y.append(float(label))
-                    n.append(float(times))
-        if bare[0]:
-            x, y, n = [*x, model.vote(())], [*y, bare[1] / bare[0]], [*n, float(bare[0])]
-        model.steps = isotonic(np.array(x), np.array(y), np.array(n))
+        # each example's vote without itself, by the executors
+        shared = docs.sparkSession.sparkContext.broadcast(model)
+
+        def left_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            mine = shared.value
+            for batch in batches:
+                for at in range(0, batch.num_rows, TOGETHER):
+                    places = batch.column(0).slice(at, TOGETHER).to_pylist()
+                    cuts = [slice(mine.starts[i], mine.starts[i + 1]) for i in places]
+                    found = mine.votes([(mine.term[c], mine.value[c]) for c in cuts], places)
+                    yield pa.RecordBatch.from_arrays([pa.array(places, pa.int64()), pa.array(found, pa.float64())], names=["place", "vote"])
+
+        voted = docs.sparkSession.range(len(model.toxic)).mapInArrow(left_out, "place long, vote double").toArrow()
+        shared.destroy()
+        x, y = np.zeros(len(model.toxic)), model.toxic.astype(float)
+        x[voted["place"].to_numpy()] = voted["vote"].to_numpy()
+        n = np.ones(len(x))
+        if model.bare[0]:
+            x, y, n = np.append(x, model.bare_vote()), np.append(y, model.bare[1] / model.bare[0]), np.append(n, float(model.bare[0]))
+        model.steps = isotonic(x, y, n)
+        model._ready.clear()
     return model
 
 
@@ -282,11 +383,13 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", out: str = "sco
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mine = shared.value
-        for batch in batches:
-            made = [mine.score(t) for t in batch.column("_text").cast(pa.large_binary()).to_pylist()]
-            columns = [*(batch.column(c) for c in kept), pa.array([s for s, _ in made], pa.float64())]
-            if evidence:
-                columns.append(pa.array([mine.evidence(v) for _, v in made], kind))
-            yield pa.RecordBatch.from_arrays(columns, names=[*kept, out, *([evidence] if evidence else [])])
+        for whole in batches:
+            for at in range(0, whole.num_rows, TOGETHER):
+                batch = whole.slice(at, TOGETHER)
+                made = [mine.vector(t) for t in batch.column("_text").cast(pa.large_binary()).to_pylist()]
+                columns = [*(batch.column(c) for c in kept), pa.array(mine.scores(made), pa.float64())]
+                if evidence:
+                    columns.append(pa.array(mine.evidence(made), kind))
+                yield pa.RecordBatch.from_arrays(columns, names=[*kept, out, *([evidence] if evidence else [])])
 
     return docs.select(*kept, F.col(text_col).cast("string").alias("_text")).mapInArrow(scored, schema)
