@@ -85,6 +85,24 @@ def test_fim_samples_join_to_the_source():
         assert p + m + s in source
 
 
+def test_fim_parts_rejoin_to_the_whole_text(spark):
+    text = "\n".join(f"value_{i} = compute_something({i}) + {i}" for i in range(700)) + "\n" + "wide " * 2000 + "\nlast line of the text\n"
+    parts = fim.line_parts(text, "k")
+    assert "".join(p if isinstance(p, str) else "".join(p) for p in parts) == text
+    assert sum(isinstance(p, tuple) for p in parts) > 5 and fim.line_parts("", "k") == []
+    rows = fim.samples(spark.createDataFrame([(1, text, "c"), (2, "", "c"), (3, None, "c")], "doc_id long, text string, lang string"), plain_share=0).collect()
+    assert sum(r.kind == "fim" for r in rows if r.doc_id == 1) > 5 and {r.doc_id for r in rows} == {1, 2, 3}
+    joined = ""
+    for r in sorted((r for r in rows if r.doc_id == 1), key=lambda r: r.part):
+        if r.kind == "fim":
+            head, rest = r.sample[len(fim.BEGIN) :].split(fim.HOLE)
+            tail, middle = rest.removesuffix(fim.STOP).split(fim.END)
+            joined += head + middle + tail
+        else:
+            joined += r.sample
+    assert joined == text
+
+
 def test_order_puts_imports_first():
     nodes, edges = list("abcdef"), [("a", "b"), ("b", "c"), ("a", "d"), ("e", "f"), ("f", "e")]
     order = graph.order_files(nodes, edges)

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textloom.functions import text as T
+from textloom.operators.lines import _greedy_windows
 
 #: The tokens of the sample format, and the marker of completion prompts.
 BEGIN, HOLE, END, STOP, FILL = "<｜fim▁begin｜>", "<｜fim▁hole｜>", "<｜fim▁end｜>", "<｜end▁of▁sentence｜>", "<FILL_ME>"
@@ -55,10 +56,10 @@ def middle_line(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return rows.select(id_col, before.alias("prefix"), F.element_at("_l", F.col("_k") + 1).alias("middle"), suffix.alias("suffix"))
 
 
-def line_sample(text: str, key: str) -> tuple[str, str, str] | None:
-    """Prefix, middle and suffix about one line of a window, chosen by the key; None for short texts."""
-    pick = random.Random(key)
-    lines = text[: pick.choice(WINDOWS)].split("\n")
+def _window_sample(window: str, pick: random.Random) -> tuple[str, str, str] | None:
+    """Prefix, middle and suffix about one line of a window; None for at most LEAST_LINES lines."""
+    end = "\n" if window.endswith("\n") else ""
+    lines = window.removesuffix("\n").split("\n")
     n = len(lines)
     if n <= LEAST_LINES:
         return None
@@ -69,7 +70,22 @@ def line_sample(text: str, key: str) -> tuple[str, str, str] | None:
     if at >= n - 5:
         at = max(range(5, n - 1), key=lambda i: (len(lines[i]) if not lines[i].startswith("<|PathStart|>") else -1, -i))
     head, tail = "".join(x + "\n" for x in lines[:at]), "".join("\n" + x for x in lines[at + 1 :])
-    return head, lines[at], tail
+    return head, lines[at], tail + end
+
+
+def line_parts(text: str, key: str) -> list[str | tuple[str, str, str]]:
+    """The whole text in windows of whole lines, each as prefix, middle and suffix, or plain if it has few lines.
+
+    The key chooses the windows' size and the lines. The parts join to the text.
+    """
+    pick = random.Random(key)
+    return [_window_sample(w, pick) or w for w in _greedy_windows(text, pick.choice(WINDOWS), 10)]
+
+
+def line_sample(text: str, key: str) -> tuple[str, str, str] | None:
+    """The sample of the first window; None if that is plain."""
+    first = next(iter(line_parts(text, key)), None)
+    return first if isinstance(first, tuple) else None
 
 
 #: Statements that make multi-line middles, and expressions that make inline ones.
@@ -115,25 +131,30 @@ def tree_samples(source: str, key: str, least: int = 5, most: int = 1000) -> lis
 
 
 def samples(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", plain_share: float = 0.1, seed: int = 0) -> DataFrame:
-    """id, kind (fim or plain) and sample of each text.
+    """id, part, kind (fim or plain) and sample of each part of each text.
 
-    A share of the texts, by a hash of the id, stays plain; Python files give syntax
-    samples, others one line sample; what gives none stays plain.
+    A share of the texts, by a hash of the id, stays plain; Python files give their syntax
+    samples as one part, others a part for each window of lines, plain if it has few; what
+    gives none stays plain.
     """
 
-    @F.pandas_udf("struct<kind:string,sample:string>")
-    def made(ids: pd.Series, texts: pd.Series, langs: pd.Series) -> pd.DataFrame:
+    @F.pandas_udf("array<struct<kind:string,sample:string>>")
+    def made(ids: pd.Series, texts: pd.Series, langs: pd.Series) -> pd.Series:
         out = []
         for key, text, lang in zip(ids.astype(str), texts, langs):
             text = text or ""
             found = tree_samples(text, f"{seed}-{key}") if (lang or "").lower() == "python" else []
-            if not found:
-                one = line_sample(text, f"{seed}-{key}")
-                found = [one] if one else []
-            whole = "".join(f"{BEGIN}{p}{HOLE}{s}{END}{m}{STOP}" for p, m, s in found)
-            out.append(("fim", whole) if found else ("plain", text))
-        return pd.DataFrame(out, columns=["kind", "sample"])
-
-    plain = F.struct(F.lit("plain").alias("kind"), F.col(text_col).alias("sample"))
+            if found:
+                out.append([("fim", "".join(map(_written, found)))])
+            else:
+                out.append([("fim", _written(x)) if isinstance(x, tuple) else ("plain", x) for x in line_parts(text, f"{seed}-{key}")] or [("plain", text)])
+        return pd.Series([[{"kind": k, "sample": s} for k, s in parts] for parts in out])
+
+    plain = F.array(F.struct(F.lit("plain").alias("kind"), F.col(text_col).alias("sample")))
     chosen = F.when(T.uniform(id_col, str(seed)) < plain_share, plain).otherwise(made(F.col(id_col), F.col(text_col), F.col(lang_col)))
-    return docs.select(id_col, chosen.alias("_s")).select(id_col, "_s.kind", "_s.sample")
+    return docs.select(id_col, F.posexplode(chosen).alias("part", "_s")).select(id_col, "part", "_s.kind", "_s.sample")
+
+
+def _written(sample: tuple[str, str, str]) -> str:
+    prefix, middle, suffix = sample
+    return f"{BEGIN}{prefix}{HOLE}{suffix}{END}{middle}{STOP}"
