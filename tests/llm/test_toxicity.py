@@ -1,6 +1,7 @@
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -17,24 +18,6 @@ def test_held_out_accuracy(spark):
     assert all(0 <= r.score <= 1 for r in rows) and brier < 0.03
 
 
-def test_nearest_equals_comparing_with_every_vector():
-    rng = np.random.default_rng(6)
-    idf = rng.random(30) + 0.5
-    made = sorted({toxicity.normal(Counter(rng.integers(0, 30, rng.integers(1, 6)).tolist()), idf) for _ in range(400)})
-    counts = rng.integers(1, 4, len(made))
-    index = toxicity.Postings(made, counts, np.zeros(len(made), int), 30)
-    for _ in range(60):
-        query = toxicity.normal(Counter(rng.integers(0, 30, 3).tolist()), idf)
-        mine = dict(query)
-        cosines = np.array([sum(w * mine.get(t, 0) for t, w in v) for v in made])
-        order = np.argsort(-cosines, kind="stable")
-        at = np.searchsorted(np.cumsum(counts[order]), 10)
-        kth = max(cosines[order[min(at, len(order) - 1)]], 1e-12)
-        places, found = index.nearest(query, 10)
-        assert sorted(places.tolist()) == np.flatnonzero(cosines >= kth - 1e-9).tolist()
-        assert np.allclose(found, cosines[places])
-
-
 def test_isotonic_is_monotone_and_keeps_the_mean():
     x, y = np.arange(8.0), np.array([0, 0, 1, 0, 0, 1, 1, 1.0])
     at, value = toxicity.isotonic(x, y, np.ones(8))
@@ -45,7 +28,7 @@ def test_isotonic_is_monotone_and_keeps_the_mean():
 def test_odd_rows(spark, odd, none, labelled):
     labels = spark.createDataFrame([(i, i % 2) for i in range(labelled)] + [(None, 1), (3, None)], "doc_id long, toxic int")
     model = toxicity.fit(odd, labels)
-    rows = toxicity.score(odd.withColumn("score", F.lit("clash")), model, evidence="why").collect()
+    rows = toxicity.score(odd.withColumn("Score", F.lit("clash")).withColumn("_text", F.lit("clash")), model, evidence="why").collect()
     assert len(rows) == odd.count() and all(0 <= r.score <= 1 for r in rows)
     assert toxicity.score(none, toxicity.fit(none, labels)).count() == 0
 
@@ -64,11 +47,14 @@ def test_smallest_label_set_rejects_its_toxic_documents(spark):
     assert scored[10**6] >= 0.5 > scored[10**6 + 1]
 
 
-def test_model_nearest_equals_comparing_with_every_example(spark):
+@pytest.mark.parametrize("block, dense, first", [(64, 768, (6, 24)), (4, 40, (8,)), (2, 0, (13, 20)), (7, 5000, (4, 6))])
+def test_model_nearest_equals_comparing_with_every_example(spark, monkeypatch, block, dense, first):
+    for name, value in (("BLOCK", block), ("DENSE", dense), ("FIRST", first), ("GATHERED", 6)):
+        monkeypatch.setattr(toxicity, name, value)
     where = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{where}/documents.parquet").select("doc_id", "text")
     model = toxicity.fit(docs, spark.read.parquet(f"{where}/labels.parquet"))
-    vectors = [model.vector((r.text or "").encode()) for r in docs.limit(40).collect()] + [model.vector(None)]
+    vectors = model.vectors(pa.array([r.text for r in docs.limit(40).collect()] + [None]))
     rows = np.zeros((len(model.toxic), len(model.terms)))
     for i in range(len(rows)):
         cut = slice(model.starts[i], model.starts[i + 1])
@@ -78,3 +64,11 @@ def test_model_nearest_equals_comparing_with_every_example(spark):
         kth = np.sort(all_)[-25]
         assert set(places.tolist()) == set(np.flatnonzero((all_ > 0) & (all_ >= kth - 1e-9)).tolist())
         assert np.allclose(cosines, all_[places])
+
+
+def test_left_out_example_is_not_its_own_neighbour(spark):
+    where = "/root/testdata/sf0.001"
+    model = toxicity.fit(spark.read.parquet(f"{where}/documents.parquet"), spark.read.parquet(f"{where}/labels.parquet"))
+    own = [(model.term[a:b], model.value[a:b]) for a, b in zip(model.starts[:-1], model.starts[1:])]
+    for i, (places, _) in enumerate(model.nearest(own, 5, list(range(len(own))))):
+        assert i not in places and len(places) >= 5

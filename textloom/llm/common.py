@@ -18,6 +18,14 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def free_name(docs: DataFrame, name: str) -> str:
+    """A column name that docs does not use, in any case."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def row_keys(taken: int, n: int) -> np.ndarray:
     """Keys for the next n rows of this task, after `taken` earlier ones.
 

@@ -1,22 +1,19 @@
 """Toxicity by nearest labelled examples: exact TF-IDF cosine over an inverted index.
 
 The labelled examples are a bounded sample (EXAMPLES rows at most, chosen by a hash of
-the id). Terms are all words and word beginnings of the examples. None is cut; a term's
-TF-IDF weight is scaled by how surely its smoothed log-odds tell the labels apart, since
-unscaled a few telling words drown in hundreds of ordinary ones. Document frequencies
-come from all documents. A text's score is its nearest examples' distance-weighted vote,
-mapped to a probability by an isotonic fit to votes that leave each example itself out.
+the id). Terms are all words of the examples. None is cut; a term's TF-IDF weight is
+scaled by how surely its smoothed log-odds tell the labels apart, since unscaled a few
+telling words drown in hundreds of ordinary ones. Document frequencies come from all
+documents. A text's score is its nearest examples' distance-weighted vote, mapped to a
+probability by an isotonic fit to votes that leave each example itself out.
 """
 
 from __future__ import annotations
 
 import math
-import re
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -25,27 +22,43 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
 
-from textloom.llm.common import text_bytes
-from textloom.llm.encoding import Memo
+from textloom.llm.common import free_name, text_bytes
 
 EXAMPLES = 20_000
 NEIGHBOURS = 25
 BLOCK = 64
-#: Terms in most examples, whose weights are multiplied as a matrix; texts compared at once.
-DENSE, TOGETHER = 1024, 128
+#: Terms in most examples, whose weights are multiplied as a matrix; texts compared at once; centres that order the examples.
+DENSE, TOGETHER, GATHERED = 768, 256, 160
+#: How many blocks are opened for a first k-th cosine, and for a better one.
+FIRST = (6, 24)
 #: The share of labels that smooth a term's odds, the squared deviation that scales its weight to about a half, and the least one counted.
 SMOOTH, HALF, LEAST = 5.0, 30.0, 0.1
-PREFIXES = (3, 4, 5, 6, 7)
-_LETTERS = re.compile(r"[^\W\d_]+")
+_OTHERS = r"[^\p{L}]+"
+#: Rows and bytes of text that are cut into words at once, about.
+ROWS, TEXT = 4096, 32 << 20
 
 
-def terms_of(chunk: bytes) -> tuple[str, ...]:
-    """The terms of a piece of text between blanks: its words in lower case, and their beginnings (marked ^)."""
-    found = []
-    for word in _LETTERS.findall(chunk.decode(errors="replace").lower()):
-        found.append(word)
-        found += ["^" + word[:k] for k in PREFIXES if len(word) > k]
-    return tuple(found)
+def words_of(texts: pa.Array) -> pa.Array:
+    """The terms of each text: its runs of letters in lower case (and empty strings at its ends); null has none."""
+    return pc.split_pattern_regex(pc.utf8_lower(texts.cast(pa.large_string()).fill_null("")), _OTHERS)
+
+
+def slices(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
+    """The batch in parts of at most ROWS rows and, but for single longer texts, TEXT bytes of a text column."""
+    ends = np.cumsum(pc.binary_length(batch.column(column)).fill_null(0).to_numpy().astype(np.int64))
+    at = 0
+    while at < batch.num_rows:
+        upto = int(np.searchsorted(ends, (ends[at - 1] if at else 0) + TEXT, "right"))
+        upto = min(max(upto, at + 1), at + ROWS)
+        yield batch.slice(at, upto - at)
+        at = upto
+
+
+def distinct(row: np.ndarray, term: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each row's distinct terms (below width), ascending, with their rows and how often each occurs."""
+    key = np.sort(row * width + term)
+    at = np.flatnonzero(np.diff(key, prepend=-1))
+    return key[at] // width, key[at] % width, np.diff(at, append=len(key))
 
 
 def held_out(id_col: str = "doc_id"):
@@ -63,56 +76,138 @@ def examples(labels: DataFrame, most: int = EXAMPLES, id_col: str = "doc_id", la
     return known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
 
 
-class Postings:
-    """Block-max inverted index over distinct vectors, each with its numbers of examples and of toxic ones."""
+class Blocks:
+    """Block-max inverted index over the examples, in single precision.
+
+    Examples are put in an order that brings alike ones together and cut into blocks of
+    BLOCK. The postings of the DENSE most frequent terms lie as a matrix, with each term's
+    largest weight in each block; the other terms keep ordinary postings, which are short.
+    """
 
-    def __init__(self, vectors: list[tuple[tuple[int, float], ...]], counts: np.ndarray, toxic: np.ndarray, terms: int):
-        self.counts, self.toxic = counts, toxic
-        self.blocks = -(-len(vectors) // BLOCK)
-        by: list[list[tuple[int, float]]] = [[] for _ in range(terms)]
-        for i, v in enumerate(vectors):
-            for t, w in v:
-                by[t].append((i, w))
-        self.ids = [np.array([i for i, _ in x], np.int64) for x in by]
-        self.weights = [np.array([w for _, w in x]) for x in by]
-        self.cuts = [np.searchsorted(ids, np.arange(self.blocks + 1) * BLOCK) for ids in self.ids]
-        self.most = [np.array([w[a:b].max(initial=0.0) for a, b in zip(c[:-1], c[1:])]) for w, c in zip(self.weights, self.cuts)]
+    def __init__(self, starts: np.ndarray, term: np.ndarray, value: np.ndarray, terms: int):
+        n = len(starts) - 1
+        rows = np.repeat(np.arange(n, dtype=np.int32), np.diff(starts))
+        have = np.bincount(term, minlength=terms)
+        most = np.argsort(-have, kind="stable")[:DENSE]
+        self.column = np.full(terms, -1, np.int32)
+        self.column[most] = np.arange(len(most))
+        common = self.column[term] >= 0
+        held = np.zeros((n, len(most)), np.float32)
+        held[rows[common], self.column[term[common]]] = value[common]
+        self.centres, self.order = self._together(held)
+        self.place = np.empty(n, np.int32)
+        self.place[self.order] = np.arange(n)
+        self.blocks = -(-n // BLOCK)
+        self.dense = np.zeros((self.blocks, len(most), BLOCK), np.float32)
+        for b in range(self.blocks):
+            mine = self.order[b * BLOCK : (b + 1) * BLOCK]
+            self.dense[b, :, : len(mine)] = held[mine].T
+        del held
+        self.most = np.ascontiguousarray(self.dense.max(axis=2).T) if n else np.zeros((len(most), 0), np.float32)
+        rare = np.flatnonzero(~common)
+        rare = rare[np.argsort(term[rare], kind="stable")]
+        self.first = np.concatenate(([0], np.cumsum(np.where(self.column < 0, have, 0))))
+        self.ids, self.weights = self.place[rows[rare]], value[rare]
+
+    @staticmethod
+    def _together(held: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """GATHERED centres of the rows, and an order that keeps alike rows together: by the nearest centre, then by likeness to it."""
+        n = len(held)
+        if n <= BLOCK:
+            return held[:1], np.arange(n)
+        centres = held[np.linspace(0, n - 1, GATHERED).astype(int)]
+        for _ in range(4):
+            like = held @ centres.T
+            nearest = like.argmax(axis=1)
+            sums = np.zeros_like(centres)
+            for c in range(len(centres)):
+                sums[c] = held[nearest == c].sum(axis=0)
+            length = np.linalg.norm(sums, axis=1, keepdims=True)
+            centres = np.where(length > 0, sums / np.maximum(length, 1e-30), centres)
+        like = held @ centres.T
+        nearest = like.argmax(axis=1)
+        return centres, np.lexsort((-like[np.arange(n), nearest], nearest))
+
+    def candidates(self, vectors: list[tuple[np.ndarray, np.ndarray]], k: int, leave: list[int] | None = None) -> list[np.ndarray]:
+        """For each vector the places of all examples that may be among its k nearest.
+
+        Alike vectors, which open the same blocks, are taken together.
+        """
+        if not self.blocks:
+            return [np.zeros(0, np.int64) for _ in vectors]
+        asked = np.zeros((len(vectors), self.dense.shape[1]), np.float32)
+        rare = []
+        for i, (t, w) in enumerate(vectors):
+            at = self.column[t]
+            common = at >= 0
+            asked[i, at[common]] = w[common]
+            rare.append((t[~common], w[~common]))
+        order = np.argsort((asked @ self.centres.T).argmax(axis=1), kind="stable")
+        out: list[np.ndarray] = [self.order] * len(vectors)
+        for at in range(0, len(order), TOGETHER):
+            some = order[at : at + TOGETHER]
+            found = self._candidates(asked[some], [rare[i] for i in some], k, None if leave is None else self.place[[leave[i] for i in some]])
+            for i, places in zip(some, found):
+                out[i] = places
+        return out
 
-    def nearest(self, query: tuple[tuple[int, float], ...], k: int, leave: int | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """Places and cosines of the vectors that hold the k nearest examples, all ties at the k-th included.
+    def _candidates(self, asked: np.ndarray, rare: list[tuple[np.ndarray, np.ndarray]], k: int, leave: np.ndarray | None) -> list[np.ndarray]:
+        """Candidates of vectors given by their weights of the frequent terms and their rare terms.
 
-        Blocks are opened by their highest possible cosine, until none left can reach the
-        k-th; so the result is that of comparing with every vector. `leave` takes one
-        example of that vector out. Vectors that share no term are not near.
+        The rare terms' shares of every cosine are added up from their postings. A block's
+        bound is the largest of these plus, over the frequent terms, the vector's weight times
+        the block's largest. A vector's best blocks by bound are opened first and give a k-th
+        cosine; at last every block whose bound reaches it is. So no near example is missed.
         """
-        bound = np.zeros(self.blocks)
-        for t, w in query:
-            bound += w * self.most[t]
-        places, cosines, kth = np.zeros(0, np.int64), np.zeros(0), 0.0
-        for b in np.argsort(-bound, kind="stable"):
-            if bound[b] <= 0 or bound[b] < kth - 1e-12:
-                break
-            made = np.zeros(BLOCK)
-            for t, w in query:
-                a, z = self.cuts[t][b], self.cuts[t][b + 1]
-                made[self.ids[t][a:z] - b * BLOCK] += w * self.weights[t][a:z]
-            near = np.flatnonzero((made > 0) & (made >= kth - 1e-12))
-            places, cosines = np.concatenate((places, near + b * BLOCK)), np.concatenate((cosines, made[near]))
-            order = np.argsort(-cosines, kind="stable")
-            have = np.cumsum(self.counts[places[order]] - (places[order] == leave))
-            at = np.searchsorted(have, k)
-            if at < len(order):
-                kth = cosines[order[at]]
-                keep = cosines >= kth - 1e-12
-                places, cosines = places[keep], cosines[keep]
-        return places, cosines
+        m, size = len(asked), self.blocks * BLOCK
+        made = np.zeros((m, self.blocks, BLOCK), np.float32)
+        for i, (t, w) in enumerate(rare):
+            first = self.first[t]
+            each = self.first[t + 1] - first
+            total = int(each.sum())
+            if total:
+                at = np.repeat(first - np.cumsum(each) + each, each) + np.arange(total)
+                made[i] = np.bincount(self.ids[at], self.weights[at] * np.repeat(w, each), size).reshape(self.blocks, BLOCK)
+        every = np.arange(m)
+        without = None if leave is None else np.divmod(leave, BLOCK)
+        bound = asked @ self.most + made.max(axis=2)
+        best = np.argsort(-bound, axis=1, kind="stable")
+        kth, opened = np.zeros(m, np.float32), np.zeros(bound.shape, bool)
+        for share in (*FIRST, self.blocks):
+            wanted = (bound >= kth[:, None] - 1e-5) & ~opened
+            if share < self.blocks:
+                some = np.zeros(bound.shape, bool)
+                np.put_along_axis(some, best[:, :share], True, axis=1)
+                wanted &= some
+            for b in np.flatnonzero(wanted.any(axis=0)):
+                rows = np.flatnonzero(wanted[:, b])
+                made[rows, b] += asked[rows] @ self.dense[b]
+            opened |= wanted
+            if without is not None:
+                made[every, *without] = 0
+            if share < self.blocks and share * BLOCK > k:
+                seen = made[every[:, None], best[:, :share]].reshape(m, -1)  # what is not opened counts too low
+                kth = np.partition(seen, seen.shape[1] - k, axis=1)[:, seen.shape[1] - k]
+        found = []
+        for b in np.flatnonzero(opened.any(axis=0)):
+            rows = np.flatnonzero(opened[:, b])
+            values = made[rows, b]
+            row, at = np.nonzero((values > 0) & (values >= kth[rows, None] - 1e-5))
+            found.append((rows[row], at + b * BLOCK, values[row, at]))
+        row, place, value = (np.concatenate(x) for x in zip(*found))
+        by = np.argsort(row, kind="stable")
+        place, value, cuts, out = place[by], value[by], np.searchsorted(row[by], np.arange(m + 1)), []
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            mine = value[a:b]
+            out.append(self.order[place[a:b] if b - a <= k else place[a:b][mine >= np.partition(mine, b - a - k)[b - a - k] - 1e-5]])
+        return out
 
 
 @dataclass
 class Model:
     """All that scoring needs: the examples as rows of (term, times it occurs) from starts[i] to starts[i + 1]."""
 
-    terms: dict[str, int]
+    terms: pa.Array
     weight: np.ndarray
     starts: np.ndarray
     term: np.ndarray
@@ -126,30 +221,32 @@ class Model:
     def __getstate__(self):
         """Compressed, since every machine keeps a copy on disk: terms as text, rows as steps between ascending terms."""
         state = {k: v for k, v in self.__dict__.items() if k not in ("_ready", "terms", "term", "times")}
-        steps = np.diff(self.term, prepend=np.int32(0)).astype(np.int32)
+        steps = np.diff(self.term, prepend=0).astype(np.int32)
         planes = steps.view(np.uint8).reshape(-1, 4).T.tobytes()
-        return state | {"_packed": [zlib.compress(x, 1) for x in ("\n".join(self.terms).encode(), planes, self.times.tobytes())]}
+        return state | {"_packed": [zlib.compress(x, 1) for x in ("\n".join(self.terms.to_pylist()).encode(), planes, self.times.tobytes())]}
 
     def __setstate__(self, state):
         terms, planes, times = map(zlib.decompress, state.pop("_packed"))
-        self.__dict__ |= state | {"_ready": {}, "terms": {t: i for i, t in enumerate(terms.decode().split("\n"))} if terms else {}}
+        self.__dict__ |= state | {"_ready": {}, "terms": pa.array(terms.decode().split("\n") if terms else [], pa.large_string())}
         steps = np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(4, -1).T).view(np.int32)[:, 0] if planes else np.zeros(0, np.int32)
         self.term, self.times = np.cumsum(steps, dtype=np.int32), np.frombuffer(times, np.int32)
 
-    def counts(self, text: bytes | None) -> tuple[np.ndarray, np.ndarray]:
-        """The text's terms, ascending, and how often each occurs."""
-        if "memo" not in self._ready:
-            self._ready["memo"] = Memo(lambda chunk: tuple(self.terms[t] for t in terms_of(chunk) if t in self.terms), 100_000).__getitem__
-        found = np.fromiter(chain.from_iterable(map(self._ready["memo"], (text or b"").split())), np.int32)
-        found.sort()
-        at = np.flatnonzero(np.diff(found, prepend=np.int32(-1)))
-        return found[at], np.diff(at, append=len(found)).astype(np.int32)
-
-    def vector(self, text: bytes | None) -> tuple[np.ndarray, np.ndarray]:
-        """The text's terms and their weights, of length one; empty if it has none of them."""
-        at, n = self.counts(text)
-        made = (1 + np.log(n)) * self.weight[at]
-        return at, (made / (math.sqrt(made @ made) or 1)).astype(np.float32)
+    def counts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The terms of each text, ascending, how often each occurs, and where each text's terms start (one more at the end)."""
+        words = words_of(texts)
+        found = pc.index_in(words.flatten(), value_set=self.terms).fill_null(-1).to_numpy().astype(np.int64)
+        row = np.repeat(np.arange(len(texts)), pc.list_value_length(words).to_numpy())
+        row, term, times = distinct(row[found >= 0], found[found >= 0], max(1, len(self.terms)))
+        return term, times, np.searchsorted(row, np.arange(len(texts) + 1))
+
+    def vectors(self, texts: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Each text's terms and their weights, of length one; empty if it has none of them."""
+        term, times, starts = self.counts(texts)
+        made = (1 + np.log(times)) * self.weight[term]
+        square = np.concatenate(([0], np.cumsum(made * made)))
+        length = np.sqrt(np.maximum(np.diff(square[starts]), 1e-300))
+        made = (made / np.repeat(length, np.diff(starts))).astype(np.float32)
+        return [(term[a:b], made[a:b]) for a, b in zip(starts[:-1].tolist(), starts[1:].tolist())]
 
     @property
     def value(self) -> np.ndarray:
@@ -161,54 +258,24 @@ class Model:
         return self._ready["value"]
 
     @property
-    def index(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Each term's column in the matrix of the DENSE most frequent (-1: none), that matrix, and the postings of the rest."""
+    def index(self) -> "Blocks":
         if "index" not in self._ready:
-            rows = np.repeat(np.arange(len(self.toxic), dtype=np.int32), np.diff(self.starts))
-            n = np.bincount(self.term, minlength=len(self.terms))
-            column = np.full(len(self.terms), -1, np.int32)
-            most = np.argsort(-n, kind="stable")[:DENSE]
-            column[most] = np.arange(len(most))
-            dense = np.zeros((len(most), len(self.toxic)), np.float32)
-            common = column[self.term] >= 0
-            dense[column[self.term[common]], rows[common]] = self.value[common]
-            rare = np.flatnonzero(~common)
-            rare = rare[np.argsort(self.term[rare], kind="stable")]
-            cuts = np.concatenate(([0], np.cumsum(np.where(column < 0, n, 0))))
-            self._ready["index"] = column, dense, cuts, rows[rare], self.value[rare]
+            self._ready["index"] = Blocks(self.starts, self.term, self.value, len(self.terms))
         return self._ready["index"]
 
     def nearest(self, vectors: list[tuple[np.ndarray, np.ndarray]], k: int, leave: list[int] | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
         """For each vector the places and cosines of its k nearest examples, all ties at the k-th included.
 
-        Frequent terms are multiplied as matrices and the others added from their postings,
-        in single precision; what may be among the k is then compared in double precision.
-        So every example is compared. `leave` names an example to take out. Examples that
-        share no term are not near.
+        The block-max index leaves the examples that may be among the k; these are compared
+        whole, in double precision. `leave` names an example to take out. Examples that share
+        no term are not near.
         """
-        column, dense, cuts, ids, values = self.index
-        asked = np.zeros((len(vectors), len(dense)), np.float32)
-        for i, (t, w) in enumerate(vectors):
-            common = column[t] >= 0
-            asked[i, column[t[common]]] = w[common]
-        made = asked @ dense
-        whole, out = np.zeros(len(self.terms)), []
-        for i, (t, w) in enumerate(vectors):
-            rare = column[t] < 0
-            first, size = cuts[t[rare]], cuts[t[rare] + 1] - cuts[t[rare]]
-            total = int(size.sum())
-            if total:
-                at = np.repeat(first - np.cumsum(size) + size, size) + np.arange(total)
-                made[i] += np.bincount(ids[at], values[at] * np.repeat(w[rare], size), len(self.toxic)).astype(np.float32)
-            if leave is not None:
-                made[i, leave[i]] = 0
-            row = made[i]
-            kth = np.partition(row, len(row) - k)[len(row) - k] if len(row) > k else 0
-            places = np.flatnonzero((row > 0) & (row >= kth - 1e-5))
+        whole, out = np.zeros(len(self.terms), np.float32), []
+        for (t, w), places in zip(vectors, self.index.candidates(vectors, k, leave)):
             whole[t] = w
             size = self.starts[places + 1] - self.starts[places]
             at = np.repeat(self.starts[places] - np.cumsum(size) + size, size) + np.arange(int(size.sum()))
-            cosines = np.bincount(np.repeat(np.arange(len(places)), size), whole[self.term[at]] * self.value[at], len(places))
+            cosines = np.bincount(np.repeat(np.arange(len(places)), size), np.multiply(whole[self.term[at]], self.value[at], dtype=np.float64), len(places))
             whole[t] = 0
             if len(places) > k:
                 keep = cosines >= np.partition(cosines, len(places) - k)[len(places) - k] - 1e-12
@@ -221,18 +288,20 @@ class Model:
         prior = (int(self.toxic.sum()) + self.bare[1] + 1) / (len(self.toxic) + self.bare[0] + 2)
         return (self.bare[1] + prior) / (self.bare[0] + 1)
 
-    def votes(self, vectors: list[tuple[np.ndarray, np.ndarray]], leave: list[int] | None = None) -> list[float]:
-        """Distance-weighted share of toxic examples among the nearest of each, drawn slightly to the share of all."""
+    def votes(self, vectors: list[tuple[np.ndarray, np.ndarray]], leave: list[int] | None = None) -> list[float | None]:
+        """Distance-weighted share of toxic examples among the nearest of each, drawn slightly to the share of all; None without any near."""
         toxic, all_ = int(self.toxic.sum()) + self.bare[1], len(self.toxic) + self.bare[0]
         prior, out = (toxic + 1) / (all_ + 2), []
         for places, cosines in self.nearest(vectors, NEIGHBOURS, leave):
             weight = 1 / (1.05 - np.minimum(cosines, 1.0))
-            out.append(float(((self.toxic[places] * weight).sum() + prior) / (weight.sum() + 1)) if len(places) else self.bare_vote())
+            out.append(float(((self.toxic[places] * weight).sum() + prior) / (weight.sum() + 1)) if len(places) else None)
         return out
 
     def scores(self, vectors: list[tuple[np.ndarray, np.ndarray]]) -> list[float]:
-        votes = self.votes(vectors)
-        return votes if self.steps is None or not len(self.steps[0]) else np.interp(votes, *self.steps).tolist()
+        """The calibrated vote on each; without any near example the share of toxic ones among such examples."""
+        votes, bare = self.votes(vectors), self.bare_vote()
+        mapped = votes if self.steps is None or not len(self.steps[0]) else np.interp([v or 0.0 for v in votes], *self.steps).tolist()
+        return [bare if v is None else m for v, m in zip(votes, mapped)]
 
     def evidence(self, vectors: list[tuple[np.ndarray, np.ndarray]], most: int = 3) -> list[list[dict]]:
         """The nearest examples of each: id, cosine and label."""
@@ -255,12 +324,6 @@ def telling(n: np.ndarray, t: np.ndarray, all_: int, bad: int) -> np.ndarray:
     return (LEAST + square) / (HALF + square)
 
 
-def normal(counts: Counter, idf: np.ndarray) -> tuple[tuple[int, float], ...]:
-    weights = [(t, (1 + math.log(n)) * idf[t]) for t, n in sorted(counts.items())]
-    length = math.sqrt(sum(w * w for _, w in weights))
-    return tuple((t, round(w / length, 9)) for t, w in weights) if length else ()
-
-
 def isotonic(x: np.ndarray, y: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Non-decreasing least-squares fit: the x and value of each level's ends."""
     order = np.argsort(x, kind="stable")
@@ -274,6 +337,12 @@ def isotonic(x: np.ndarray, y: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, n
     return np.array([e for v in levels for e in v[2:]]), np.array([v[0] for v in levels for _ in range(2)])
 
 
+def centred(ends: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The middles of the levels of isotonic(), to be joined by straight lines, so that votes within a level get scores of their own."""
+    middle, at = np.unique((ends[::2] + ends[1::2]) / 2, return_inverse=True)
+    return middle, np.bincount(at, values[::2]) / np.bincount(at)
+
+
 def fit(docs: DataFrame, labels: DataFrame, most: int = EXAMPLES, id_col: str = "doc_id", text_col: str = "text") -> Model:
     """Learn from the labelled examples among docs; document frequencies are those of all docs.
 
@@ -286,25 +355,23 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = EXAMPLES, id_col: str =
 
     def by_term(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 2048):
-                some = batch.slice(at, 2048)
-                n, toxic = Counter(), Counter()
-                for text, label in zip(some.column(1).cast(pa.large_binary()).to_pylist(), some.column(2).to_pylist()):
-                    found = {t for chunk in set((text or b"").split()) for t in terms_of(chunk)}
-                    n.update(found)
-                    if label:
-                        toxic.update(found)
-                keys = list(n)
-                yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array([n[k] for k in keys], pa.int64()), pa.array([toxic[k] for k in keys], pa.int64())], names=["term", "n", "t"])
+            for some in slices(batch, 1):
+                words = words_of(some.column(1))
+                coded = words.flatten().dictionary_encode()
+                width = max(1, len(coded.dictionary))
+                row, term, _ = distinct(np.repeat(np.arange(some.num_rows), pc.list_value_length(words).to_numpy()), coded.indices.to_numpy().astype(np.int64), width)
+                toxic = some.column(2).to_numpy()[row] == 1
+                n, t = (np.bincount(x, minlength=width)[: len(coded.dictionary)] for x in (term, term[toxic]))
+                yield pa.RecordBatch.from_arrays([coded.dictionary.cast(pa.string()), pa.array(n), pa.array(t)], names=["term", "n", "t"])
 
     total, bad = known.agg(F.count("*"), F.sum("toxic")).first()
     good, bad = (total or 0) - (bad or 0), bad or 0
-    terms: dict[str, int] = {}
+    terms = pa.array([], pa.large_string())
     told = np.zeros(0)
     if good and bad:
-        found = known.mapInArrow(by_term, "term string, n long, t long").groupBy("term").agg(F.sum("n").alias("n"), F.sum("t").alias("t")).toArrow()
+        found = known.mapInArrow(by_term, "term string, n long, t long").where("term <> ''").groupBy("term").agg(F.sum("n").alias("n"), F.sum("t").alias("t")).toArrow()
         found = found.take(pc.sort_indices(found["term"]))
-        terms = {term: i for i, term in enumerate(found["term"].to_pylist())}
+        terms = found["term"].cast(pa.large_string()).combine_chunks()
         told = telling(found["n"].to_numpy(), found["t"].to_numpy(), total, bad)
         del found
 
@@ -312,28 +379,26 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = EXAMPLES, id_col: str =
     model = Model(terms, np.ones(len(terms)), np.zeros(1, np.int64), none, none, none, none, (0, 0))
 
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n, rows = np.zeros(len(model.terms) + 1, np.int64), 0
+        n = np.zeros(len(model.terms) + 1, np.int64)
         for batch in batches:
-            for text in batch.column(0).cast(pa.large_binary()).to_pylist():
-                n[model.counts(text)[0]] += 1
-                rows += 1
-        n[-1] = rows
+            for some in slices(batch, 0):
+                np.add.at(n, model.counts(some.column(0))[0], 1)
+                n[-1] += some.num_rows
         some = np.flatnonzero(n)
         yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(n[some])], names=["term", "n"])
 
     df = np.zeros(len(terms) + 1)
-    if terms:
+    if len(terms):
         made = texts.select("text").mapInArrow(frequencies, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
         df[made["term"].to_numpy()] = made["n"].to_numpy()
     model.weight = (np.log((1 + df[-1]) / (1 + df[:-1])) + 1) * told
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
-                some = batch.slice(at, 1024)
-                made = [model.counts(t) for t in some.column(1).cast(pa.large_binary()).to_pylist()]
-                columns = [some.column(0), some.column(2), pa.array([t.tobytes() for t, _ in made], pa.binary()), pa.array([n.tobytes() for _, n in made], pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "toxic", "t", "n"])
+            for some in slices(batch, 1):
+                term, times, starts = model.counts(some.column(1))
+                made = [[x[a:b].astype(np.int32).tobytes() for a, b in zip(starts[:-1], starts[1:])] for x in (term, times)]
+                yield pa.RecordBatch.from_arrays([some.column(0), some.column(2), *(pa.array(x, pa.binary()) for x in made)], names=["doc_id", "toxic", "t", "n"])
 
     held = known.mapInArrow(vectors, "doc_id long, toxic int, t binary, n binary").toArrow()
     held = held.take(pc.sort_indices(held, [("doc_id", "ascending"), ("toxic", "ascending")]))
@@ -350,20 +415,18 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = EXAMPLES, id_col: str =
         def left_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             mine = shared.value
             for batch in batches:
-                for at in range(0, batch.num_rows, TOGETHER):
-                    places = batch.column(0).slice(at, TOGETHER).to_pylist()
+                for at in range(0, batch.num_rows, ROWS):
+                    places = batch.column(0).slice(at, ROWS).to_pylist()
                     cuts = [slice(mine.starts[i], mine.starts[i + 1]) for i in places]
                     found = mine.votes([(mine.term[c], mine.value[c]) for c in cuts], places)
                     yield pa.RecordBatch.from_arrays([pa.array(places, pa.int64()), pa.array(found, pa.float64())], names=["place", "vote"])
 
         voted = docs.sparkSession.range(len(model.toxic)).mapInArrow(left_out, "place long, vote double").toArrow()
         shared.destroy()
-        x, y = np.zeros(len(model.toxic)), model.toxic.astype(float)
+        x = np.full(len(model.toxic), np.nan)
         x[voted["place"].to_numpy()] = voted["vote"].to_numpy()
-        n = np.ones(len(x))
-        if model.bare[0]:
-            x, y, n = np.append(x, model.bare_vote()), np.append(y, model.bare[1] / model.bare[0]), np.append(n, float(model.bare[0]))
-        model.steps = isotonic(x, y, n)
+        near = ~np.isnan(x)
+        model.steps = centred(*isotonic(x[near], model.toxic[near].astype(float), np.ones(int(near.sum()))))
         model._ready.clear()
     return model
 
@@ -372,10 +435,12 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", out: str = "sco
     """docs with the score of each text (0 to 1, higher: toxic likelier) and, if named, its evidence column.
 
     Only the text is an input. Null and empty texts score like examples without any term.
-    Rows stay as they are and where they are; a column named `out` is replaced.
+    Rows stay as they are and where they are; a column named `out` (in any case) is replaced.
+    An empty table gives an empty one.
     """
-    kept = [c for c in docs.columns if c not in (out, evidence)]
-    schema = docs.select(*kept).schema.add(out, "double")
+    kept = [c for c in docs.columns if c.lower() not in (out.lower(), (evidence or out).lower())]
+    columns = [F.col(f"`{c}`") for c in kept]
+    schema = docs.select(*columns).schema.add(out, "double")
     kind = pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64()), ("toxic", pa.int32())]))
     if evidence:
         schema = schema.add(evidence, ArrayType(StructType().add("doc_id", "long").add("cosine", "double").add("toxic", "integer")))
@@ -384,12 +449,11 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", out: str = "sco
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mine = shared.value
         for whole in batches:
-            for at in range(0, whole.num_rows, TOGETHER):
-                batch = whole.slice(at, TOGETHER)
-                made = [mine.vector(t) for t in batch.column("_text").cast(pa.large_binary()).to_pylist()]
-                columns = [*(batch.column(c) for c in kept), pa.array(mine.scores(made), pa.float64())]
+            for batch in slices(whole, 0):
+                made = mine.vectors(batch.column(0))
+                columns = [*batch.columns[1:], pa.array(mine.scores(made), pa.float64())]
                 if evidence:
                     columns.append(pa.array(mine.evidence(made), kind))
                 yield pa.RecordBatch.from_arrays(columns, names=[*kept, out, *([evidence] if evidence else [])])
 
-    return docs.select(*kept, F.col(text_col).cast("string").alias("_text")).mapInArrow(scored, schema)
+    return docs.select(F.col(text_col).cast("string").alias(free_name(docs, "_text")), *columns).mapInArrow(scored, schema)
