@@ -44,6 +44,12 @@ def shared_dir(spark: SparkSession) -> str:
     return found
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """df over all cores where its files give fewer tasks than four a core, for work that is dear a row; else as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < 4 * cores else df
+
+
 class Workspace:
     """Tables written to the shared folder, to cut lineage and to be read more than once.
 
@@ -69,6 +75,18 @@ class Workspace:
         out._textloom_path = at
         return out
 
+    def keep_bucketed(self, df: DataFrame, name: str, buckets: int, by: str) -> DataFrame:
+        """Write df once as a table in so many buckets by a column; its name leaves the catalog when the process ends."""
+        df.write.format("parquet").option("path", self.path(name)).option("compression", "none").bucketBy(buckets, by).saveAsTable(name)
+        atexit.register(self._forget, name)
+        return self.spark.table(name)
+
+    def _forget(self, name: str) -> None:
+        try:
+            self.spark.sql(f"drop table if exists {name}")
+        except Exception:  # noqa: BLE001  the session ended before this hook ran
+            return
+
     def drop(self, what: DataFrame | str) -> None:
         """Remove a table that keep() returned, or a path; silent when Spark is gone."""
         at = what if isinstance(what, str) else what._textloom_path
