@@ -3,7 +3,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from textloom.llm import substring_dedup
+from textloom.llm import blocks, substring_dedup
 
 
 def plain(texts, window):
@@ -35,7 +35,7 @@ def made(rng, n):
 
 @pytest.mark.parametrize("block_bytes", [3000, 1 << 20])
 def test_repeated_windows_against_brute_force(spark, monkeypatch, block_bytes):
-    monkeypatch.setattr(substring_dedup, "BLOCK_BYTES", block_bytes)
+    monkeypatch.setattr(blocks, "BLOCK_BYTES", block_bytes)
     texts = made(np.random.default_rng(4), 90)
     docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
     rows = sorted(substring_dedup.remove_repeats(docs).collect(), key=lambda r: r.doc_id)
@@ -43,9 +43,9 @@ def test_repeated_windows_against_brute_force(spark, monkeypatch, block_bytes):
 
 
 def test_many_ranges_and_sketch_collisions_lose_nothing(spark, monkeypatch):
-    monkeypatch.setattr(substring_dedup, "RANGE_ENTRIES", 200)
+    monkeypatch.setattr(blocks, "RANGE_ENTRIES", 200)
     monkeypatch.setattr(substring_dedup, "SPARE_BITS", 0)
-    monkeypatch.setattr(substring_dedup, "BLOCK_BYTES", 2000)
+    monkeypatch.setattr(blocks, "BLOCK_BYTES", 2000)
     texts = made(np.random.default_rng(5), 60)
     docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
     rows = sorted(substring_dedup.remove_repeats(docs).collect(), key=lambda r: r.doc_id)

@@ -15,8 +15,7 @@ beyond the entries it was made for.
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from itertools import chain, compress
 
 import numpy as np
@@ -26,21 +25,15 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.common import row_keys, word_counts
+from textloom.llm.blocks import blocks_of, exchange, gaps, opened, range_bits, ranges, sent
 from textloom.llm.token_files import decode_segment, encode_segment
 from textloom.session import Workspace
 
 WINDOW = 35
-BLOCK_BYTES = 2 << 20
-#: Distinct windows that one range handles, about.
-RANGE_ENTRIES = 4 << 20
 #: Sketch rows; cells a row per entry; bits of an entry beyond those that number the windows.
 DEPTH = 2
 CELLS = 4
 SPARE_BITS = 5
-_BLOCKS = "block long, doc_ids array<long>, lengths binary, n_windows long, payload binary"
-_SENT = "range int, block long, payload binary"
-_REPLY = "block long, range int, bits binary"
 _ODD = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 
 
@@ -86,36 +79,6 @@ class Block:
             return _mix((sums[places + self.window] - sums[places]) * _powers(pow(base, -1, 1 << 64), n)[places])
 
 
-def _pack_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    taken, ids, texts, windows, size = 0, [], [], 0, 0
-    squeeze = zstandard.ZstdCompressor(level=1)
-
-    def closed() -> pa.RecordBatch:
-        lengths = np.array([len(t) for t in texts], "<i8").tobytes()
-        row = [row_keys(taken, 1), [ids], [lengths], [windows], [squeeze.compress(b"".join(texts))]]
-        kinds = (pa.int64(), pa.list_(pa.int64()), pa.binary(), pa.int64(), pa.binary())
-        return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(row, kinds)], names=["block", "doc_ids", "lengths", "n_windows", "payload"])
-
-    for batch in batches:
-        counts = word_counts(batch.column(1)).tolist()
-        for key, text, n in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.large_binary()).to_pylist(), counts):
-            ids.append(key)
-            texts.append(text or b"")
-            windows += max(0, n - WINDOW + 1)
-            size += len(texts[-1])
-            if size >= BLOCK_BYTES or len(ids) >= 1 << 16:
-                yield closed()
-                taken, ids, texts, windows, size = taken + 1, [], [], 0, 0
-    if ids:
-        yield closed()
-
-
-def _texts(lengths: bytes, payload: bytes) -> list[bytes]:
-    whole = zstandard.ZstdDecompressor().decompress(payload, max_output_size=1 << 62) if payload else b""
-    ends = np.cumsum(np.frombuffer(lengths, "<i8")).tolist()
-    return [whole[a:b] for a, b in zip([0, *ends[:-1]], ends)]
-
-
 def _ordered(reply: list | None) -> np.ndarray:
     """The reply bits of all ranges of a block, in the order its sorted entries were sent."""
     bits = [np.unpackbits(np.frombuffer(r["bits"], np.uint8)[4:], count=int.from_bytes(r["bits"][:4], "little")) for r in sorted(reply or [], key=lambda r: r["range"])]
@@ -133,7 +96,7 @@ class _Plan:
         self.window = window
         number = max(1, windows).bit_length()
         self.bits = min(60, number + SPARE_BITS)
-        self.range_bits = min(30, max(0, (max(1, windows) // RANGE_ENTRIES).bit_length()))
+        self.range_bits = range_bits(windows)
 
     def sketched(self, block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Sorted distinct entries of a block, each window's entry, and how many windows each entry has."""
@@ -146,12 +109,6 @@ class _Plan:
         places = block.places[(_ordered(reply) | (counts > 1))[inverse]]
         return places, *_distinct(block.digests(0, places), block.digests(1, places) >> np.uint64(32))
 
-    def ranges(self, top: np.ndarray, bits: int) -> list[tuple[int, slice]]:
-        """The non-empty ranges of sorted values of so many bits, with the part of each."""
-        which = (top >> np.uint64(bits - self.range_bits)).astype(np.int64) if self.range_bits else np.zeros(len(top), np.int64)
-        found, first = np.unique(which, return_index=True)
-        return [(int(r), slice(a, b)) for r, a, b in zip(found, first, [*first[1:], len(top)])]
-
 
 def _distinct(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Sorted distinct digests (a, b), the place of each input among them, and how often each occurs."""
@@ -218,71 +175,36 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     lose none. Equal or null ids stay rows of their own; repeated rows repeat each other's
     windows. Other columns are not read; an empty table gives no rows.
     """
-    spark = docs.sparkSession
-    work = Workspace(spark, "substring")
+    work = Workspace(docs.sparkSession, "substring")
     picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    size = picked.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // (16 * BLOCK_BYTES)))
-    name, at = f"textloom_blocks_{uuid.uuid4().hex[:12]}", work.path("blocks")
-    packed = picked.mapInArrow(_pack_blocks, _BLOCKS).repartition(buckets, "block")
-    packed.write.format("parquet").option("path", at).option("compression", "none").bucketBy(buckets, "block").saveAsTable(name)
-    blocks = spark.table(name)
+    blocks = blocks_of(picked, WINDOW, work, "textloom_blocks")
     plan = _Plan(blocks.agg(F.sum("n_windows")).first()[0] or 0, WINDOW)
 
     def sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for key, texts, *_ in _opened(batches):
+        for key, texts, *_ in opened(batches):
             entries, *_ = plan.sketched(Block(texts, plan.window))
-            yield _sent(key, [(r, encode_segment(_gaps(entries[s], plan))) for r, s in plan.ranges(entries, plan.bits)])
+            yield sent(key, [(r, encode_segment(gaps(entries[s], plan.bits, plan.range_bits))) for r, s in ranges(entries, plan.bits, plan.range_bits)])
 
     def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         squeeze = zstandard.ZstdCompressor(level=1)
-        for key, texts, _, reply in _opened(batches):
+        for key, texts, _, reply in opened(batches):
             _, distinct, *_ = plan.suspects(Block(texts, plan.window), reply)
-            yield _sent(key, [(r, squeeze.compress(_split(distinct[s]))) for r, s in plan.ranges(distinct["a"], 64)])
+            yield sent(key, [(r, squeeze.compress(_split(distinct[s]))) for r, s in ranges(distinct["a"], 64, plan.range_bits)])
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for key, texts, ids, reply, final in _opened(batches):
+        for key, texts, ids, reply, final in opened(batches):
             block = Block(texts, plan.window)
             places, _, inverse, counts = plan.suspects(block, reply)
             repeated = places[(_ordered(final) | (counts > 1))[inverse]]
             yield _cleaned(block, ids, repeated)
 
-    first = _exchange(blocks, sketches, _merge_sketches, work, "estimates")
+    first = exchange(blocks, sketches, _merge_sketches, work, "estimates")
     joined = blocks.join(first.hint("shuffle_hash"), "block", "left")
-    second = _exchange(joined, digests, _count_digests, work, "repeats")
+    second = exchange(joined, digests, _count_digests, work, "repeats")
     everything = joined.join(second.withColumnRenamed("reply", "final").hint("shuffle_hash"), "block", "left")
     return everything.select("block", "doc_ids", "lengths", "payload", "reply", "final").mapInArrow(kept, "doc_id long, n_words long, n_removed long, kept string")
 
 
-def _exchange(source: DataFrame, send: Callable, merge: Callable, work: Workspace, name: str) -> DataFrame:
-    """Send each block's parts to their ranges, merge, and bring each block its ranges' replies."""
-    columns = [c for c in ("block", "doc_ids", "lengths", "payload", "reply") if c in source.columns]
-    sent = source.select(*columns).mapInArrow(send, _SENT)
-    answered = sent.groupBy("range").applyInArrow(merge, _REPLY)
-    by = answered.groupBy("block").agg(F.collect_list(F.struct("range", "bits")).alias("reply"))
-    return work.keep(by, name, compression="zstd")
-
-
-def _opened(batches: Iterator[pa.RecordBatch]):
-    """Key, texts, ids and the replies of each block."""
-    for batch in batches:
-        for i in range(batch.num_rows):
-            key, ids, lengths, payload, *replies = (c[i].as_py() for c in batch.columns)
-            yield key, _texts(lengths, payload), ids, *replies
-
-
-def _gaps(entries: np.ndarray, plan: _Plan) -> np.ndarray:
-    """Differences of sorted entries within their range."""
-    inside = entries & np.uint64((1 << (plan.bits - plan.range_bits)) - 1)
-    gaps = np.diff(inside, prepend=np.uint64(0))
-    return gaps
-
-
-def _sent(key: int, parts: list[tuple[int, bytes]]) -> pa.RecordBatch:
-    rows = [[r for r, _ in parts], [key] * len(parts), [p for _, p in parts]]
-    return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(rows, (pa.int32(), pa.int64(), pa.binary()))], names=["range", "block", "payload"])
-
-
 def _cleaned(block: Block, ids: list, repeated: np.ndarray) -> pa.RecordBatch:
     n = int(block.counts.sum())
     steps = np.zeros(n + 1, np.int32)
@@ -299,5 +221,3 @@ def _cleaned(block: Block, ids: list, repeated: np.ndarray) -> pa.RecordBatch:
     ]
     columns = (pa.array(ids, pa.int64()), pa.array(block.counts), pa.array(removed.astype(np.int64)), pa.array(texts, pa.string()))
     return pa.RecordBatch.from_arrays(list(columns), names=["doc_id", "n_words", "n_removed", "kept"])
-
-
