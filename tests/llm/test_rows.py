@@ -103,6 +103,56 @@ def test_mixing(spark, odd, none):
     assert mixing.mix(sized, mixing.targets(sized)).count() == 0
 
 
+def test_class_odds_expect_the_wanted_words():
+    classes = [(1, 900, 900), (4, 300, 3600), (7, 50, 5000), (11, 3, 4200)]
+    for wanted in (0.0, 10.0, 3000.0, 9000.0, 13_000.0, 13_700.0, 20_000.0):
+        odds = mixing.class_odds(classes, wanted, 0.5)
+        share = [1.0 if o == mixing.SURE else o / (1 + o) for o in odds]
+        assert share == sorted(share) and all(0 <= p <= 1 for p in share)
+        assert abs(sum(p * w for p, (_, _, w) in zip(share, classes)) - min(wanted, 13_700)) < 1e-6 * 13_700
+
+
+def test_mixing_against_a_plain_pareto_sample(spark):
+    """Ranks, certain documents and the last one taken, recomputed from the written random numbers."""
+    docs = spark.range(4000).select(F.col("id").alias("doc_id"), F.repeat(F.lit("w "), (F.pow(F.col("id") % 12, F.lit(2)) + 1).cast("int")).alias("text"), F.when(F.col("id") < 2500, "a").otherwise("b").alias("source"))
+    sized = Workspace(spark, "t").keep(mixing.sizes(docs).withColumn("u", mixing.uniform(F.col("doc_id"), mixing.SEED)), "s")
+    u = {r.doc_id: r.u for r in sized.collect()}
+    by = {}
+    for r in mixing.mix(sized, mixing.targets(sized)).collect():
+        by.setdefault(r.source, []).append(r)
+    for rows in by.values():
+        whole = int(rows[0].target // rows[0].source_size)
+        wanted = rows[0].target - whole * rows[0].source_size
+        classes = {}
+        for r in rows:
+            n, w = classes.get(r.size.bit_length(), (0, 0))
+            classes[r.size.bit_length()] = n + 1, w + r.size
+        known = [(c, *classes[c]) for c in sorted(classes)]
+        odds = dict(zip(sorted(classes), mixing.class_odds(known, wanted, mixing.TILT)))
+        rank = {r.doc_id: -1 if odds[r.size.bit_length()] == mixing.SURE else u[r.doc_id] / (1 - u[r.doc_id]) / odds[r.size.bit_length()] if wanted else 0 for r in rows}
+        at, taken = 0, {}
+        for r in sorted(rows, key=lambda r: (rank[r.doc_id], r.doc_id)):
+            taken[r.doc_id] = at + r.size / 2 <= wanted
+            at += r.size
+        assert {r.doc_id: r.copies for r in rows} == {i: whole + (t or rank[i] == -1) for i, t in taken.items()}
+    assert len({r.copies for r in by["b"]}) == 1 or len({r.copies for r in by["a"]}) > 1
+
+
+def test_mixing_deals_capped_and_other_sources_evenly(spark, monkeypatch):
+    """No bucket of a rank holds far more rows than another, whatever a source's odds."""
+    seen = []
+    real = mixing.bucket_totals
+    monkeypatch.setattr(mixing, "bucket_totals", lambda df, *rest: seen.append(df) or real(df, *rest))
+    monkeypatch.setattr(mixing, "buckets_for", lambda *_: 40)
+    docs = spark.range(12_000).select(F.col("id").alias("doc_id"), F.repeat(F.lit("w "), (F.col("id") % 300 + 1).cast("int")).alias("text"), F.when(F.col("id") % 9 == 0, "b").when(F.col("id") % 40 == 0, "c").otherwise("a").alias("source"))
+    sized = Workspace(spark, "t").keep(mixing.sizes(docs), "s")
+    mixing.mix(sized, mixing.targets(sized)).count()
+    counts = {}
+    for r in seen[0].groupBy("source", "_bucket").count().collect():
+        counts.setdefault(r.source, []).append(r["count"])
+    assert counts and all(max(c) <= 2 * np.median(c) for c in counts.values() if np.median(c) > 50)
+
+
 def mark(text):
     words = lowered(text).split()
     shingles = [b" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))] if words else []
@@ -137,8 +187,8 @@ def test_simhash_against_brute_force(spark, odd, none):
     assert simhash.near_duplicates(odd).count() == odd.count()
 
 
-@pytest.mark.parametrize("apart", [0, 1, 2])
-def test_links_find_every_pair_within_reach(spark, apart):
+@pytest.mark.parametrize("apart, most", [(0, 1024), (1, 1024), (2, 1024), (2, 3), (1, 2)])
+def test_links_find_every_pair_within_reach(spark, apart, most):
     rng = np.random.default_rng(apart)
     marks = {0, (1 << 64) - 1}
     for seed in rng.integers(0, 1 << 63, 6).tolist():
@@ -148,7 +198,7 @@ def test_links_find_every_pair_within_reach(spark, apart):
             marks.add(seed)
     marks = sorted(marks)
     signed = [m - (1 << 64) if m >> 63 else m for m in marks]
-    edges = simhash.links(spark.createDataFrame([(m,) for m in signed], "mark long"), apart).collect()
+    edges = simhash.links(spark.createDataFrame([(m,) for m in signed], "mark long"), apart, most).collect()
     assert all((e.src ^ e.dst).bit_count() <= 2 * 8 for e in edges)
     parent = {m: m for m in signed}
 
@@ -159,5 +209,6 @@ def test_links_find_every_pair_within_reach(spark, apart):
 
     for e in edges:
         parent[top(e.src)] = top(e.dst)
+    assert all(((e.src ^ e.dst) & (1 << 64) - 1).bit_count() <= apart for e in edges)
     tops, label = [top(m) for m in signed], reach(marks, apart)
     assert len(set(tops)) == len(set(label)) and len(set(zip(tops, label))) == len(set(label))

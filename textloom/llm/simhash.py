@@ -18,6 +18,8 @@ from textloom.session import Workspace
 BITS_APART = 2
 SHINGLE = 3
 SEED = 42
+#: Marks of a list whose pairs are tallied at most; longer lists are split further.
+LIST_MOST = 1024
 _HASH_ROWS = 1 << 18
 
 
@@ -36,7 +38,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id"
             rows: list[int] = []
             size = 0
             for row, text in enumerate(batch.column(2).cast(pa.large_binary()).to_pylist()):
-                found = _hashes(text, shingle)
+                found = shingle_hashes(text, shingle)
                 if found:
                     held.append(found)
                     rows.append(row)
@@ -52,7 +54,8 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id"
     return picked.mapInArrow(made, "row_key long, doc_id long, mark long")
 
 
-def _hashes(text: bytes | None, shingle: int) -> list[int]:
+def shingle_hashes(text: bytes | None, shingle: int) -> list[int]:
+    """XXH64 (seed 42) of each run of so many words of a text, A-Z lower-cased; of all words if there are fewer."""
     words = text.lower().split() if text else []
     if not words:
         return []
@@ -76,32 +79,42 @@ def _majority(held: list[list[int]]) -> np.ndarray:
     return np.packbits(2 * ones > counts[:, None], axis=1, bitorder="little").view("<u8")[:, 0]
 
 
-def links(marks: DataFrame, apart: int = BITS_APART) -> DataFrame:
+def links(marks: DataFrame, apart: int = BITS_APART, most: int = LIST_MOST) -> DataFrame:
     """Edges (src, dst) whose components are those of all pairs of distinct marks at most `apart` bits apart.
 
     Two marks that differ in at most `apart` bits differ in at most `apart` of their eight
-    bytes, so at least 8 - apart positional bytes are shared: the guaranteed minimum. The
-    inverted index lists every mark under each choice of that many byte positions with
-    their values, so a pair's tally of shared positional bytes reaches the minimum exactly
-    if some list holds both; one list is at most the 2**(8*apart) values of the bytes left
-    free, whatever the number of documents. Within a list, marks are verified on those free
-    bytes by looking up each value's neighbours, not by forming pairs, and one link ties a
-    mark to its nearest verified representative.
+    bytes: at least 8 - apart positional bytes are shared, the guaranteed minimum. The
+    inverted index lists marks by positional bytes, four at a time (two of the four byte
+    pairs, of which two differing bytes spoil two at most), since a list by one byte would
+    hold about 1/256 of all marks. Within a list every pair's shared positional bytes are
+    tallied, pairs that reach the minimum are kept and their bits compared; as many of
+    these links are returned as keep the list's components.
+
+    A list of more than `most` marks is split by two more positional bytes: any pair that
+    reaches the minimum shares two of the four bytes left, so it meets in one of the six
+    sublists, which hold at most 65,536 marks that share six bytes. There a mark's possible
+    partners are looked up rather than tallied: the result is the same.
     """
     if not 0 <= apart <= 2:
         raise ValueError("lists are bounded for at most two differing bytes")
-    frees = list(combinations(range(8), apart))
-    entries = []
-    for number, free in enumerate(frees):
-        mask = sum(0xFF << (8 * b) for b in free)
-        signed = mask - (1 << 64) if mask >> 63 else mask
-        rest = F.lit(0)
-        for i, b in enumerate(free):
-            rest = rest + F.shiftleft(F.shiftrightunsigned("mark", 8 * b).bitwiseAND(F.lit(255)), 8 * i)
-        entries.append(F.struct(F.lit(number).alias("free"), F.col("mark").bitwiseAND(F.bitwise_not(F.lit(signed).cast("long"))).alias("shared"), rest.cast("int").alias("rest")))
-    index = marks.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
-    lists = index.groupBy("free", "shared").agg(F.collect_set("rest").alias("rests")).where(F.size("rests") > 1)
-    near = np.array([0, *(sum(1 << b for b in c) for k in range(1, apart + 1) for c in combinations(range(8 * apart), k))], np.int64)
+    work = Workspace(marks.sparkSession, "lists")
+    pairs = [(0, 1), (2, 3), (4, 5), (6, 7)]
+    firsts = [a + b for a, b in combinations(pairs, 2)]
+    index = work.keep(marks.select("mark", F.explode(F.array(*(_shared(f, i) for i, f in enumerate(firsts)))).alias("l")).select("mark", "l.*"), "index")
+    sizes = index.groupBy("choice", "shared").agg(F.count("*").alias("n")).where("n > 1")
+    sizes = work.keep(sizes, "sizes")
+    short = index.join(sizes.where(f"n <= {most}"), ["choice", "shared"]).groupBy("choice", "shared").agg(F.collect_list("mark").alias("marks"))
+    found = short.select("marks").mapInArrow(lambda batches: _tallied(batches, apart), "src long, dst long")
+    long_ = index.join(sizes.where(f"n > {most}"), ["choice", "shared"])
+    more = []
+    for i, f in enumerate(firsts):
+        rest = [b for b in range(8) if b not in f]
+        more += [(i, f + two) for two in combinations(rest, 2)]
+    frees = [tuple(b for b in range(8) if b not in held) for _, held in more]
+    entries = [F.when(F.col("choice") == i, F.struct(F.lit(n).alias("free"), _shared(held, n)["shared"].alias("six"), _packed(frees[n]).alias("rest"))) for n, (i, held) in enumerate(more)]
+    split = long_.select(F.explode(F.array_compact(F.array(*entries))).alias("e")).select("e.*")
+    lists = split.groupBy("free", "six").agg(F.collect_set("rest").alias("rests")).where(F.size("rests") > 1)
+    near = np.array([0, *(sum(1 << b for b in c) for k in range(1, apart + 1) for c in combinations(range(16), k))], np.int64)
 
     def tied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -113,16 +126,53 @@ def links(marks: DataFrame, apart: int = BITS_APART) -> DataFrame:
                     base = np.uint64(shared & (1 << 64) - 1)
                     src.append(base | _placed(values[a], frees[free]))
                     dst.append(base | _placed(values[b], frees[free]))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).view(np.int64)) for x in (src, dst)], names=["src", "dst"])
+            yield _edges(src, dst)
 
-    return lists.mapInArrow(tied, "src long, dst long")
+    return found.unionByName(lists.mapInArrow(tied, "src long, dst long"))
+
+
+def _shared(held: tuple[int, ...], number: int):
+    """A choice of positional bytes and a mark's values there."""
+    mask = sum(0xFF << (8 * b) for b in held)
+    signed = mask - (1 << 64) if mask >> 63 else mask
+    return F.struct(F.lit(number).alias("choice"), F.col("mark").bitwiseAND(F.lit(signed).cast("long")).alias("shared"))
+
+
+def _packed(free: tuple[int, ...]):
+    """The two bytes of a mark at the free positions, as one number."""
+    rest = F.lit(0)
+    for i, b in enumerate(free):
+        rest = rest + F.shiftleft(F.shiftrightunsigned("mark", 8 * b).bitwiseAND(F.lit(255)), 8 * i)
+    return rest.cast("int")
+
+
+def _edges(src: list[np.ndarray], dst: list[np.ndarray]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).view(np.int64)) for x in (src, dst)], names=["src", "dst"])
+
+
+def _tallied(batches: Iterator[pa.RecordBatch], apart: int) -> Iterator[pa.RecordBatch]:
+    """Links within lists of marks by tallying each pair's shared positional bytes."""
+    for batch in batches:
+        src, dst = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)]
+        for marks in batch.column(0):
+            marks = np.sort(marks.values.to_numpy().view(np.uint64))
+            bytes_ = marks.view(np.uint8).reshape(-1, 8)
+            tally = np.zeros((len(marks), len(marks)), np.uint8)
+            for b in range(8):
+                tally += bytes_[:, None, b] == bytes_[None, :, b]
+            i, j = np.nonzero(np.triu(tally >= 8 - apart, 1))
+            near = np.bitwise_count(marks[i] ^ marks[j]) <= apart
+            a, b = _tied(len(marks), j[near], i[near])
+            src.append(marks[a])
+            dst.append(marks[b])
+        yield _edges(src, dst)
 
 
 def _verified(values: np.ndarray, near: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Places of linked pairs among sorted distinct values; components equal those of all pairs within reach.
 
-    Every value is linked to all its neighbours in a first, vectorised sweep; repeated
-    smallest-neighbour steps then leave one link a value.
+    Every value is linked to all its neighbours in a vectorised sweep, of which a spanning
+    forest stays.
     """
     label = np.arange(len(values))
     pairs = []
@@ -134,7 +184,33 @@ def _verified(values: np.ndarray, near: np.ndarray) -> tuple[np.ndarray, np.ndar
             pairs.append(np.stack((hit, at[hit])))
     if not pairs:
         return label[:0], label[:0]
-    a, b = np.concatenate(pairs, axis=1)
+    return _tied(len(values), *np.concatenate(pairs, axis=1))
+
+
+def _tied(n: int, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """So many of the pairs (a, b) of n places as keep their components: a spanning forest.
+
+    In each round every component takes its first pair that leaves it.
+    """
+    label, kept = np.arange(n), [np.zeros((2, 0), np.int64)]
+    while True:
+        out = label[a] != label[b]
+        a, b = a[out], b[out]
+        if not len(a):
+            break
+        x, y, at = label[a], label[b], np.arange(len(a))
+        first = np.full(n, len(a))
+        np.minimum.at(first, x, at)
+        np.minimum.at(first, y, at)
+        at = np.unique(first[first < len(a)])
+        kept.append(np.stack((a[at], b[at])))
+        label = _reached(n, x[at], y[at])[label]
+    return tuple(np.concatenate(kept, axis=1))
+
+
+def _reached(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The smallest place that each of n places reaches by pairs (a, b)."""
+    label = np.arange(n)
     while True:
         before = label.copy()
         low = np.minimum(label[a], label[b])
@@ -142,9 +218,7 @@ def _verified(values: np.ndarray, near: np.ndarray) -> tuple[np.ndarray, np.ndar
         np.minimum.at(label, b, low)
         label = label[label]
         if (label == before).all():
-            break
-    kept = np.flatnonzero(label < np.arange(len(values)))
-    return kept, label[kept]
+            return label
 
 
 def _placed(values: np.ndarray, free: tuple[int, ...]) -> np.ndarray:
