@@ -75,8 +75,8 @@ class Encoder:
     """Ids (and character spans) of whole texts under one vocabulary file.
 
     Word-end vocabularies lower-case and drop white space, byte-level ones keep every
-    byte. Both give exactly what Tokenizer.encode(text, add_special_tokens=False) gives,
-    with the strings of special tokens read as ordinary text.
+    byte. Both give exactly what Tokenizer.encode(text, add_special_tokens=False) gives; so
+    a text that holds the string of an added token goes to the library whole.
     """
 
     def __init__(self, path: str, memo: int = 400_000):
@@ -84,7 +84,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
-        self.whole.encode_special_tokens = True
+        added = self.whole.get_added_tokens_decoder().values()
+        self._added = regex.compile("|".join(regex.escape(t.content) for t in added) or "(?!)", regex.IGNORECASE if any(t.normalized for t in added) else 0)
         self.model = self.whole.model
         self.words = self.model.end_of_word_suffix is not None
         self.dtype = np.dtype("<u2" if self.whole.get_vocab_size() <= 1 << 16 else "<u4")
@@ -98,6 +99,8 @@ class Encoder:
         """Token ids of a whole text; null and empty texts have none."""
         if not text:
             return np.zeros(0, self.dtype)
+        if self._holds_added(text):
+            return np.array(self.whole.encode(text, add_special_tokens=False).ids, self.dtype)
         if self.words:
             return np.frombuffer(b"".join(map(self._get, text.replace("\n", " ").split(" "))), self.dtype)
         if "\0" not in text:
@@ -116,7 +119,7 @@ class Encoder:
             raise ValueError("spans are kept for byte-level vocabularies")
         if not text:
             return np.zeros((0, 2), np.int64)
-        if "\0" not in text:
+        if "\0" not in text and not self._holds_added(text):
             chunks = _chunks(text)
             try:
                 found = list(map(self._get_spans, chunks))
@@ -129,6 +132,9 @@ class Encoder:
                 return inside + np.repeat(np.cumsum(sizes) - sizes, counts)[:, None]
         return np.array(self.whole.encode(text, add_special_tokens=False).offsets, np.int64).reshape(-1, 2)
 
+    def _holds_added(self, text: str) -> bool:
+        return self._added.search(text) is not None
+
     def _word_ids(self, chunk: str) -> bytes:
         if not chunk:
             return b""

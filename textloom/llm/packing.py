@@ -52,78 +52,95 @@ def encode_pieces(
 def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, tuple[int, ...]]]:
     """Sequences for a histogram of lengths: (how many, the lengths in each), using every length exactly.
 
-    Exact complements are consumed up to triples, up to pairs, singles only, or not at
-    all, with best fit for the rest; of these the plan with the fewest sequences is kept,
-    the one with the longest complements in a tie. (Where lengths are few, early triples
-    can use up short pieces that best fit places better.) The result depends on the
-    histogram alone and its size on capacity, not on the number of texts.
+    Exact complements are consumed up to triples, up to pairs, or singles only, then the
+    rest goes by best fit; of these plans the one with the fewest sequences is kept, the
+    one with the longest complements in a tie. (Where lengths are few, early triples can
+    use up short pieces that others need.) The result depends on the histogram alone and
+    its size on capacity, not on the number of texts. An empty histogram gives no sequence.
     """
     have = np.zeros(capacity + 1, np.int64)
     for length, n in counts.items():
         if not 1 <= length <= capacity:
             raise ValueError(f"length {length} is not within 1..{capacity}")
         have[length] += n
-    tried = [_planned(have.copy(), capacity, longest) for longest in (3, 2, 1, 0)]
+    tried = [_planned(have.tolist(), capacity, longest) for longest in (3, 2, 1)]
     return min(tried, key=lambda made: sum(times for times, _ in made))
 
 
-def _planned(have: np.ndarray, capacity: int, longest: int) -> list[tuple[int, tuple[int, ...]]]:
+def _planned(have: list[int], capacity: int, longest: int) -> list[tuple[int, tuple[int, ...]]]:
     """One plan whose exact complements have at most `longest` pieces.
 
     Whole-capacity lengths stand alone. Then, from the longest down, the gap beside a
-    length is looked up among the single lengths, pair sums and triple sums still
-    available, and the combination is used as often as its lengths last; each such step
-    uses a length up, so there are at most as many steps as lengths. What finds no exact
-    complement goes by best fit decreasing, many equal sequences at a time.
+    length is looked up in the index of sums of the lengths still available, and the
+    combination is used as often as its lengths last; each such step uses a length up, so
+    there are at most as many steps as lengths. What finds no exact complement goes by best
+    fit decreasing, many equal sequences at a time.
     """
-    made = [(int(have[capacity]), (capacity,))] if have[capacity] else []
+    made = [(have[capacity], (capacity,))] if have[capacity] else []
     have[capacity] = 0
+    sums = Sums(have, capacity, longest)
     left: dict[int, int] = {}
     for length in range(capacity - 1, 0, -1):
         while have[length]:
             have[length] -= 1
-            rest = _complement(have, capacity - length, longest)
+            rest = sums.of(capacity - length)
             have[length] += 1
             if rest is None:
-                left[length] = int(have[length])
-                have[length] = 0
+                left[length], have[length] = have[length], 0
                 break
             each = (length, *rest)
-            times = min(int(have[x]) // each.count(x) for x in set(each))
+            times = min(have[x] // each.count(x) for x in set(each))
             for x in each:
                 have[x] -= times
             made.append((times, each))
     return made + _best_fit(left, capacity)
 
 
-def _complement(have: np.ndarray, gap: int, longest: int) -> tuple[int, ...] | None:
-    """Up to `longest` (three at most) available lengths that sum to gap, the fewest and largest first."""
-    if longest and have[gap]:
-        return (gap,)
-    pair = _pair(have, gap, gap - 1) if longest > 1 else None
-    if pair or longest < 3:
-        return pair
-    for a in np.flatnonzero(have[1 : gap - 1])[::-1] + 1:
-        a = int(a)
-        if 3 * a < gap:
-            break
-        have[a] -= 1
-        pair = _pair(have, gap - a, min(a, gap - a - 1))
-        have[a] += 1
-        if pair:
-            return (a, *pair)
-    return None
-
-
-def _pair(have: np.ndarray, total: int, most: int) -> tuple[int, int] | None:
-    """Two available lengths of at most `most` that sum to total, the larger first."""
-    low = (total + 1) // 2
-    if most < low:
+class Sums:
+    """Hash index of the sums of one, two and three available lengths.
+
+    A single sum is looked up in the counts themselves. A pair sum's entry is its larger
+    length, the largest that counts allow; counts only fall, so an entry only moves on, and
+    all look-ups together pass each pair of lengths once. A triple sum is its largest length
+    and the entry of the rest. A count that a look-up has lent out for the moment does not
+    move an entry.
+    """
+
+    def __init__(self, have: list[int], capacity: int, longest: int):
+        self.have, self.longest = have, longest
+        self.pairs = list(range(-1, capacity - 1))  # by sum: its largest candidate, sum - 1
+        self.lengths = [x for x in range(capacity, 0, -1) if have[x]]
+
+    def of(self, gap: int) -> tuple[int, ...] | None:
+        """Up to `longest` available lengths that sum to gap, the fewest and largest first."""
+        if self.longest and self.have[gap]:
+            return (gap,)
+        pair = self._pair(gap, gap - 1) if self.longest > 1 else None
+        if pair or self.longest < 3:
+            return pair
+        self.lengths = [x for x in self.lengths if self.have[x]]
+        for a in self.lengths:
+            if 3 * a < gap:
+                break
+            if a > gap - 2:
+                continue
+            self.have[a] -= 1
+            pair = self._pair(gap - a, a, a)
+            self.have[a] += 1
+            if pair:
+                return (a, *pair)
+        return None
+
+    def _pair(self, total: int, most: int, lent: int = 0) -> tuple[int, int] | None:
+        """Two available lengths of at most `most` that sum to total, the larger first."""
+        have, low, x = self.have, (total + 1) // 2, self.pairs[total]
+        while x >= low and not ((have[x] or x == lent) and (have[total - x] or total - x == lent)):
+            x -= 1
+        self.pairs[total] = x
+        for x in range(min(x, most), low - 1, -1):
+            if have[x] and have[total - x] and (2 * x != total or have[x] > 1):
+                return x, total - x
         return None
-    larger = np.arange(most, low - 1, -1)
-    fits = (have[larger] > 0) & (have[total - larger] > 0) & ((2 * larger != total) | (have[larger] > 1))
-    hit = int(np.argmax(fits))
-    return (int(larger[hit]), int(total - larger[hit])) if fits[hit] else None
 
 
 def _best_fit(left: dict[int, int], capacity: int) -> list[tuple[int, tuple[int, ...]]]:
