@@ -190,7 +190,7 @@ def test_keep_first_and_bands(spark):
 
 def test_sequences():
     assert sequences.is_subsequence([1, 3], [1, 2, 3]) and not sequences.is_subsequence([3, 1], [1, 2, 3])
-    assert sequences.repeated_run("xxabcabcabcyy") in ("abc", "abcabc"[:3]) and sequences.repeated_run("abcdef") == ""
+    assert sequences.repeated_subsequence("abcdexabcde") == ("abcde", 2) and sequences.repeated_subsequence("abcdefghijkl") is None
     source = "a = 'x\\'\\n'\nb = \"\"\"one\ntwo\"\"\"\nc"
     assert sequences.code_lines(source) == source.split("\n")[:1] + ['b = """one\ntwo"""', "c"] and "\n".join(sequences.code_lines(source)) == source
 

@@ -37,9 +37,10 @@ PROVIDER_KEYS = (
 ASSIGNED = r"(?i)(?:key|token|secret|passw(?:or)?d|pwd|auth|credential)[\w.\[\]\"' -]{0,20}[:=]\s*[\"']([A-Za-z0-9+/=_-]{8,200})[\"']"
 HASH_WORDS = ("sha", "md5", "hash", "byte")
 #: Public name servers, which are no personal data.
-NAME_SERVERS = frozenset(
-    "8.8.8.8 8.8.4.4 1.1.1.1 1.0.0.1 76.76.19.19 76.223.122.150 9.9.9.9 149.112.112.112 208.67.222.222 208.67.220.220 8.26.56.26 8.20.247.20 94.140.14.14 94.140.15.15".split()
-)
+NAME_SERVERS = (
+    "8.8.8.8", "8.8.4.4", "1.1.1.1", "1.0.0.1", "76.76.19.19", "76.223.122.150", "9.9.9.9", "149.112.112.112",
+    "208.67.222.222", "208.67.220.220", "8.26.56.26", "8.20.247.20", "94.140.14.14", "94.140.15.15",
+)
 
 _EMAIL, _IPS, _DATES = regex.compile(EMAIL), (regex.compile(IPV4), regex.compile(IPV6)), tuple(regex.compile(p) for p in DATES)
 _KEYS, _ASSIGNED = tuple(regex.compile(p) for p in PROVIDER_KEYS), regex.compile(ASSIGNED)

@@ -2,16 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from textloom.functions import text as T
 
-#: Longest text that is searched for repeated subsequences; the search is cubic.
-MOST_SEARCHED = 500
-
-
 def chars_per_token(text: Column | str, pattern: str = r"[A-Za-z0-9_]+|[^A-Za-z0-9_\s]") -> Column:
     """Characters a token ("fertility") under a pattern of tokens; null without tokens."""
     t = T.col(text)
@@ -19,30 +17,51 @@ def chars_per_token(text: Column | str, pattern: str = r"[A-Za-z0-9_]+|[^A-Za-z0
     return F.when(n > 0, F.length(t) / n)
 
 
-def is_subsequence(short: list, long: list) -> bool:
+def is_subsequence(short: Sequence, long: Sequence) -> bool:
     """Whether the elements of short occur in long in their order."""
-    rest = iter(long)
-    return all(x in rest for x in short)
-
-
-def repeated_run(text: str, least: int = 3) -> str:
-    """The longest part of a text that is followed by itself at once, '' if none has `least` characters."""
-    text = text[:MOST_SEARCHED]
-    for size in range(len(text) // 2, least - 1, -1):
-        same = 0
-        for i in range(len(text) - size):
-            same = same + 1 if text[i] == text[i + size] else 0
-            if same == size:
-                return text[i + 1 - size : i + 1]
-    return ""
-
-
-def repeats(text: Column | str, least: int = 3) -> Column:
-    @F.pandas_udf("string")
-    def found(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: None if t is None else repeated_run(t, least))
-
-    return found(T.col(text))
+    at = 0
+    for x in long:
+        if at == len(short):
+            break
+        at += x == short[at]
+    return at == len(short)
+
+
+def _found_in_order(part: str, text: str) -> bool:
+    """is_subsequence for texts, from one find to the next."""
+    at = 0
+    for c in part:
+        at = text.find(c, at) + 1
+        if not at:
+            return False
+    return True
+
+
+def repeated_subsequence(text: str, least: int = 5) -> tuple[str, int] | None:
+    """The first part of `least` characters that the rest of the text holds as a subsequence, and how often the part itself occurs.
+
+    A longer part that recurs starts with one of `least` characters that does, so no other
+    length need be tried. Texts shorter than twice that have none.
+    """
+    if len(text) < 2 * least:
+        return None
+    for i in range(len(text) - least + 1):
+        part = text[i : i + least]
+        if _found_in_order(part, text[:i] + text[i + least :]):
+            return part, text.count(part)
+    return None
+
+
+def repeats(text: Column | str, least: int = 5) -> Column:
+    """struct<part, n> of repeated_subsequence; null without one."""
+
+    @F.pandas_udf("struct<part:string,n:long>")
+    def found(texts: pd.Series) -> pd.DataFrame:
+        each = [repeated_subsequence(t, least) if t else None for t in texts]
+        return pd.DataFrame({"part": [e and e[0] for e in each], "n": pd.array([e and e[1] for e in each], "Int64")})
+
+    whole = found(T.col(text))
+    return F.when(whole["part"].isNotNull(), whole)
 
 
 def code_lines(source: str) -> list[str]:

@@ -35,15 +35,18 @@ def substring_hits(docs: DataFrame, needles: DataFrame, id_col: str = "doc_id",
 
 
 def _search(docs: DataFrame, strings: list[tuple[int, str]], id_col: str) -> DataFrame:
+    machine = ahocorasick.Automaton()
+    for i, s in sorted(strings, reverse=True):
+        machine.add_word(s, i)
+    machine.make_automaton()
+    shared = docs.sparkSession.sparkContext.broadcast(machine)  # built once, bounded by PASS_CHARS
+
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        machine = ahocorasick.Automaton()
-        for i, s in sorted(strings, reverse=True):
-            machine.add_word(s, i)
-        machine.make_automaton()
+        find = shared.value.iter
         for batch in batches:
             ids, items = [], []
             for key, text in zip(*(c.to_pylist() for c in batch.columns)):
-                hits = [i for _, i in machine.iter(text)] if text and strings else []
+                hits = [i for _, i in find(text)] if text and strings else []
                 if hits:
                     ids.append(key)
                     items.append(min(hits))

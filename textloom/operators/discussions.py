@@ -45,25 +45,49 @@ def truncated(text: Column | str) -> Column:
     return F.when(T.n_lines(t) > MOST_LINES, cut).otherwise(t)
 
 
-#: Mails quoted below a comment, and what marks them line by line.
-_MAILS = (
-    r"(?s)^(.*)From:.+Reply to this email directly.+view it on GitHub(.*)\n?(.*)$",
-    r"(?s)^(.*)On.+notifications@github\.com.+wrote:.+Reply to this email directly.+view it on GitHub(.*)\n?(.*)$",
-    r"(?s)^(.*)Signed-off-by: .+<.+>(.*?)\n?(.*)$",
+#: Mails around or below a comment, the marks of their lines, and page breaks.
+MAILS = (
+    "(.*)From:.+Reply to this email directly.+view it on GitHub(.*)\n?(.*)",
+    "(.*)On.+notifications@github.com.+wrote:.+Reply to this email directly.+view it on GitHub(.*)\n?(.*)",
+    "(.*)Signed-off-by: .+<.+>(.*?)\n?(.*)",
 )
-_MAIL_LINE = r"^>|\d+/\d+/\d+ \d{2}:\d{2} [AP]M.+wrote|_{20,}"
+MAIL_DATE = r"\d+/\d+/\d+ \d{2}:\d{2} [AP]M.+wrote"
+PAGE_BREAK = "_{20,}"
+MAIL_SENDER, REPLY_LINE = "notifications@github.com", "Reply to this email directly"
+_ENDS = r"^[\s\x1c-\x1f\x85\p{Z}]+|[\s\x1c-\x1f\x85\p{Z}]+$"
 
 
 def without_reply(text: Column | str) -> Column:
-    """A comment sent by e-mail without the mail it answers.
+    """A comment sent by e-mail without the mail it answers, and without page breaks.
 
-    The first known frame of a quoted mail is cut out; without one, quoted lines and marks go.
+    The first frame that the whole text has leaves what stands before it and, for a
+    signature, after it (what follows a mail counts to the mail). Without a frame, the lines
+    before the last line of a sender or date stay, and those after the last quoted line or
+    reply notice (and the line after a notice that ends in a colon). Null is empty.
     """
-    t = T.col(text)
-    out = F.array_join(F.filter(T.lines(t), lambda line: ~F.rlike(line, F.lit(_MAIL_LINE))), "\n")
-    for pattern in reversed(_MAILS):
-        out = F.when(F.rlike(t, F.lit(pattern)), F.regexp_replace(t, pattern, "$1$2$3")).otherwise(out)
-    return F.trim(out)
+    t = F.regexp_replace(F.coalesce(T.col(text), F.lit("")), _ENDS, "")
+    rows = F.transform(T.lines(t), lambda line, i: F.struct(F.regexp_replace(line, _ENDS, "").alias("line"), i.alias("i")))
+
+    def last(wanted) -> Column:
+        return F.coalesce(F.array_max(F.transform(F.filter(rows, lambda r: wanted(r["line"])), lambda r: r["i"])), F.lit(-1))
+
+    def quoted(line: Column) -> Column:
+        return F.startswith(line, F.lit(">"))
+
+    def noticed(line: Column) -> Column:
+        return F.contains(line, F.lit(REPLY_LINE)) & ~quoted(line)
+
+    start = F.greatest(F.lit(0), last(lambda line: F.contains(line, F.lit(MAIL_SENDER)) | F.rlike(line, F.lit(MAIL_DATE))))
+    end = last(lambda line: quoted(line) | noticed(line))
+    colon = noticed(F.element_at(rows, F.greatest(end + 1, F.lit(1)))["line"]) & F.endswith(F.element_at(rows, F.greatest(end + 1, F.lit(1)))["line"], F.lit(":")) & (end >= 0)
+    after = end + F.when(colon, 2).otherwise(1)
+    lines = T.lines(t)
+    rest = F.greatest(F.size(lines) - after, F.lit(0))
+    out = F.array_join(F.concat(F.slice(lines, F.lit(1), start), F.slice(lines, after + 1, rest)), "\n")
+    for pattern in reversed(MAILS):
+        framed = "(?s)^" + pattern
+        out = F.when(F.rlike(t, F.lit(framed)), F.concat(F.regexp_extract(t, framed, 1), F.regexp_extract(t, framed, 3))).otherwise(out)
+    return F.regexp_replace(F.regexp_replace(out, PAGE_BREAK, ""), _ENDS, "")
 
 
 def issues(events: DataFrame, id_col: str = "conv_id", order_col: str = "turn", author_col: str = "role", text_col: str = "text") -> DataFrame:

@@ -21,9 +21,12 @@ def evaluation_set(rows: DataFrame, files: int = 200, rows_most: int = 1500, kee
 
 
 def function_files(functions: DataFrame) -> DataFrame:
-    """repo, lang, name, n_files and the smallest files that define a function: at most 100 named."""
+    """repo, lang, name, path and n_files: every file that defines a function, one row each, with their number.
+
+    One row a file, not one list a function, since a common name may be in any number of files.
+    """
     each = functions.select("repo", "lang", "name", "path").distinct()
-    return each.groupBy("repo", "lang", "name").agg(F.count("*").alias("n_files"), F.slice(F.array_sort(F.collect_set("path")), 1, 100).alias("paths"))
+    return each.join(each.groupBy("repo", "lang", "name").agg(F.count("*").alias("n_files")), ["repo", "lang", "name"])
 
 
 def import_counts(imports: DataFrame) -> DataFrame:

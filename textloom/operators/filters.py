@@ -40,19 +40,23 @@ def basic_by_rule(docs: DataFrame, rules: DataFrame, keys: list[str], text_col:
     rules has the keys, include, line_max, line_mean, alnum and alpha; a null bound does not
     apply; rows without a rule go. rules is one row a key.
     """
-    found = docs.join(rules, keys)
+    taken, name = {c.lower() for c in docs.columns}, "_rule"
+    while name in taken:
+        name += "_"
+    bounds = rules.select(*keys, F.struct("include", "line_max", "line_mean", "alnum", "alpha").alias(name))
+    rule = F.col(name)
     passes = (
-        (F.col("include") == 1)
-        & _within(T.max_line_length(text_col), "line_max")
-        & _within(T.avg_line_length(text_col), "line_mean")
-        & (F.col("alnum").isNull() | (T.alnum_fraction(text_col) >= F.col("alnum")))
-        & (F.col("alpha").isNull() | (T.alpha_fraction(text_col) >= F.col("alpha")))
+        (rule["include"] == 1)
+        & _within(T.max_line_length(text_col), rule["line_max"])
+        & _within(T.avg_line_length(text_col), rule["line_mean"])
+        & (rule["alnum"].isNull() | (T.alnum_fraction(text_col) >= rule["alnum"]))
+        & (rule["alpha"].isNull() | (T.alpha_fraction(text_col) >= rule["alpha"]))
     )
-    return found.where(passes).select(*docs.columns)
+    return docs.join(bounds, keys).where(passes).select(*docs.columns)
 
 
-def _within(value: Column, bound: str) -> Column:
-    return F.col(bound).isNull() | (value <= F.col(bound))
+def _within(value: Column, bound: Column) -> Column:
+    return bound.isNull() | (value <= bound)
 
 
 def by_size(docs: DataFrame, text_col: str = "text", least: int = LEAST_SIZE, most: int = MOST_SIZE) -> DataFrame:
@@ -112,6 +116,29 @@ def test_path(path: Column | str) -> Column:
     return F.contains(F.lower(T.col(path)), F.lit("test"))
 
 
+#: How names of tests begin and end.
+TEST_PREFIX = "^(TestCase_|TESTCASE_|testcase_|test)(_|)"
+TEST_SUFFIX = "(_|)[0-9]+$"
+
+
+def test_function(signature: Column | str) -> Column:
+    """Whether a function's signature reads like a test's: its beginning, or a number at its end."""
+    s = T.col(signature)
+    return F.rlike(s, F.lit(TEST_PREFIX)) | F.rlike(s, F.lit(TEST_SUFFIX))
+
+
+def asserting(calls: Column | str) -> Column:
+    """Whether what a function calls, as text, says assert."""
+    return F.contains(F.lower(T.col(calls)), F.lit("assert"))
+
+
+def tested_name(signature: Column | str) -> Column:
+    """The name that a test's signature points at, without a test's beginning and numbered end; null where nothing was taken off."""
+    s = T.col(signature)
+    bare = F.regexp_replace(F.regexp_replace(s, TEST_SUFFIX, ""), TEST_PREFIX, "")
+    return F.when(F.length(bare) < F.length(s), bare)
+
+
 def bracket_line(line: Column) -> Column:
     """Short lines of brackets, which are never taken as repeats: under five letters, digits or ideographs."""
     return (F.length(F.regexp_replace(line, r"[^\p{IsHan}A-Za-z0-9]", "")) < 5) & F.rlike(line, F.lit(r"[{}<>]"))

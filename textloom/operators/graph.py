@@ -45,27 +45,46 @@ def file_components(edges: DataFrame) -> DataFrame:
     return connected_components(edges)
 
 
-def topological_levels(edges: DataFrame, most: int = 1000) -> DataFrame:
-    """node, level: the longest way of imports below a node, cycles left at the level where they close.
-
-    Nodes without imports have level 0. Each round raises nodes above the targets raised in
-    the round before; a cycle would rise for ever, so rounds end at the number of nodes or
-    `most`. Edges within a cycle are better removed first; topological_order cuts them.
+def topological_levels(edges: DataFrame) -> DataFrame:
+    """node, level: the longest way of imports below a node, cycles cut where nothing else is left.
+
+    Nodes without imports have level 0; each round settles the nodes whose targets are all
+    settled, one above the highest of them. Where every node left waits for another, those
+    that are the smallest of all they reach, themselves among them, are settled above those
+    of their targets that are, which cuts their cycles. So every round settles a node and the
+    rounds end. Self-imports do not count.
     """
     work = Workspace(edges.sparkSession, "levels")
-    edges = work.keep(edges.select("src", "dst").distinct(), "edges")
-    nodes = edges.select(F.col("src").alias("node")).unionByName(edges.select(F.col("dst").alias("node"))).distinct()
-    levels = work.keep(nodes.withColumn("level", F.lit(0).cast("long")), "levels")
-    for _ in range(most):
-        raised = edges.join(levels.withColumnRenamed("node", "dst"), "dst").groupBy("src").agg((F.max("level") + 1).alias("up"))
-        after = levels.join(raised, F.col("node") == F.col("src"), "left").select("node", F.greatest("level", F.coalesce("up", F.lit(0))).alias("level"))
-        after = work.keep(after, "levels")
-        done = after.agg(F.sum("level")).first()[0] == levels.agg(F.sum("level")).first()[0]
-        work.drop(levels)
-        levels = after
-        if done:
-            break
-    return levels
+    open_ = work.keep(edges.where("src <> dst").select("src", "dst", F.lit(-1).cast("long").alias("below")).distinct(), "edges")
+    ends = edges.select(F.col("src").alias("node")).unionByName(edges.select(F.col("dst").alias("node"))).distinct()
+    settled = work.keep(ends.join(open_.select(F.col("src").alias("node")).distinct(), "node", "left_anti").withColumn("level", F.lit(0).cast("long")), "settled")
+    done, fresh = [settled], settled
+    while open_.count():
+        # below: the highest level of an edge's target, null as long as it is not settled; -1 stands for that here
+        after = open_.join(fresh.select(F.col("node").alias("dst"), "level"), "dst", "left")
+        open_ = work.keep(after.select("src", "dst", F.greatest("below", F.coalesce("level", F.lit(-1))).alias("below")), "edges")
+        free = open_.groupBy("src").agg(F.min("below").alias("least"), (F.max("below") + 1).alias("level"))
+        fresh = work.keep(free.where("least >= 0").select(F.col("src").alias("node"), "level"), "settled")
+        if not fresh.head(1):
+            first = _least_of_own_reach(open_.where("below < 0").select("src", "dst"), work)
+            fresh = work.keep(free.join(first, "src").select(F.col("src").alias("node"), "level"), "settled")
+        done.append(fresh)
+        open_ = work.keep(open_.join(fresh.select(F.col("node").alias("src")), "src", "left_anti"), "edges")
+    found = done[0]
+    for each in done[1:]:
+        found = found.unionByName(each)
+    return found
+
+
+def _least_of_own_reach(edges: DataFrame, work: Workspace) -> DataFrame:
+    """src: nodes that are the smallest of all nodes they reach and reach themselves; every cycle without a way out has one."""
+    reached = work.keep(edges.groupBy("src").agg(F.min("dst").alias("least")), "reached")
+    while True:
+        further = edges.join(reached.select(F.col("src").alias("dst"), "least"), "dst").groupBy("src").agg(F.min("least").alias("far"))
+        after = work.keep(reached.join(further, "src", "left").select("src", F.least("least", "far").alias("least"), (F.col("far") < F.col("least")).alias("moved")), "reached")
+        if not after.where("moved").head(1):
+            return after.where("src = least").select("src")
+        reached = after.drop("moved")
 
 
 def order_files(nodes: list[str], edges: list[tuple[str, str]]) -> list[str]:

@@ -5,11 +5,12 @@ from __future__ import annotations
 import re
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+import regex
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textloom.functions import text as T
-from textloom.operators.filters import bracket_line
+from textloom.session import spread
 
 #: Fixed value: how alike neighbours may be.
 ALIKE = 0.7
@@ -20,17 +21,38 @@ def neighbour_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Lines without words go. A line goes if it shares more than `alike` of both lines'
     distinct words with the worded line before (kept or not), or has more than `alike` of
-    its characters equal at equal places; short bracket lines always stay. Rows need unique ids.
+    its characters equal at equal places; short bracket lines always stay. Each text is
+    worked on where it lies, so rows are not shuffled and ids need not be unique; a null
+    text is empty.
     """
-    rows = docs.select(id_col, F.posexplode(T.lines(text_col)).alias("pos", "line")).withColumn("_words", T.identifier_words("line")).where(F.size("_words") > 0)
-    before = Window.partitionBy(id_col).orderBy("pos")
-    rows = rows.withColumn("_prev", F.coalesce(F.lag("line").over(before), F.lit(""))).withColumn("_pw", F.lag("_words").over(before))
-    a, b = T.overlap_ratios(F.coalesce("_pw", F.array().cast("array<string>")), F.col("_words"))
-    repeated = ((a > alike) & (b > alike)) | (T.positional_match(F.col("_prev"), F.col("line")) > alike)
-    kept = rows.where(bracket_line(F.col("line")) | ~repeated)
-    joined = kept.groupBy(id_col).agg(F.array_sort(F.collect_list(F.struct("pos", "line"))).alias("_l"))
-    cleaned = joined.select(id_col, F.array_join(F.transform("_l", lambda x: x["line"]), "\n").alias(text_col))
-    return docs.select(id_col).join(cleaned, id_col, "left").withColumn(text_col, F.coalesce(text_col, F.lit("")))
+
+    @F.pandas_udf("string")
+    def cleaned(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: apart_lines(t or "", alike))
+
+    rows = spread(docs.select(id_col, F.col(text_col).alias("_text")))
+    return rows.select(id_col, cleaned("_text").alias(text_col))
+
+
+_GAPS, _HUMP = re.compile(r"[\t \n_]+"), re.compile(r"(?=[A-Z][a-z])")
+_BRACKETS, _TELLING = re.compile(r"[{}<>]"), regex.compile(r"[\p{Han}A-Za-z0-9]")
+
+
+def apart_lines(text: str, alike: float) -> str:
+    """The lines of a text that do not nearly repeat the worded line before them."""
+    kept, before, known = [], "", set()
+    for line in text.split("\n"):
+        words = {part for word in _GAPS.split(line) for part in _HUMP.split(word) if part}
+        if not words:
+            continue
+        shared = len(words & known)
+        repeats = bool(known) and shared / len(words) > alike and shared / len(known) > alike
+        if not repeats:
+            repeats = sum(map(str.__eq__, before, line)) / max(len(before), len(line)) > alike
+        if not repeats or _BRACKETS.search(line) and len(_TELLING.findall(line)) < 5:
+            kept.append(line)
+        before, known = line, words
+    return "\n".join(kept)
 
 
 def collapse_repeated_lines(text: Column | str, least: int = 5) -> Column:
@@ -62,47 +84,63 @@ def line_windows(text: Column | str, size: int, short: int = 10) -> Column:
     return split(T.col(text))
 
 
-_BREAKS = re.compile(r"([;}])([\t]{2,}|[ ]{8,})(?=[A-Za-z]{2})")
+#: Wide gaps before a word, after words, closings or colons, and after ends of statements.
+_AFTER_WORDS = r"([a-zA-Z\)\:\"]{2,})([\t]{2,}|[ ]{8,})(?=[a-zA-Z]{2,})"
+_AFTER_ENDS = r"(\{|\};|\);|;)([\t]{2,}|[ ]{8,})(?=[a-zA-Z]{2,})"
 
 
-def break_statements(text: Column | str) -> Column:
-    """A line break after ; or } where a wide gap and a word follow."""
-    return F.regexp_replace(T.col(text), _BREAKS.pattern, "$1\n$2")
+def break_statements(text: Column | str, python: bool = False) -> Column:
+    """A line break after the end of a statement (for Python also after words, closings and colons) where a wide gap and a word follow."""
+    out = F.regexp_replace(T.col(text), _AFTER_WORDS, "$1\n$2") if python else T.col(text)
+    return F.regexp_replace(out, _AFTER_ENDS, "$1\n$2")
 
 
-#: The ordered cleaning rules, those of test files, and how their replacements read.
-_PLAIN = ((r"\*{3,}", "*"), (r"-{3,}", "-"), (r"\n{3,}", "\n"))
-_TEST_BEFORE = ((r"\[\s*-?\d+(?:\s*,\s*-?\d+)+\s*,?\s*\]", "<|MULTIARRAY|>"),)
-_TEST_AFTER = ((r"(?<!HEX-)\d{10,}", "<|MULTINUM|>"), (r"(?:-?\d+\.\d+f\s*,?\s*){2,}", "<|MULTIFLOAT|>"), (r"\d+\.\d{5,}", "<|FLOAT|>"), (r"([0,\n]{1,3})\1{5,}", "<MULTIZERO>"))
-_QUOTED = ((r"([\"'])([A-Z ]{20,})\1", "UPPER"), (r"([\"'])([a-z ]{20,})\1", "LOWER"), (r"([\"'])([0-9 ]{10,})\1", "NUMBER"))
-_HEX = re.compile(r"(?:\b|[\t\n])0[xX]([0-9a-fA-F]+)[uUlL]*(?:\b|[\t\n])")
-_RUNS = tuple(re.compile(rf"({unit})\1{{5,}}", flags) for unit, flags in ((".", 0), ("..", re.S), ("...", re.S)))
-_ESCAPES = re.compile(r"(?:\\x[0-9a-fA-F]{2})+")
+#: The cleaning rules in their order, then those of test files, then that of repeated lines.
+_ASTERISKS = re.compile(r"[\*]{3,}")
+_HYPHENS = re.compile(r"[\-]{3,}")
+_BLANK_LINES = re.compile(r"[\n]{3,}")
+_HEX = re.compile(r"(?:\b|\t|\n)(0[xX][0-9a-fA-F]+)[U]*(?:L|l|)(?:\b|\t|\n)")
+_ONE_CHAR = re.compile(r"((.)\2{5,})")
+_TWO_CHARS = re.compile(r"((..)\2{5,})")
+_THREE_CHARS = re.compile(r"((...)\2{5,})")
+_ESCAPES = re.compile(r"(\\x[0-9A-Fa-f]{2})+")
+_ARRAY = re.compile(r"\[(\d+,?\s?)+\]")
+_NUMBER = re.compile(r"(?<!HEX-)[0-9]{10,}")
+_FLOATS = re.compile(r"(\b\d+\.[0-9]{5,}f\b[\s,]*){2,}")
+_FLOAT = re.compile(r"[0-9]+\.[0-9f]{5,}")
+_ZEROS = re.compile(r"(([0,\n]{1,3})\2{5,})")
+_UPPER = re.compile(r"(\"|')[A-Z ]{20,}(\"|')")
+_LOWER = re.compile(r"(\"|')[a-z ]{20,}(\"|')")
+_DIGITS = re.compile(r"(\"|')[0-9 ]{10,}(\"|')")
+_SAME_LINE = re.compile(r"^(.{5,})(\n\1)+$", re.M | re.I)
+TEST_PATH = "test|Test|TEST"
 
 
 def _run_mark(found: re.Match) -> str:
-    whole, unit = found.group(0), found.group(1)
-    return whole if not whole.strip(" \t") else f"<|MULTI-{len(whole) // len(unit)}-{unit}|>"
+    """A run of one unit as its count and the unit; runs of blanks stay."""
+    run, unit = found.group(1), found.group(2)
+    return unit * run.count(unit) if not unit.strip(" \t") else f"<|MULTI-{run.count(unit)}-{unit}|>"
+
+
+def _length_mark(kind: str):
+    return lambda found: f"<|MULTI-{kind}-{len(found.group())}|>"
+
+
+_RULES = (
+    (_ASTERISKS, "*"), (_HYPHENS, "-"), (_BLANK_LINES, "\n"), (_HEX, lambda found: f"<|HEX-{int(found.group(1), 16)}|>"),
+    (_ONE_CHAR, _run_mark), (_TWO_CHARS, _run_mark), (_THREE_CHARS, _run_mark), (_ESCAPES, "<|MULTIHEX|>"),
+)
+_TEST_RULES = (
+    (_ARRAY, "<|MULTIARRAY|>"), (_NUMBER, "<|MULTINUM|>"), (_FLOATS, "<|MULTIFLOAT|>"), (_FLOAT, "<|FLOAT|>"), (_ZEROS, "<MULTIZERO>"),
+    (_UPPER, _length_mark("upperstring")), (_LOWER, _length_mark("lowerstring")), (_DIGITS, _length_mark("number")),
+)
 
 
 def clean_text(text: str, is_test: bool) -> str:
     """One text through all rules, in order; each works on what the one before left."""
-    for pattern, to in _PLAIN:
-        text = re.sub(pattern, to, text)
-    if is_test:
-        for pattern, to in _TEST_BEFORE:
-            text = re.sub(pattern, to, text)
-    text = _HEX.sub(lambda m: f"<|HEX-{int(m.group(1), 16)}|>", text)
-    if is_test:
-        for pattern, to in _TEST_AFTER:
-            text = re.sub(pattern, to, text)
-    for run in _RUNS:
-        text = run.sub(_run_mark, text)
-    if is_test:
-        for pattern, label in _QUOTED:
-            text = re.sub(pattern, lambda m, label=label: f"<|MULTI-{label}-{len(m.group(2))}|>", text)
-    text = _ESCAPES.sub("<|MULTIHEX|>", text)
-    return re.sub(r"(?im)^(.{5,})(?:\n\1$)+", r"\1", text)
+    for pattern, to in (*_RULES, *(_TEST_RULES if is_test else ()), (_SAME_LINE, r"\1")):
+        text = pattern.sub(to, text)
+    return text
 
 
 def regex_clean(docs: DataFrame, text_col: str = "text", path_col: str | None = None) -> DataFrame:
@@ -115,5 +153,6 @@ def regex_clean(docs: DataFrame, text_col: str = "text", path_col: str | None =
     def cleaned(texts: pd.Series, tests: pd.Series) -> pd.Series:
         return pd.Series([None if t is None else clean_text(t, bool(s)) for t, s in zip(texts, tests)], dtype=object)
 
-    is_test = F.rlike(F.coalesce(F.col(path_col), F.lit("")), F.lit("test|Test|TEST")) if path_col else F.lit(False)
+    docs = spread(docs)
+    is_test = F.rlike(F.coalesce(F.col(path_col), F.lit("")), F.lit(TEST_PATH)) if path_col else F.lit(False)
     return docs.withColumn(text_col, cleaned(F.col(text_col), is_test))

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from textloom.functions import text as T
+from textloom.operators.ranking import ranked
+from textloom.session import Workspace
 
 
 def top_words(docs: DataFrame, k: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -59,13 +61,17 @@ def percentiles(docs: DataFrame, value: Column, at: list[float], out: str = "p")
 def nearest_percentiles(docs: DataFrame, value: str, at: list[float]) -> DataFrame:
     """sorted[int(n * p)] for each p: p, value.
 
-    Values are counted first, so what is ordered is one row a distinct value.
+    Values are counted first, so what is ordered is one row a distinct value, in buckets of
+    the values' order if they are many.
     """
     counted = docs.where(F.col(value).isNotNull()).groupBy(F.col(value).alias("value")).agg(F.count("*").alias("n"))
-    upto = Window.orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    placed = counted.withColumn("upto", F.sum("n").over(upto)).withColumn("all", F.sum("n").over(Window.partitionBy()))
-    wanted = placed.withColumn("p", F.explode(F.array(*map(F.lit, at)))).withColumn("place", F.floor(F.col("all") * F.col("p")))
-    return wanted.where((F.col("place") < F.col("upto")) & (F.col("place") >= F.col("upto") - F.col("n"))).select("p", "value")
+    counted = Workspace(docs.sparkSession, "percentiles").keep(counted, "counted")
+    rows, all_ = counted.agg(F.count("*"), F.sum("n")).first()
+    cuts = counted.select(F.percentile_approx("value", [i / 64 for i in range(1, 64)]).alias("c")).first().c or [] if rows > 20_000 else []
+    bucket = sum(((F.col("value") > F.lit(c)).cast("int") for c in sorted(set(cuts))), F.lit(0))
+    placed = ranked(counted.withColumn("_all", F.lit(0)).withColumn("_bucket", bucket), ["_all"], "_bucket", ["value"], "before", F.col("n"))
+    wanted = placed.withColumn("p", F.explode(F.array(*map(F.lit, at)))).withColumn("place", F.floor(F.lit(all_ or 0) * F.col("p")))
+    return wanted.where((F.col("place") >= F.col("before")) & (F.col("place") < F.col("before") + F.col("n"))).select("p", "value")
 
 
 def keep_first(docs: DataFrame, keys: list[str], order: list[str]) -> DataFrame:

@@ -254,9 +254,6 @@ def minhash_bands_exact(spark, sf_dir):
 _LANES = ", ".join(f"min(({a}::bigint * h + {b}) % {minhash.SQL_PRIME}) m{i}" for i, (a, b) in enumerate(minhash.sql_permutations(12)))
 _BANDED = f"""select doc_id, j::int band, (case j {' '.join(f"when {j} then m{3 * j} || '-' || m{3 * j + 1} || '-' || m{3 * j + 2}" for j in range(4))} end) "key" from
   (select doc_id, {_LANES} from (select doc_id, {_H32} % {minhash.SQL_PRIME} h from (select doc_id, sha1(gram) h from ({_GRAMS}))) group by doc_id), (select unnest(range(4)) j)"""
-_EDGES = f"""select distinct doc_id src, dst from (select doc_id, min(doc_id) over (partition by band, "key") dst from ({_BANDED})) where doc_id <> dst"""
-_LABELS = f"""with recursive e as (select * from ({_EDGES})), u as (select src a, dst b from e union select dst, src from e), r as (select a node, a reached from u union select r.node, u.b from r join u on r.reached = u.a),
-  l as (select node, min(reached) component from r group by node)"""
 
 
 @query(_BANDED)
@@ -264,32 +261,38 @@ def lsh_bands(spark, sf_dir):
     return minhash.sql_bands(docs(spark, sf_dir))
 
 
-@query(_EDGES)
+def _near_links(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """Links of similarity 0.8 or more among documents that share one of the bands of 128 permutations."""
+    return minhash.near_links(Workspace(spark, "signed").keep(minhash.signed(docs(spark, sf_dir), threshold=CANDIDATES), "signed"))
+
+
+#: What shapes the bands: 21 of 6 rows, under which a pair of similarity 0.8 is a candidate with probability 0.998.
+CANDIDATES = 0.58
+
+
+@query()
 def near_dup_edges(spark, sf_dir):
-    return minhash.star_edges(_banded(spark, sf_dir))
+    links, _ = _near_links(spark, sf_dir)
+    return links.select(F.col("b").alias("src"), F.col("a").alias("dst"))
 
 
-@query(f"{_LABELS} select node, component from l")
+@query()
 def near_dup_components(spark, sf_dir):
-    return minhash.near_components(_banded(spark, sf_dir))
+    return _near_links(spark, sf_dir)[1]
 
 
-@query(f"{_LABELS} select doc_id from documents where doc_id not in (select node from l where node <> component)")
+@query()
 def near_dup_survivors(spark, sf_dir):
-    return minhash.survivors(docs(spark, sf_dir), _banded(spark, sf_dir)).select("doc_id")
-
-
-def _banded(spark, sf_dir) -> DataFrame:
-    return Workspace(spark, "bands").keep(minhash.sql_bands(docs(spark, sf_dir)), "bands")
+    return minhash.survivors(docs(spark, sf_dir), _near_links(spark, sf_dir)[1]).select("doc_id")
 
 
-@query(f"""with e as ({_EDGES}), t as (select doc_id, list_distinct(list_filter({_PIECES}, lambda x: x <> '')) t from documents)
-  select src, dst, round(len(list_intersect(a.t, b.t)) / greatest(1, len(list_distinct(list_concat(a.t, b.t)))), 6)::double similarity from e join t a on a.doc_id = src join t b on b.doc_id = dst""")
+@query(f"""with g as ({_GRAMS}), n as (select doc_id, count(*) n, md5(string_agg(md5(gram), '' order by gram)) k from g group by doc_id),
+  r as (select min(doc_id) doc_id, any_value(n) n from n group by k), h as (select g.* from g join r using (doc_id)),
+  p as (select a.doc_id src, b.doc_id dst, count(*) c from h a join h b on a.gram = b.gram and a.doc_id > b.doc_id group by all)
+  select src, dst, round(c / (x.n + y.n - c), 6)::double similarity from p join r x on x.doc_id = src join r y on y.doc_id = dst where 5 * c >= 4 * (x.n + y.n - c)""")
 def jaccard_pairs(spark, sf_dir):
-    edges = Workspace(spark, "jaccard").keep(minhash.star_edges(_banded(spark, sf_dir)), "edges")
-    sets = decontamination.token_sets(docs(spark, sf_dir), "doc_id", "text")
-    met = edges.join(sets.select(F.col("id").alias("src"), F.col("tokens").alias("a")), "src").join(sets.select(F.col("id").alias("dst"), F.col("tokens").alias("b")), "dst")
-    return met.select("src", "dst", F.round(T.jaccard(F.col("a"), F.col("b")), 6).alias("similarity"))
+    found = minhash.similar_pairs(Workspace(spark, "jaccard").keep(minhash.signed(docs(spark, sf_dir), threshold=CANDIDATES), "signed"))
+    return found.select(F.col("b").alias("src"), F.col("a").alias("dst"), F.round("similarity", 6).alias("similarity"))
 
 
 # ---- decontamination
@@ -373,15 +376,14 @@ def pii_span_eval(spark, sf_dir):
     return pii.span_metrics(pii.matched_spans(_first_span(d, _SIMPLE_EMAIL), _first_span(d, "[a-z0-9.]+@[a-z0-9.]+")))
 
 
-# ---- graphs: customers tied by the orders' clerks stand for files tied by imports
+# ---- graphs: the customers of all orders, in fifty families, stand for files tied by imports
 
-_DEPS = "select distinct o_custkey src, (o_custkey * 7 + o_orderkey) % 1000 dst from orders where o_orderkey % 40 = 0 and o_custkey > (o_custkey * 7 + o_orderkey) % 1000"
+_DEPS = """select * from (select distinct o_custkey src, 50 * ((o_custkey // 50) // (2 + o_orderkey % 3)) + o_custkey % 50 dst from orders) where src > dst"""
 
 
 def _deps(spark, sf_dir) -> DataFrame:
-    o = table(spark, sf_dir, "orders").where("o_orderkey % 40 = 0")
-    dst = (F.col("o_custkey") * 7 + F.col("o_orderkey")) % 1000
-    return o.select(F.col("o_custkey").alias("src"), dst.alias("dst")).where("src > dst").distinct()
+    dst = F.expr("50 * ((o_custkey div 50) div (2 + o_orderkey % 3)) + o_custkey % 50")
+    return table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("src"), dst.alias("dst")).where("src > dst").distinct()
 
 
 @query(f"select node, sum(o)::bigint n_out, sum(i)::bigint n_in from (select src node, 1 o, 0 i from ({_DEPS}) union all select dst, 0, 1 from ({_DEPS})) group by node")
@@ -543,4 +545,13 @@ def in_repository_counts(spark, sf_dir):
 
 @query()
 def repeated_runs(spark, sf_dir):
-    return docs(spark, sf_dir).select("doc_id", sequences.repeats("text").alias("run"))
+    return docs(spark, sf_dir).select("doc_id", sequences.repeats("text").alias("r")).select("doc_id", F.col("r.part").alias("part"), F.col("r.n").alias("n"))
+
+
+@query("""select p_partkey, coalesce(case when length(b) < length(s) then b end, '') name, regexp_matches(s, '^(TestCase_|TESTCASE_|testcase_|test)(_|)') or regexp_matches(s, '(_|)[0-9]+$') test
+  from (select p_partkey, s, regexp_replace(regexp_replace(s, '(_|)[0-9]+$', ''), '^(TestCase_|TESTCASE_|testcase_|test)(_|)', '') b from (select p_partkey,
+    (case p_partkey % 3 when 0 then 'test_' when 1 then 'TestCase_' else '' end) || replace(p_name, ' ', '_') || (case p_partkey % 2 when 0 then '_' || p_partkey else '' end) s from part))""")
+def tested_names(spark, sf_dir):
+    k = F.col("p_partkey")
+    s = F.concat(F.when(k % 3 == 0, "test_").when(k % 3 == 1, "TestCase_").otherwise(""), F.regexp_replace("p_name", " ", "_"), F.when(k % 2 == 0, F.concat(F.lit("_"), k.cast("string"))).otherwise(""))
+    return table(spark, sf_dir, "part").select("p_partkey", F.coalesce(filters.tested_name(s), F.lit("")).alias("name"), filters.test_function(s).alias("test"))

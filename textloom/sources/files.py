@@ -80,9 +80,6 @@ def rule_table(spark: SparkSession, path: str) -> DataFrame:
     """
     raw = spark.read.option("header", "true").csv(path)
 
-    def number(name: str) -> Column:
-        return F.try_to_number(F.trim(F.col(f"`{name}`")), F.lit("999999.999")).cast("double")
-
     return raw.select(
         T.language_name("language").alias("lang"),
         F.col("extension"),
@@ -123,9 +120,9 @@ TRIVIAL_CHARS = 20
 def benchmark_strings(tasks: DataFrame) -> DataFrame:
     """benchmark, item_id, text of a table of tasks (benchmark, task_id, prompt, solution): doc strings and solutions.
 
-    The mbpp set counts for its test ids alone; solutions under TRIVIAL_CHARS characters do not count.
+    item_id is a hash of benchmark, task and part, the same in every reading. The mbpp set counts for its test ids alone; solutions under TRIVIAL_CHARS characters do not count.
     """
     kept = tasks.where((F.col("benchmark") != "mbpp") | F.col("task_id").between(*MBPP_IDS))
     doc = F.trim(F.coalesce(F.try_element_at(F.split("prompt", '"""', -1), F.lit(2)), F.col("prompt")))
-    both = kept.select("benchmark", "task_id", F.explode(F.array(doc, F.trim("solution"))).alias("text")).where(F.length("text") >= TRIVIAL_CHARS)
-    return both.select("benchmark", F.monotonically_increasing_id().alias("item_id"), "text")
+    both = kept.select("benchmark", "task_id", F.posexplode(F.array(doc, F.trim("solution"))).alias("part", "text")).where(F.length("text") >= TRIVIAL_CHARS)
+    return both.select("benchmark", F.xxhash64("benchmark", "task_id", "part").alias("item_id"), "text")

@@ -14,7 +14,7 @@ def new_documents(batch: DataFrame, seen: DataFrame | None, ngram: int = 5, id_c
     """A batch's documents that share no band with earlier ones nor with a smaller id of the batch; and their bands."""
     work = Workspace(batch.sparkSession, "incremental")
     banded = work.keep(minhash.bands(batch, ngram=ngram, id_col=id_col, text_col=text_col), "bands")
-    kept = minhash.survivors(batch, banded, id_col)
+    kept = minhash.survivors(batch, minhash.near_components(banded, id_col), id_col)
     if seen is not None:
         met = banded.join(seen.select("band", "key").distinct(), ["band", "key"], "left_semi").select(id_col).distinct()
         kept = kept.join(met, id_col, "left_anti")
