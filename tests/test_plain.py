@@ -3,13 +3,15 @@
 import hashlib
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
 
 import __spark_entry__ as entry
-from textloom.functions import sequences
-from textloom.operators import discussions, filters, graph, lines, minhash
+from textloom.functions import parsers, sequences
+from textloom.operators import discussions, filters, fim, graph, lines, minhash
+from textloom.operators import rows as R
 from textloom.plans import queries
 
 SMALL = "/root/testdata/sf0.001"
@@ -31,7 +33,7 @@ def grams(text):
 
 def test_every_query_is_compared_somewhere():
     here = {"duplicate_line_collapse", "regex_clean", "window_split_lines", "minhash_bands_exact", "near_dup_edges", "near_dup_components", "near_dup_survivors"}
-    here |= {"pii_full", "pii_redact", "dep_topo_level", "dep_topo_order", "fim_samples", "bot_filter", "repeated_runs"}
+    here |= {"pii_full", "pii_redact", "dep_topo_level", "dep_topo_order", "fim_samples", "bot_filter", "repeated_runs", "decontam_lsh", "char_run_counts"}
     assert {n for n in queries.QUERIES if n not in queries.ORACLE_SQL} <= here
 
 
@@ -204,3 +206,69 @@ def test_rules_do_not_clash_with_columns(spark):
     docs = spark.createDataFrame([("en", "word " * 30, 7)], "lang string, text string, include int")
     rules = spark.createDataFrame([("en", 1, 900, 900, 0.1, 0.1)], "lang string, include int, line_max int, line_mean int, alnum double, alpha double")
     assert filters.basic_by_rule(docs, rules, ["lang"]).columns == docs.columns and filters.basic_by_rule(docs, rules, ["lang"]).count() == 1
+
+
+def test_decontam_lsh(spark, texts):
+    """What is found is right, and of all alike pairs hardly one is missed."""
+    items = {r.item_id: r.text for r in spark.read.parquet(f"{SMALL}/benchmark.parquet").collect()}
+    def tokens(t):
+        return {p for p in re.split("[^A-Za-z_0-9]", t or "") if p}
+
+    def share(a, b):
+        return len(a & b) / max(1, len(a | b))
+
+    alike = {(i, j): share(tokens(t), tokens(s)) for i, t in texts.items() for j, s in items.items()}
+    alike = {k: v for k, v in alike.items() if v >= 0.58}
+    found = {(r.doc_id, r["item"]): r.similarity for r in rows(spark, "decontam_lsh")}
+    assert all(abs(alike[k] - v) < 1e-9 for k, v in found.items()) and len(found) >= 0.8 * len(alike)
+
+
+def test_char_run_counts(spark, texts):
+    expected = set()
+    for i, text in texts.items():
+        n, at = Counter(), 0
+        while at < len(text):
+            end = at
+            while end < len(text) and text[end] == text[at]:
+                end += 1
+            if end - at > 2 and end < len(text):
+                n[text[at] * (end - at - 1)] += 1
+            at = end
+        expected |= {(i, s, c) for s, c in n.items() if c > 5}
+    assert {(r.doc_id, r.span, r.n) for r in rows(spark, "char_run_counts")} == expected
+
+
+def test_filters_by_name():
+    named = {"size": lambda d: d, "basic": lambda d: d, "basic_by_rule": lambda d: d}
+    assert R.chosen(named, "basic*, size") == ["size", "basic", "basic_by_rule"] and R.chosen(named, ["basic"]) == ["basic"]
+    with pytest.raises(ValueError, match="stars"):
+        R.chosen(named, "stars,size")
+
+
+def test_index_and_samples(spark):
+    docs = spark.range(500).selectExpr("id", "id % 3 = 0 modified")
+    assert sorted(r["index"] for r in R.with_index(docs, "id").collect()) == list(range(500))
+    assert [r.id for r in R.shuffled(docs, "id").collect()] == [r.id for r in R.shuffled(docs.repartition(7), "id").collect()]
+    some = [r.id for r in R.changed_sample(docs, 20, "id").collect()]
+    assert len(set(some)) == 20 and all(i % 3 == 0 for i in some)
+
+
+def test_copies_and_parts(spark, tmp_path):
+    rows_ = spark.createDataFrame([(i, f"src/{'test_' if i % 4 == 0 else ''}{i}.py") for i in range(40)], "id long, path string")
+    R.save_copies(rows_, f"{tmp_path}/c", [5, 100], ["id"])
+    assert [r.id for r in spark.read.json(f"{tmp_path}/c/first_5").orderBy("id").collect()] == [0, 1, 2, 3, 4] and spark.read.json(f"{tmp_path}/c/first_100").count() == 40
+    R.save_with_part(rows_, f"{tmp_path}/p", "path", "test_")
+    assert spark.read.json(f"{tmp_path}/p/part").count() == 10 and spark.read.json(f"{tmp_path}/p/all").count() == 40
+
+
+def test_parsers_are_pluggable():
+    source = "# é漢字\nclass A:\n    def f(self, x):\n        return g(x) + 'é'\n"
+    nodes = parsers.python_nodes(source)
+    data = source.encode()
+    assert [n.names for n in nodes if n.names] == [("A",), ("f",)] and data[nodes[0].start : nodes[0].end].decode() == source
+    assert any(data[n.start : n.end].decode() == "g(x) + 'é'" for n in nodes)
+    for prefix, middle, suffix in fim.tree_samples(source, "k"):
+        assert prefix + middle + suffix in source
+    assert fim.tree_samples("one\ntwo words here\n", "k", lang="lines") == []
+    parsers.register("Lines", lambda s: [parsers.Node("block", "line", 4, 18)])
+    assert fim.tree_samples("one\ntwo words here\n", "k", lang="lines") == [("one\n", "two words here", "\n")]

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textloom.functions import text as T
+from textloom.operators import minhash
 from textloom.session import Workspace
 
 #: Benchmark characters searched in one pass; more are searched in as many passes as it takes.
@@ -98,3 +99,18 @@ def jaccard_matches(docs: DataFrame, needles: DataFrame, threshold: float = 0.5,
     full = pairs.join(left, "id").join(right.select(F.col("id").alias("item"), F.col("tokens").alias("others")), "item")
     scored = full.withColumn("similarity", T.jaccard(F.col("tokens"), F.col("others"))).where(F.col("similarity") >= threshold)
     return scored.select(F.col("id").alias(id_col), "item", "similarity")
+
+
+def lsh_matches(docs: DataFrame, needles: DataFrame, threshold: float = 0.58, n: int = 128, id_col: str = "doc_id", text_col: str = "text", needle_id: str = "item_id") -> DataFrame:
+    """id, item, similarity of documents and benchmark texts that share a band of their token sets' MinHash signatures and reach the threshold.
+
+    Unlike jaccard_matches, pairs near the threshold may be missed as bands have it; what is
+    found is compared whole. threshold is taken in hundredths.
+    """
+    work = Workspace(docs.sparkSession, "lsh")
+    left = work.keep(minhash.signed(docs, 1, threshold, n, 0, id_col, text_col), "documents")
+    right = work.keep(minhash.signed(needles.withColumnRenamed(needle_id, id_col) if needle_id != id_col else needles, 1, threshold, n, 0, id_col, "text"), "needles")
+    a, b = (x.where("size > 0").select(F.col(id_col).alias(name), F.posexplode("keys").alias("band", "key")) for x, name in ((left, "a"), (right, "b")))
+    pairs = a.join(b, ["band", "key"]).select("a", "b").distinct()
+    found = minhash.verified_pairs(pairs, left, round(100 * threshold), 100, id_col, right)
+    return found.select(F.col("a").alias(id_col), F.col("b").alias("item"), "similarity")

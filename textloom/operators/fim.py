@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import ast
 import random
 
 import pandas as pd
@@ -10,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textloom.functions import text as T
+from textloom.functions.parsers import parser_of
 from textloom.operators.lines import _greedy_windows
 
 #: The tokens of the sample format, and the marker of completion prompts.
@@ -17,6 +17,8 @@ BEGIN, HOLE, END, STOP, FILL = "<｜fim▁begin｜>", "<｜fim▁hole｜>", "<
 WINDOWS, LEAST_LINES = (2000, 3000, 4000), 15
 PRINT_LIKE = ("print", "log", "cout", "write", "say", "echo", "put", "inspect", "console", "output", "cat", "http")
 APART = 1000
+#: The share of single files and of stacks of files that stay plain.
+PLAIN_SHARE, STACK_PLAIN_SHARE = 0.1, 0.5
 
 
 def fim(prefix: Column, suffix: Column, middle: Column | None = None) -> Column:
@@ -88,54 +90,42 @@ def line_sample(text: str, key: str) -> tuple[str, str, str] | None:
     return first if isinstance(first, tuple) else None
 
 
-#: Statements that make multi-line middles, and expressions that make inline ones.
-_BLOCKS = (ast.FunctionDef, ast.AsyncFunctionDef, ast.ClassDef, ast.If, ast.For, ast.While, ast.With, ast.Try)
-_INLINE = (ast.Call, ast.BinOp, ast.Compare, ast.BoolOp, ast.Subscript, ast.Dict, ast.List, ast.Return, ast.Assign)
+def tree_samples(source: str, key: str, least: int = 5, most: int = 1000, lang: str = "python") -> list[tuple[str, str, str]]:
+    """Samples about syntax nodes of a file, far apart from each other, in source order; none without a parser or tree.
 
-
-def tree_samples(source: str, key: str, least: int = 5, most: int = 1000) -> list[tuple[str, str, str]]:
-    """Samples about syntax nodes of a Python file, far apart from each other, in source order.
-
-    Statement nodes are tried first (window 2000 before, 400 after), then inline ones
+    Statement nodes are tried first (window 2000 bytes before, 400 after), then inline ones
     (1000, 200), in a random order that the key fixes. A prefix begins no earlier than the
-    sample before it ended.
+    sample before it ended. All places and bounds are in bytes; a window's outer ends give way
+    to whole characters.
     """
-    try:
-        tree = ast.parse(source)
-    except (SyntaxError, ValueError, RecursionError):
+    parser = parser_of(lang)
+    nodes = parser(source) if parser else None
+    if not nodes:
         return []
-    starts = [0]
-    for line in source.split("\n"):
-        starts.append(starts[-1] + len(line) + 1)
-    bytes_of = [x.encode() for x in source.split("\n")]
-
-    def place(line: int, byte: int) -> int:
-        return starts[line - 1] + len(bytes_of[line - 1][:byte].decode(errors="ignore"))
-
-    pick, kept = random.Random(key), []
-    for kinds, before, after in ((_BLOCKS, 2000, 400), (_INLINE, 1000, 200)):
-        nodes = [n for n in ast.walk(tree) if isinstance(n, kinds)]
-        spans = sorted({(place(n.lineno, n.col_offset), place(n.end_lineno, n.end_col_offset)) for n in nodes})
+    data, pick, kept = source.encode(), random.Random(key), []
+    for kind, before, after in (("block", 2000, 400), ("inline", 1000, 200)):
+        spans = sorted({(n.start, n.end) for n in nodes if n.kind == kind})
         pick.shuffle(spans)
         for a, b in spans:
             if least <= b - a <= most and all(a - kb >= APART or ka - b >= APART for ka, kb, *_ in kept):
                 kept.append((a, b, before, after))
     out, free = [], 0
     for a, b, before, after in sorted(kept):
-        end = min(len(source), b + after)
-        line = source.find("\n", end, end + 100)
+        end = min(len(data), b + after)
+        line = data.find(b"\n", end, end + 100)
         end = line if line >= 0 else end
-        out.append((source[max(free, a - before) : a], source[a:b], source[b:end]))
-        free = max(free, min(end + 1, len(source)))
+        out.append(tuple(x.decode(errors="ignore") for x in (data[max(free, a - before) : a], data[a:b], data[b:end])))
+        free = max(free, min(end + 1, len(data)))
     return out
 
 
-def samples(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", plain_share: float = 0.1, seed: int = 0) -> DataFrame:
+def samples(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", plain_share: float = PLAIN_SHARE, seed: int = 0) -> DataFrame:
     """id, part, kind (fim or plain) and sample of each part of each text.
 
-    A share of the texts, by a hash of the id, stays plain; Python files give their syntax
-    samples as one part, others a part for each window of lines, plain if it has few; what
-    gives none stays plain.
+    A share of the texts, by a hash of the id, stays plain (0.1 for single files, 0.5 for
+    stacks of files); files of a language with a parser give their syntax samples as one
+    part, others a part for each window of lines, plain if it has few; what gives none stays
+    plain.
     """
 
     @F.pandas_udf("array<struct<kind:string,sample:string>>")
@@ -143,7 +133,7 @@ def samples(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
         out = []
         for key, text, lang in zip(ids.astype(str), texts, langs):
             text = text or ""
-            found = tree_samples(text, f"{seed}-{key}") if (lang or "").lower() == "python" else []
+            found = tree_samples(text, f"{seed}-{key}", lang=lang)
             if found:
                 out.append([("fim", "".join(map(_written, found)))])
             else:

@@ -86,9 +86,16 @@ def grams_of(text: str | None, ngram: int, least: int = 0) -> set[str]:
     return {joined[starts[i] : e] for i, e in enumerate(ends[ngram - 1 :])}
 
 
+def tokens_of(text: str | None) -> set[str]:
+    """Distinct pieces of a text without empty ones."""
+    return {p for p in _BREAK.split(text or "") if p}
+
+
 def signed(docs: DataFrame, ngram: int = 5, threshold: float = 0.7, n: int = 128, least: int = 0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, size (distinct grams), keys (its signature's bands, big-endian bytes) and grams (64-bit hashes, ascending) of each document.
 
+    With an ngram of 1 the grams are its distinct tokens.
+
     One pass of Arrow batches: grams are cut from one joined text, and the signatures of many
     documents are made at once.
     """
@@ -98,7 +105,7 @@ def signed(docs: DataFrame, ngram: int = 5, threshold: float = 0.7, n: int = 128
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 some = batch.slice(at, 256)
-                digests = [b"".join(hashlib.sha1(g.encode()).digest()[:8] for g in grams_of(t, ngram, least)) for t in some.column(1).to_pylist()]
+                digests = [b"".join(hashlib.sha1(g.encode()).digest()[:8] for g in (grams_of(t, ngram, least) if ngram > 1 else tokens_of(t))) for t in some.column(1).to_pylist()]
                 sizes = np.array([len(d) // 8 for d in digests])
                 flat = np.frombuffer(b"".join(digests), "<u8")
                 keys = signatures(flat & np.uint64(0xFFFFFFFF), sizes, n)[:, : b * r].astype(">u8")
@@ -122,8 +129,8 @@ def bands(docs: DataFrame, ngram: int = 5, threshold: float = 0.7, n: int = 128,
     return (found.where("size > 0") if keep_short else found).select(id_col, F.posexplode("keys").alias("band", "key"))
 
 
-def verified_pairs(pairs: DataFrame, found: DataFrame, shared: int = 4, of: int = 5, id_col: str = "doc_id") -> DataFrame:
-    """The pairs (a, b) whose sets of grams have shared/of of their union in common, with that similarity."""
+def verified_pairs(pairs: DataFrame, found: DataFrame, shared: int = 4, of: int = 5, id_col: str = "doc_id", others: DataFrame | None = None) -> DataFrame:
+    """The pairs (a, b) whose sets of grams have shared/of of their union in common, with that similarity; b is of `others` if given."""
 
     def alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -136,8 +143,8 @@ def verified_pairs(pairs: DataFrame, found: DataFrame, shared: int = 4, of: int
             made = pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(both / np.maximum(all_, 1))], names=["a", "b", "similarity"])
             yield made.filter(pa.array((of * both >= shared * all_) & (all_ > 0)))
 
-    sets = found.select(id_col, "grams")
-    met = pairs.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b").select("a", "b", "x", "y")
+    left, right = (x.select(id_col, "grams") for x in (found, found if others is None else others))
+    met = pairs.join(left.toDF("a", "x"), "a").join(right.toDF("b", "y"), "b").select("a", "b", "x", "y")
     return met.mapInArrow(alike, "a long, b long, similarity double")
 
 

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from textloom.functions import pii, sequences
 from textloom.functions import text as T
-from textloom.operators import decontamination, discussions, evaluation, filters, fim, graph, interactions, lines, metadata, minhash, vocabulary
-from textloom.session import Workspace
+from textloom.operators import decontamination, discussions, evaluation, filters, fim, graph, interactions, lines, metadata, minhash, rows, vocabulary
+from textloom.session import Workspace, spread
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -36,6 +36,11 @@ def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
 
 
+def wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """documents over all cores, for queries that work hard on each text."""
+    return spread(docs(spark, sf_dir))
+
+
 def r4(c: Column | str) -> Column:
     return F.round(F.col(c) if isinstance(c, str) else c, 4)
 
@@ -51,13 +56,13 @@ _MEASURED = f"""select doc_id, text, lang, source, length(text) size, len(ll) n_
 
 @query(f"select doc_id, n_lines::bigint n_lines, max_line::bigint max_line, round(avg_line, 4) avg_line, round(digit_ratio, 4) digit_ratio, round(alnum_fraction, 4) alnum_fraction, size::bigint size from ({_MEASURED})")
 def line_stats(spark, sf_dir):
-    found = filters.line_stats(docs(spark, sf_dir))
+    found = filters.line_stats(wide(spark, sf_dir))
     return found.select("doc_id", "n_lines", "max_line", r4("avg_line").alias("avg_line"), r4("digit_ratio").alias("digit_ratio"), r4("alnum_fraction").alias("alnum_fraction"), "size")
 
 
 @query(f"select lang, count(*) n_docs, round(avg(avg_line), 4) mean_line, max(max_line)::bigint longest from ({_MEASURED}) where max_line <= 1000 and avg_line <= 100 and alnum_fraction >= 0.25 group by lang")
 def filter_basic(spark, sf_dir):
-    kept = filters.line_stats(filters.basic(docs(spark, sf_dir)))
+    kept = filters.line_stats(filters.basic(wide(spark, sf_dir)))
     return kept.groupBy("lang").agg(F.count("*").alias("n_docs"), r4(F.avg("avg_line")).alias("mean_line"), F.max("max_line").alias("longest"))
 
 
@@ -68,7 +73,7 @@ _RULES = [("en", 1, 2000, 100, 0.5, 0.5), ("fr", 1, None, None, 0.25, None), ("d
   or (lang = 'fr' and alnum_fraction >= 0.25) or (lang = 'de' and max_line <= 800 and avg_line <= 100 and alpha_fraction >= 0.6)""")
 def filter_basic_per_lang(spark, sf_dir):
     rules = spark.createDataFrame(_RULES, "lang string, include int, line_max int, line_mean int, alnum double, alpha double")
-    return filters.basic_by_rule(docs(spark, sf_dir), F.broadcast(rules), ["lang"]).select("doc_id")
+    return filters.basic_by_rule(wide(spark, sf_dir), F.broadcast(rules), ["lang"]).select("doc_id")
 
 
 @query("select doc_id, length(text)::bigint size from documents where length(text) between 100 and 5000")
@@ -78,7 +83,7 @@ def filter_size(spark, sf_dir):
 
 @query(f"select doc_id, size::bigint size from ({_MEASURED}) where max_line <= 1000 and floor(avg_line) >= 5 and digit_ratio <= 0.25 and trim(regexp_replace(text, '\\s+', ' ', 'g')) <> ''")
 def filter_repo_rules(spark, sf_dir):
-    return filters.repo_rules(docs(spark, sf_dir)).select("doc_id", F.length("text").cast("long").alias("size"))
+    return filters.repo_rules(wide(spark, sf_dir)).select("doc_id", F.length("text").cast("long").alias("size"))
 
 
 @query("select page_id from pages where position('<?xml version=' in substr(html, 1, 100)) = 0")
@@ -109,18 +114,18 @@ _PARTS = "select unnest(list_filter(regexp_split_to_array(regexp_replace(text, '
 
 @query(f"select doc_id, rank::bigint rank, word, n from (select *, row_number() over (partition by doc_id order by n desc, word) rank from (select doc_id, word, count(*) n from ({_WORDS}) group by all)) where rank <= 5")
 def top_words_per_doc(spark, sf_dir):
-    return vocabulary.top_words(docs(spark, sf_dir)).select("doc_id", F.col("rank").cast("long").alias("rank"), "word", "n")
+    return vocabulary.top_words(wide(spark, sf_dir)).select("doc_id", F.col("rank").cast("long").alias("rank"), "word", "n")
 
 
 @query(f"select lang, word, count(*) n from ({_WORDS}) group by all having count(*) > 500")
 def lang_word_counts(spark, sf_dir):
-    return vocabulary.word_counts(docs(spark, sf_dir)).select("lang", "word", "n")
+    return vocabulary.word_counts(wide(spark, sf_dir)).select("lang", "word", "n")
 
 
 @query(f"""select (case when length(word) <= 6 then 6 when length(word) > 36 then 1000 else ceil((length(word) - 6) / 5.0) * 5 + 6 end)::bigint band, word, count(*) n
   from ({_PARTS}) where length(word) between 2 and 1000 group by word having count(*) > 10""")
 def word_bands(spark, sf_dir):
-    return vocabulary.word_bands(docs(spark, sf_dir)).select(F.col("band").cast("long").alias("band"), "word", "n")
+    return vocabulary.word_bands(wide(spark, sf_dir)).select(F.col("band").cast("long").alias("band"), "word", "n")
 
 
 @query("select lang, count(*) n from documents group by lang order by n desc, lang limit 3")
@@ -177,7 +182,7 @@ def neighbour_line_dedup(spark, sf_dir):
 
 @query()
 def duplicate_line_collapse(spark, sf_dir):
-    return docs(spark, sf_dir).select("doc_id", lines.collapse_repeated_lines("text").alias("text"))
+    return wide(spark, sf_dir).select("doc_id", lines.collapse_repeated_lines("text").alias("text"))
 
 
 @query()
@@ -203,7 +208,7 @@ def window_split_fixed(spark, sf_dir):
 
 @query()
 def window_split_lines(spark, sf_dir):
-    return docs(spark, sf_dir).select("doc_id", F.posexplode(lines.line_windows("text", 2000)).alias("part", "piece"))
+    return wide(spark, sf_dir).select("doc_id", F.posexplode(lines.line_windows("text", 2000)).alias("part", "piece"))
 
 
 @query("""select doc_id, '<|PathStart|>' || chr(9) || '#Path:' || substr(source, 4) || '/' || lang || '<|PathEnd|>' || chr(10) || text content from documents""")
@@ -237,12 +242,12 @@ _H32 = "('0x' || substr(h, 7, 2) || substr(h, 5, 2) || substr(h, 3, 2) || substr
 
 @query(f"select doc_id, gram from ({_GRAMS})")
 def shingles(spark, sf_dir):
-    return docs(spark, sf_dir).select("doc_id", F.explode(T.shingles(T.pieces("text"), 5)).alias("gram"))
+    return wide(spark, sf_dir).select("doc_id", F.explode(T.shingles(T.pieces("text"), 5)).alias("gram"))
 
 
 @query(f"select doc_id, {_H32} hash from (select doc_id, sha1(text) h from documents)")
 def token_hash32(spark, sf_dir):
-    return docs(spark, sf_dir).select("doc_id", T.hash32("text").alias("hash"))
+    return wide(spark, sf_dir).select("doc_id", T.hash32("text").alias("hash"))
 
 
 @query()
@@ -258,7 +263,7 @@ _BANDED = f"""select doc_id, j::int band, (case j {' '.join(f"when {j} then m{3
 
 @query(_BANDED)
 def lsh_bands(spark, sf_dir):
-    return minhash.sql_bands(docs(spark, sf_dir))
+    return minhash.sql_bands(wide(spark, sf_dir))
 
 
 def _near_links(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
@@ -302,19 +307,19 @@ _HITS = "select doc_id, min(item_id) item from documents d join benchmark b on c
 
 @query(_HITS)
 def decontam_substring(spark, sf_dir):
-    return decontamination.substring_hits(docs(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+    return decontamination.substring_hits(wide(spark, sf_dir), table(spark, sf_dir, "benchmark"))
 
 
 @query(f"select lang, 'benchmark_match' reason, count(*) n from documents join ({_HITS}) using (doc_id) group by lang")
 def decontam_reason_counts(spark, sf_dir):
-    _, gone = decontamination.decontaminate(docs(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+    _, gone = decontamination.decontaminate(wide(spark, sf_dir), table(spark, sf_dir, "benchmark"))
     return gone.groupBy("lang", "reason").agg(F.count("*").alias("n"))
 
 
 @query(f"""with t as (select doc_id, list_distinct(list_filter({_PIECES}, lambda x: x <> '')) t from documents), b as (select item_id, list_distinct(list_filter({_PIECES}, lambda x: x <> '')) t from benchmark)
   select doc_id, item, round(s, 6)::double similarity from (select doc_id, item_id item, len(list_intersect(t.t, b.t)) / greatest(1, len(list_distinct(list_concat(t.t, b.t)))) s from t, b) where s >= 0.5""")
 def decontam_jaccard(spark, sf_dir):
-    found = decontamination.jaccard_matches(docs(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+    found = decontamination.jaccard_matches(wide(spark, sf_dir), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "item", F.round("similarity", 6).alias("similarity"))
 
 
@@ -334,13 +339,13 @@ _TOKEN = r'token = "([0-9a-f]{40})"'
 
 @query(f"select doc_id, unnest(regexp_extract_all(text, '{_SIMPLE_EMAIL}')) email from documents")
 def pii_email_simple(spark, sf_dir):
-    return docs(spark, sf_dir).select("doc_id", F.explode(F.regexp_extract_all("text", F.lit(_SIMPLE_EMAIL), F.lit(0))).alias("email"))
+    return wide(spark, sf_dir).select("doc_id", F.explode(F.regexp_extract_all("text", F.lit(_SIMPLE_EMAIL), F.lit(0))).alias("email"))
 
 
 @query(f"select lang, count(*) filter (n > 0) n_docs, sum(n)::bigint n_secrets from (select lang, len(regexp_extract_all(text, '{_SIMPLE_EMAIL}')) n from documents) group by lang")
 def pii_counts(spark, sf_dir):
     n = F.size(F.regexp_extract_all("text", F.lit(_SIMPLE_EMAIL), F.lit(0)))
-    return docs(spark, sf_dir).groupBy("lang").agg(F.count_if(n > 0).alias("n_docs"), F.sum(n).alias("n_secrets"))
+    return wide(spark, sf_dir).groupBy("lang").agg(F.count_if(n > 0).alias("n_docs"), F.sum(n).alias("n_secrets"))
 
 
 @query(f"select doc_id, unnest(regexp_extract_all(text, '{_TOKEN}', 1)) secret from documents")
@@ -350,13 +355,13 @@ def pii_key_assignment(spark, sf_dir):
 
 @query()
 def pii_full(spark, sf_dir):
-    found = docs(spark, sf_dir).select("doc_id", F.explode(pii.detect("text")).alias("s"))
+    found = wide(spark, sf_dir).select("doc_id", F.explode(pii.detect("text")).alias("s"))
     return found.select("doc_id", "s.tag", "s.value", "s.start", "s.end")
 
 
 @query()
 def pii_redact(spark, sf_dir):
-    return pii.scan_and_redact(docs(spark, sf_dir)).select("doc_id", "new_text", "number_secrets", "modified")
+    return pii.scan_and_redact(wide(spark, sf_dir)).select("doc_id", "new_text", "number_secrets", "modified")
 
 
 def _first_span(d: DataFrame, pattern: str) -> DataFrame:
@@ -419,7 +424,7 @@ def fim_middle_line(spark, sf_dir):
 
 @query()
 def fim_samples(spark, sf_dir):
-    return fim.samples(docs(spark, sf_dir))
+    return fim.samples(wide(spark, sf_dir))
 
 
 @query("select conv_id, string_agg(role || ':' || text, chr(10) order by turn) chat, count(*) n from conversations group by conv_id")
@@ -522,7 +527,7 @@ def json_extract_props(spark, sf_dir):
 
 @query("select doc_id, round(length(text) / len(regexp_extract_all(text, '[A-Za-z0-9_]+|[^A-Za-z0-9_\\s]')), 4)::double chars_per_token from documents")
 def fertility(spark, sf_dir):
-    return docs(spark, sf_dir).select("doc_id", r4(sequences.chars_per_token("text")).alias("chars_per_token"))
+    return wide(spark, sf_dir).select("doc_id", r4(sequences.chars_per_token("text")).alias("chars_per_token"))
 
 
 @query(f"select p_partkey, lower(replace(p_name, ' ', '-')) name from part")
@@ -545,7 +550,7 @@ def in_repository_counts(spark, sf_dir):
 
 @query()
 def repeated_runs(spark, sf_dir):
-    return docs(spark, sf_dir).select("doc_id", sequences.repeats("text").alias("r")).select("doc_id", F.col("r.part").alias("part"), F.col("r.n").alias("n"))
+    return wide(spark, sf_dir).select("doc_id", sequences.repeats("text").alias("r")).select("doc_id", F.col("r.part").alias("part"), F.col("r.n").alias("n"))
 
 
 @query("""select p_partkey, coalesce(case when length(b) < length(s) then b end, '') name, regexp_matches(s, '^(TestCase_|TESTCASE_|testcase_|test)(_|)') or regexp_matches(s, '(_|)[0-9]+$') test
@@ -555,3 +560,94 @@ def tested_names(spark, sf_dir):
     k = F.col("p_partkey")
     s = F.concat(F.when(k % 3 == 0, "test_").when(k % 3 == 1, "TestCase_").otherwise(""), F.regexp_replace("p_name", " ", "_"), F.when(k % 2 == 0, F.concat(F.lit("_"), k.cast("string"))).otherwise(""))
     return table(spark, sf_dir, "part").select("p_partkey", F.coalesce(filters.tested_name(s), F.lit("")).alias("name"), filters.test_function(s).alias("test"))
+
+
+# ---- row-level steps
+
+_BEST = """with t as (select doc_id, list_distinct(list_filter({p}, lambda x: x <> '')) t from documents), b as (select item_id, list_distinct(list_filter({p}, lambda x: x <> '')) t from benchmark),
+  m as (select doc_id, len(list_intersect(t.t, b.t)) / greatest(1, len(list_distinct(list_concat(t.t, b.t)))) s from t, b) select count(*) n, round(min(s), 6)::double least, round(max(s), 6)::double most, round(avg(s), 6)::double mean
+  from (select doc_id, max(s) s from m where s >= 0.5 group by doc_id)""".format(p=_PIECES)
+
+
+@query(_BEST)
+def decontam_best_similarity(spark, sf_dir):
+    found = rows.best_similarity(decontamination.jaccard_matches(wide(spark, sf_dir), table(spark, sf_dir, "benchmark")))
+    return found.select("n", *(F.round(c, 6).alias(c) for c in ("least", "most", "mean")))
+
+
+@query()
+def decontam_lsh(spark, sf_dir):
+    return decontamination.lsh_matches(docs(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+
+
+@query()
+def char_run_counts(spark, sf_dir):
+    return rows.run_counts(wide(spark, sf_dir))
+
+
+@query("select role label, count(distinct conv_id) n_rows, count(*) n from conversations group by role")
+def label_counts(spark, sf_dir):
+    by = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.collect_list("role").alias("roles"))
+    return rows.label_counts(by, F.col("roles"))
+
+
+@query("select o_orderpriority as extension, count(*) n from orders where o_orderkey % 3 > 0 group by 1")
+def unknown_extensions(spark, sf_dir):
+    known = F.when(F.col("o_orderkey") % 3 > 0, F.concat(F.lit("- ('lang', '"), "o_orderpriority", F.lit("'):0.1 not in ext_to_filter"))).otherwise("read 10 files")
+    return rows.unknown_extensions(table(spark, sf_dir, "orders").select(known.alias("value")))
+
+
+@query("select conv_id * 1000 + turn id, role, case when role = 'user' then '> ' || text else text end text from conversations")
+def refreshed_rows(spark, sf_dir):
+    c = table(spark, sf_dir, "conversations").select((F.col("conv_id") * 1000 + F.col("turn")).alias("id"), "role", "text")
+    return rows.refreshed(c, c.where("role = 'user'").select("id", F.concat(F.lit("> "), "text").alias("text")), "id", "text")
+
+
+@query("select (select count(distinct doc_id) from documents) n_left, (select count(distinct doc_id) from labels) n_right, (select count(*) from (select doc_id from documents intersect select doc_id from labels)) n_both")
+def shared_ids(spark, sf_dir):
+    return rows.shared_ids(docs(spark, sf_dir), table(spark, sf_dir, "labels"), "doc_id", "doc_id")
+
+
+@query("select doc_id from documents where (source, lang) in (select (source, lang) from documents group by source, lang having count(*) > 3)")
+def allowed_languages(spark, sf_dir):
+    d = docs(spark, sf_dir).withColumn("repo", F.col("source"))
+    allowed = d.groupBy("repo", "lang").agg(F.count("*").alias("n")).where("n > 3")
+    return rows.only_languages(d, allowed).select("doc_id")
+
+
+@query("""with f as (select s_nationkey % 3 lang, 'd' || s_suppkey % 40 folder, s_suppkey, 'd' || (s_suppkey * 3) % 40 name from supplier)
+  select a.s_suppkey src, b.s_suppkey dst from f a join f b on a.lang = b.lang and a.name = b.folder and a.s_suppkey <> b.s_suppkey""")
+def folder_imports(spark, sf_dir):
+    k = F.col("s_suppkey")
+    files = table(spark, sf_dir, "supplier").select(F.lit("r").alias("repo"), (F.col("s_nationkey") % 3).alias("lang"), F.concat(F.lit("src/d"), (k % 40).cast("string"), F.lit("/"), k.cast("string")).alias("path"), F.concat(F.lit("d"), (k * 3 % 40).cast("string")).alias("name"))
+    found = rows.folder_imports(files, files)
+    return found.select(*(F.element_at(F.split(c, "/"), -1).cast("long").alias(c) for c in ("src", "dst")))
+
+
+@query("select user_id, string_agg(m, ',' order by m) types from (select distinct user_id, unnest([event_type, upper(event_type)]) m from events) group by user_id")
+def merged_lists(spark, sf_dir):
+    listed = table(spark, sf_dir, "events").select("user_id", F.array("event_type", F.upper("event_type")).alias("types"))
+    return rows.merged_lists(listed, ["user_id"], "types").select("user_id", F.array_join("types", ",").alias("types"))
+
+
+_USEFUL = "length(regexp_replace({}, '[^\\p{{Han}}a-zA-Z0-9_;,\\[\\]\\(\\)\\{{\\}}]', '', 'g'))"
+_TOKENS = "len(regexp_extract_all({}, '[\\p{{Han}}a-zA-Z0-9]+'))"
+
+
+@query(f"""select conv_id, turn from (select conv_id, turn, substr(text, 1, 60) p, substr(text, 20) s, turn % 2 = 0 web from conversations)
+  where least({_USEFUL.format('p')}, {_USEFUL.format('s')}) >= (case when web then 100 else 20 end) and least({_TOKENS.format('p')}, {_TOKENS.format('s')}) >= (case when web then 10 else 3 end)""")
+def rich_contexts(spark, sf_dir):
+    c = table(spark, sf_dir, "conversations")
+    kind = F.when(F.col("turn") % 2 == 0, "ts").otherwise("py")
+    return c.where(rows.rich_context(F.substring("text", 1, 60), F.expr("substring(text, 20)"), kind)).select("conv_id", "turn")
+
+
+@query("select p_partkey, array_to_string(list_filter(regexp_split_to_array('( ' || replace(p_name, ' ', ', ') || ' )', '[,\n\t ]+'), lambda w: w not in ('', '(', ')')), '|') names from part")
+def split_names(spark, sf_dir):
+    span = F.concat(F.lit("( "), F.regexp_replace("p_name", " ", ", "), F.lit(" )"))
+    return table(spark, sf_dir, "part").select("p_partkey", F.array_join(rows.split_names(span), "|").alias("names"))
+
+
+@query("select p_partkey, p_brand || chr(10) || p_type stack_content from part")
+def training_records(spark, sf_dir):
+    return rows.training_record(table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type"), ["p_brand", "p_type"])
