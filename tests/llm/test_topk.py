@@ -26,6 +26,8 @@ def test_top_k_against_brute_force(spark, monkeypatch):
     got = topk_search.search(docs, "vec_id % 10 = 0").collect()
     assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in got) == plain(rows, 10, lambda q: q % 10 == 0)
     assert topk_search.search(docs.where("vec_id < 0"), "vec_id % 10 = 0").count() == 0
+    huge = docs.where("vec_id < 20").unionByName(spark.createDataFrame([(600, [1e30] * 8), (610, [0.1] * 7 + [-1e300])], "vec_id long, embedding array<double>"))
+    assert {r.query_id for r in topk_search.search(huge, "vec_id % 10 = 0").collect()} == {0, 10}
     clashing = docs.where("vec_id between 500 and 501").withColumn("q", F.lit(1)).withColumn("block", F.lit(2))
     assert [(r.query_id, r.vec_id) for r in topk_search.search(clashing, "vec_id = 500").collect()] == [(500, 501)]
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,7 +25,9 @@ def blocks(vectors: DataFrame, size: int, id_col: str = "vec_id", vector_col: st
     """Vectors packed by `size` a row as integers floor(SCALE * x), the component x taken as a double.
 
     Vectors that are null or hold null or non-finite components, and rows without an id,
-    take no part; nor do empty vectors. A block holds vectors of one length.
+    take no part; nor do empty vectors, nor those with an integer so large that scores of such
+    vectors may exceed 64 bits (its square times the vector's length beyond 2**61), which
+    no score could tell. A block holds vectors of one length.
     """
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -43,9 +46,7 @@ def blocks(vectors: DataFrame, size: int, id_col: str = "vec_id", vector_col: st
                 if key is None or not vector or None in vector:
                     continue
                 numbers = np.floor(SCALE * np.array(vector, np.float64))
-                if not (np.abs(numbers) < 2.0**62).all():
-                    if np.isfinite(np.array(vector, np.float64)).all():
-                        raise OverflowError(f"vector {key} is too large for 64-bit scores")
+                if not (np.abs(numbers) <= math.isqrt((1 << 61) // len(vector))).all():
                     continue
                 ids, rows = held.setdefault(len(vector), ([], []))
                 ids.append(key)
@@ -86,7 +87,9 @@ def search(vectors: DataFrame, is_query: str, k: int = K, id_col: str = "vec_id"
     bin that holds the k-th highest, until it is one score wide; then only scores at or
     above it are kept. A block's own k highest bound what it can add, so lower bins are not
     sent, and at the k-th value it sends its k smallest ids at most: enough for any tie.
-    What a round moves is bounded by blocks and bins, however many vectors tie.
+    What a round moves is bounded by blocks and bins, however many vectors tie. Repeated ids
+    are rows of their own, but no row is a candidate of its own id; an empty table, or one
+    without queries, gives no rows; which vectors take no part is said at blocks().
     """
     spark = vectors.sparkSession
     work = Workspace(spark, "topk")
