@@ -26,6 +26,22 @@ def free_name(docs: DataFrame, name: str) -> str:
     return name
 
 
+#: Keys that are sent to every executor at most: those with more than this part of all rows.
+HOT_PART = 1000
+
+
+def meet(rows: DataFrame, table: DataFrame, key: str, size: str, total: int) -> DataFrame:
+    """rows joined to a written table of one row a key, whose column `size` says how many of the `total` rows have that key.
+
+    Keys with more than total / HOT_PART rows, of which there are fewer than HOT_PART, are
+    broadcast, so the rows of a hot key stay where they lie; the others meet by a shuffle.
+    """
+    hot = F.col(size) > max(1, total // HOT_PART)
+    often = F.broadcast(table.where(hot))
+    rest = rows.join(F.broadcast(table.where(hot).select(key)), key, "left_anti").join(table.where(~hot), key)
+    return rows.join(often, key).unionByName(rest)
+
+
 def row_keys(taken: int, n: int) -> np.ndarray:
     """Keys for the next n rows of this task, after `taken` earlier ones.
 
@@ -70,13 +86,15 @@ def word_counts(column: pa.Array) -> np.ndarray:
     data, at = text_bytes(column)
     if not len(data):
         return np.zeros(len(column), np.int64)
-    solid = ~_BLANK[data]
-    starts = solid.copy()
+    starts = ~_BLANK[data]
+    solid = starts.copy()
     starts[1:] &= ~solid[:-1]
-    first = at[:-1][at[:-1] < at[1:]]
-    starts[first] = solid[first]
-    before = np.concatenate(([0], np.cumsum(starts, dtype=np.int64)))
-    return before[at[1:]] - before[at[:-1]]
+    some = np.flatnonzero(at[:-1] < at[1:])
+    starts[at[some]] = solid[at[some]]
+    out = np.zeros(len(column), np.int64)
+    if len(some):
+        out[some] = np.add.reduceat(starts, at[some], dtype=np.int64)
+    return out
 
 
 def as_binary(values: list[bytes]) -> pa.Array:

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.common import key_column, keyed
+from textloom.llm.common import key_column, keyed, meet
 from textloom.session import Workspace
 
 #: Digests in one shard of the index, about; a shard is built and probed in one task's memory.
@@ -182,11 +182,13 @@ def exact_dedup(docs: DataFrame, old: str = "false", id_col: str = "doc_id", tex
     Texts are equal when identical after lower-casing A-Z; null is the empty text. Of equal
     texts the row with the largest id stays (rows with a null id lose to all others); of
     rows with the same text and id exactly one stays. old marks the rows that form the
-    historical index; it never changes the result. Other columns are not read.
+    historical index; it never changes the result. Other columns are not read; an empty
+    table gives no rows.
     """
     if hashed is None:
         hashed = Workspace(docs.sparkSession, "dedup").keep(digests(docs, old, id_col, text_col), "hashed")
-    joined = hashed.join(groups(hashed), "digest")
+    found = Workspace(docs.sparkSession, "dedup").keep(groups(hashed), "groups")
+    joined = meet(hashed, found, "digest", "group_size", hashed.count())
     return joined.select(
         "row_key", "doc_id", F.col("keep.doc_id").alias("keep_id"), "group_size", (F.col("keep.row_key") == F.col("row_key")).alias("kept"), "digest"
     )

@@ -26,7 +26,7 @@ def encode_pieces(
     One row a piece: row_key (unique to its document's row), doc_id, piece, start, length
     and ids (uint32 little-endian). Null and empty texts are one piece with the end id;
     equal ids and repeated rows stay apart by row_key; null ids stay null. Other columns
-    are not read.
+    are not read; an empty table gives no rows.
     """
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from textloom.llm.common import meet
 from textloom.operators.ranking import buckets_for, ranked
 from textloom.session import Workspace
 
 SHARDS = 40
-ROUNDS = 6
+ROUNDS, IDLE = 20, 3
 
 
 def keyed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -34,9 +35,17 @@ def _pick(values: list[int], at: str | Column) -> Column:
 
 
 def _spread(hub: str, row: str, hub_rows: str, n: int, each: int = 20_000) -> Column:
-    """A bucket that keeps a hub's rows together, unless it has too many: those are salted by row."""
+    """A bucket that keeps a hub's rows together, unless it has too many: those are salted by row. Buckets of larger hubs come first."""
     salt = F.pmod(F.xxhash64(row), F.greatest(F.lit(1), F.ceil(F.col(hub_rows) / each)))
-    return F.pmod(F.xxhash64(hub) + salt, F.lit(n)).cast("int")
+    small = 40 - F.least(F.floor(F.log2(hub_rows)), F.lit(40))
+    return (small * n + F.pmod(F.xxhash64(hub) + salt, F.lit(n))).cast("int")
+
+
+def _salted(rows: DataFrame, table: DataFrame, each: int = 20_000) -> DataFrame:
+    """rows (hub, hub_rows, row_key) joined to one row a hub (hub, hub_rows and more), a large hub's rows over several tasks."""
+    parts = F.greatest(F.lit(1), F.ceil(F.col("hub_rows") / each)).cast("int")
+    salted = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), parts - 1))).drop("hub_rows")
+    return rows.withColumn("_salt", F.pmod(F.xxhash64("row_key"), parts).cast("int")).join(salted, ["hub", "_salt"]).drop("_salt")
 
 
 def propagate(linked: DataFrame, capacity: list[int], rounds: int = ROUNDS) -> DataFrame:
@@ -46,25 +55,29 @@ def propagate(linked: DataFrame, capacity: list[int], rounds: int = ROUNDS) -> D
     shard that has most of them (counted by a partial aggregation, so a hub of any size is
     one row a shard) and the others want to move there. Those who want to move are lifted;
     a shard takes as many as its quota leaves beside its stayers, movers being numbered
-    without gaps in buckets, hub by hub, so that a quota cuts few hubs; whoever finds no
-    place is dealt to the room that is left. So quotas hold after every round, and full
-    shards can still exchange rows. Stops when nobody wants to move. Only counts by shard
-    reach the driver.
+    without gaps in buckets, large hubs first and hub by hub, so that a quota cuts few hubs;
+    those who find no place are dealt row by row to the room that is left, so that their
+    hubs' votes can turn to other shards. So quotas hold after every round, and full shards
+    can still exchange rows. Stops when nobody wants to move, or when IDLE rounds have not
+    left fewer who want to; at `rounds` in any case. Only counts by shard reach the driver.
     """
     work = Workspace(linked.sparkSession, "propagate")
     shards, total = len(capacity), linked.count()
     n = buckets_for(total)
     start = _numbered(linked, n)
     now = work.keep(start.select("row_key", "hub", "hub_rows", _dealt("_rank", capacity, total).alias("shard")), "labels")
+    fewest, idle = total + 1, 0
     for _ in range(rounds):
-        votes = now.groupBy("hub", "shard").agg(F.count("*").alias("n"))
-        best = votes.groupBy("hub").agg(F.max_by("shard", F.struct("n", F.xxhash64("hub", "shard"))).alias("target"))
-        wishes = work.keep(now.join(best, "hub").withColumn("_bucket", _spread("hub", "row_key", "hub_rows", n)), "wishes")
+        votes = now.groupBy("hub", "shard").agg(F.count("*").alias("n"), F.max("hub_rows").alias("hub_rows"))
+        best = votes.groupBy("hub").agg(F.max_by("shard", F.struct("n", F.xxhash64("hub", "shard"))).alias("target"), F.max("hub_rows").alias("hub_rows"))
+        wishes = work.keep(_salted(now, best).withColumn("_bucket", _spread("hub", "row_key", "hub_rows", n)), "wishes")
         stay, come = [0] * shards, [0] * shards
         for r in wishes.groupBy("target", (F.col("shard") == F.col("target")).alias("stays")).count().collect():
             (stay if r.stays else come)[r.target] = r["count"]
-        if not any(come):
+        idle = 0 if sum(come) < fewest else idle + 1
+        if not any(come) or idle == IDLE:
             break
+        fewest = min(fewest, sum(come))
         room = [c - s for c, s in zip(capacity, stay)]
         taken = [min(r, c) for r, c in zip(room, come)]
         movers = work.keep(ranked(wishes.where("shard <> target"), ["target"], "_bucket", ["hub", "row_key"], "_rank"), "movers")
@@ -122,7 +135,7 @@ def shard(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS, id_col: s
     capacity = capacities(total, shards)
     parts = F.ceil(F.col("hub_rows") / max(1.0, 0.9 * min(capacity)))  # a group beyond a shard's size is several
     part = F.pmod(F.xxhash64("row_key", F.lit(2)), parts).cast("int")
-    known = rows.select("row_key", "hub").join(hubs, "hub").withColumn("hub", F.when(parts > 1, F.xxhash64("hub", part)).otherwise(F.xxhash64("hub")))
+    known = meet(rows.select("row_key", "hub"), work.keep(hubs, "sizes"), "hub", "hub_rows", total).withColumn("hub", F.when(parts > 1, F.xxhash64("hub", part)).otherwise(F.xxhash64("hub")))
     known = work.keep(known, "hubs")
     labels = propagate(known.where("hub_rows > 1"), capacity, rounds)
     room = [c - h for c, h in zip(capacity, _held(labels, shards))]

@@ -234,8 +234,8 @@ def near_duplicates(docs: DataFrame, apart: int = BITS_APART, id_col: str = "doc
     Documents link when their fingerprints differ in at most `apart` bits. Equal
     fingerprints are one node, so copies of any number cost one row; components are found
     over distinct fingerprints. component names a component by one of its fingerprints.
-    Null ids belong to components but never give component_id unless all are null. Other
-    columns are not read.
+    Null ids belong to components but never give component_id unless all are null. Repeated
+    rows are rows of their own. Other columns are not read; an empty table gives no rows.
     """
     work = Workspace(docs.sparkSession, "simhash")
     marked = marked if marked is not None else work.keep(fingerprints(docs, id_col=id_col, text_col=text_col), "marks")
