@@ -136,7 +136,7 @@ def mix(sized: DataFrame, target: DataFrame, seed: int = SEED, tilt: float = TIL
     drawn = rows.where("_odds > 0").withColumn("_rank", u / (1 - u) / F.col("_odds"))
     upto = F.aggregate("_classes", F.lit(0.0), lambda a, x: a + F.when(x["_odds"] > 0, x["_classes"]["n"] * (1 - 1 / (1 + F.col("_rank") * x["_odds"]))).otherwise(0.0))
     all_ = F.aggregate("_classes", F.lit(0.0), lambda a, x: a + F.when(x["_odds"] > 0, x["_classes"]["n"]).otherwise(0))
-    n = buckets_for(sized.count(), 5_000)
+    n = buckets_for(sized.count(), 1_000)
     drawn = drawn.withColumn("_bucket", F.least(F.floor(upto / all_ * n), F.lit(n - 1)).cast("int")).drop("_classes", "_odds")
     totals = bucket_totals(drawn, ["source_no"], "_bucket", F.col("size")).select("source_no", "_bucket", "_before")
     drawn = drawn.join(totals, ["source_no", "_bucket"])
