@@ -1,8 +1,11 @@
 """Registered queries without a DuckDB twin, against plain Python on the smallest tables."""
 
 import hashlib
+import io
 import random
 import re
+import tarfile
+import zipfile
 from collections import Counter
 
 import numpy as np
@@ -13,6 +16,7 @@ from textloom.functions import parsers, sequences
 from textloom.operators import discussions, filters, fim, graph, lines, minhash
 from textloom.operators import rows as R
 from textloom.plans import queries
+from textloom.sources import files, sinks
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -272,3 +276,31 @@ def test_parsers_are_pluggable():
     assert fim.tree_samples("one\ntwo words here\n", "k", lang="lines") == []
     parsers.register("Lines", lambda s: [parsers.Node("block", "line", 4, 18)])
     assert fim.tree_samples("one\ntwo words here\n", "k", lang="lines") == [("one\n", "two words here", "\n")]
+
+
+def test_repository_facts(spark):
+    rows_ = [("[core]\n\tx = 1\n[remote]\n\turl = https://me:pw@host.org/a/b.git\n", "ref: refs/heads/main\n", "0123456789abcdef\n"), ("none", "0123456", "")]
+    found = spark.createDataFrame(rows_, "c string, h string, r string").select(files.origin_of("c"), files.branch_of("h"), files.revision_of("r")).collect()
+    assert [tuple(r) for r in found] == [("https://host.org/a/b.git", "main", "0123456"), ("", "", "")]
+    placed = files.projects(spark.createDataFrame([("p/a.py",), ("top.py",)], "path string"), "/data/dep/repos/").collect()
+    assert [(r.project, r.department) for r in placed] == [("p", "dep")]
+
+
+def test_archives_sheets_and_shards(spark, tmp_path):
+    (tmp_path / "tars").mkdir()
+    with tarfile.open(tmp_path / "tars" / "repo.tar.gz", "w:gz") as tar:
+        for name, data in (("r/a.py", b"x = 1"), ("r/b/c.txt", b"")):
+            info = tarfile.TarInfo(name)
+            info.size = len(data)
+            tar.addfile(info, io.BytesIO(data))
+    assert {(r.path, bytes(r.content)) for r in files.archive_files(spark, str(tmp_path / "tars")).collect()} == {("r/a.py", b"x = 1"), ("r/b/c.txt", b"")}
+    main = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
+    with zipfile.ZipFile(tmp_path / "notes.xlsx", "w") as book:
+        book.writestr("xl/sharedStrings.xml", f'<sst xmlns="{main}"><si><t>name</t></si><si><t>point</t></si><si><t>steps</t></si><si><t>test_a</t></si></sst>')
+        head = "".join(f'<c r="{c}1" t="s"><v>{i}</v></c>' for i, c in enumerate("ABC"))
+        book.writestr("xl/worksheets/sheet1.xml", f'<worksheet xmlns="{main}"><sheetData><row>{head}</row><row><c r="A2" t="s"><v>3</v></c><c r="C2" t="inlineStr"><is><t>go</t></is></c></row></sheetData></worksheet>')
+    assert [tuple(r) for r in files.test_notes(spark, str(tmp_path / "notes.xlsx"), "name", "point", "steps").collect()] == [("test_a", "", "go")]
+    rows_ = spark.range(100).selectExpr("id", "repeat('x', 10) text")
+    assert sinks.save_shards(rows_, str(tmp_path / "shards"), "text", "id", 300) == 4
+    assert sorted(p.name for p in (tmp_path / "shards").glob("*.parquet")) == [f"train-{i:05d}-of-00004.parquet" for i in range(4)]
+    assert spark.read.parquet(str(tmp_path / "shards")).count() == 100

@@ -24,7 +24,13 @@ SPANS = "array<struct<tag:string,value:string,start:int,end:int>>"
 EMAIL = r"(?<![\w.+@%-])([\w.+%-]+@[\w-]+(?:\.[\w-]+)*\.[A-Za-z]{2,})(?![\w@-])"
 IPV4 = r"(?<![\d.])((?:\d{1,3}\.){3}\d{1,3})(?![\d.])"
 IPV6 = r"(?<![0-9A-Fa-f:.])((?:[0-9A-Fa-f]{1,4}:){2,7}[0-9A-Fa-f]{1,4}|(?:[0-9A-Fa-f]{1,4}:){1,7}:|(?:[0-9A-Fa-f]{1,4}:){1,6}:[0-9A-Fa-f]{1,4}|::[0-9A-Fa-f]{1,4})(?![0-9A-Fa-f:.])"
-DATES = (r"\d{4}\.\d{1,2}\.\d{1,2}\.\d{1,2}", r"\d{1,2}\.\d{1,2}\.\d{4}")
+DATES = (
+    r"(?:^|[\b\s@?,!;:\'\")(.\p{Han}])([1-2][0-9]{3}[\p{Pd}/][1-2][0-9]{3})(?:$|[\s@,?!;:\'\"(.\p{Han}])",
+    r"(?:^|[\b\s@?,!;:\'\")(.\p{Han}])([1-2][0-9]{3}[\p{Pd}/.][0-3][0-9][\p{Pd}/.][0-3][0-9])(?:$|[\s@,?!;:\'\"(.\p{Han}])",
+    r"(?:^|[\b\s@?,!;:\'\")(.\p{Han}])([0-3][0-9][\p{Pd}/.][0-3][0-9][\p{Pd}/.](?:[0-9]{2}|[1-2][0-9]{3}))(?:$|[\s@,?!;:\'\"(.\p{Han}])",
+    r"(?:^|[\b\s@?,!;:\'\")(.\p{Han}])([0-3][0-9][\p{Pd}/](?:[0-9]{2}|[1-2][0-9]{3}))(?:$|[\s@,?!;:\'\"(.\p{Han}])",
+    r"(?:^|[\b\s@?,!;:\'\")(.\p{Han}])([1-2][0-9]{3}-[0-3][0-9])(?:$|[\s@,?!;:\'\"(.\p{Han}])",
+)
 PROVIDER_KEYS = (
     r"\b((?:AKIA|ASIA)[0-9A-Z]{16})\b",
     r"\b(gh[pousr]_[A-Za-z0-9]{36,})\b",
@@ -70,7 +76,7 @@ def ip_spans(text: str) -> list[tuple[str, str, int, int]]:
                 ipaddress.ip_address(value)
             except ValueError:
                 continue
-            if not any(c.isdigit() for c in value) or any(d.fullmatch(value) for d in _DATES):
+            if not any(c.isdigit() for c in value) or any(d.match(value) for d in _DATES):
                 continue
             if value.count(".") == 3 and len(value) == 7:
                 around = text[max(0, start - 100) : end + 100].lower()

@@ -90,10 +90,11 @@ def jaccard_matches(docs: DataFrame, needles: DataFrame, threshold: float = 0.5,
     common = right.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count("*").alias("df"))
 
     def prefixes(side: DataFrame) -> DataFrame:
-        rows = side.select("id", F.size("tokens").alias("n"), F.explode("tokens").alias("token")).join(common, "token", "left")
-        ordered = rows.groupBy("id").agg(F.max("n").alias("n"), F.array_sort(F.collect_list(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "token"))).alias("all"))
-        size = (F.col("n") - F.ceil(F.col("n") * threshold) + 1).cast("int")
-        return ordered.select("id", F.explode(F.slice("all", F.lit(1), size)).alias("p")).select("id", "p.token")
+        # tokens that no benchmark text has come first in the order and never meet, so they need no rows
+        rows = side.select("id", F.size("tokens").alias("n"), F.explode("tokens").alias("token")).join(common, "token")
+        ordered = rows.groupBy("id").agg(F.max("n").alias("n"), F.array_sort(F.collect_list(F.struct("df", "token"))).alias("all"))
+        size = F.col("n") - F.ceil(F.col("n") * threshold) + 1 - (F.col("n") - F.size("all"))
+        return ordered.select("id", F.explode(F.slice("all", F.lit(1), F.greatest(size, F.lit(0)).cast("int"))).alias("p")).select("id", "p.token")
 
     pairs = prefixes(left).join(prefixes(right).withColumnRenamed("id", "item"), "token").select("id", "item").distinct()
     full = pairs.join(left, "id").join(right.select(F.col("id").alias("item"), F.col("tokens").alias("others")), "item")

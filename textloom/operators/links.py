@@ -2,56 +2,121 @@
 
 Each row of a list is first compared with the list's most central row, which ties a group
 of copies together by as many pairs as it has rows; only rows that components still keep
-apart are paired.
+apart are then looked at pair by pair, where they lie, and only pairs that sizes and parity
+maps allow leave the list to be verified.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textloom.operators.components import connected_components
 from textloom.session import Workspace
 
-#: Rounds in which lists are tied to a central row before their remaining pairs are compared.
+#: Rounds in which lists are tied to a central row before their remaining pairs are looked at.
 ROUNDS = 2
+#: Rows of a list that are looked at together; longer lists are cut into chunks, each pair of which is looked at.
+CHUNK = 1024
+
+
+def parity_map(elements: np.ndarray) -> bytes:
+    """For each of some classes of 64-bit hashes whether a set has an odd number of them: about two bits an element, a power of two.
+
+    Each element that only one of two sets has flips one bit, so maps never differ in more
+    bits than there are such elements. Halving a map by exclusive or gives the smaller one.
+    """
+    bits = 1 << max(6, (2 * len(elements)).bit_length())
+    counts = np.bincount((elements & np.uint64(bits - 1)).astype(np.int64), minlength=bits)
+    return np.packbits((counts & 1).astype(np.uint8)).tobytes()
 
 
 def central_pairs(lists: DataFrame, turn: int) -> DataFrame:
-    """Pairs (x, m, y, n) of each list's most central row with the list's other rows of other components, with their sizes.
+    """Pairs (x, y), their sizes (m, n) and unshared elements (k, l), of each list's most central row with its rows of other components.
 
     lists: list, row_key, size, own, component. The row with the smallest share of elements
     of its own is central in the first turn; in later ones any row may be, by a hash.
     """
     order = F.col("own") / F.greatest("size", F.lit(1)) if turn == 0 else F.xxhash64(F.lit(turn), "list", "row_key").cast("double")
-    centre = lists.groupBy("list").agg(F.min_by(F.struct("row_key", "size", "component"), F.struct(order, "row_key")).alias("c"))
+    centre = lists.groupBy("list").agg(F.min_by(F.struct("row_key", "size", "own", "component"), F.struct(order, "row_key")).alias("c"))
     met = lists.join(centre, "list").where("c.component <> component")
-    return met.select(F.col("c.row_key").alias("x"), F.col("c.size").alias("m"), F.col("row_key").alias("y"), F.col("size").alias("n"))
+    return met.select(F.col("c.row_key").alias("x"), F.col("c.size").alias("m"), F.col("c.own").alias("k"), F.col("row_key").alias("y"), F.col("size").alias("n"), F.col("own").alias("l"))
 
 
-def remaining_pairs(lists: DataFrame) -> DataFrame:
-    """All pairs (x, m, y, n) of rows of one list whose components differ, with their sizes."""
-    other = lists.select("list", F.col("row_key").alias("x"), F.col("size").alias("m"), F.col("component").alias("c"))
-    met = lists.withColumnRenamed("row_key", "y").withColumnRenamed("size", "n").join(other, "list").where("y > x and c <> component")
-    return met.select("x", "m", "y", "n")
+def remaining_pairs(lists: DataFrame, shared: int, of: int) -> DataFrame:
+    """Distinct pairs a < b of rows of one list whose components differ and which may be alike by sizes and parity maps.
+
+    Rows are gathered CHUNK at a time at most: of a longer list every two chunks meet.
+    """
+    sizes = lists.groupBy("list").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("_m"))
+    rows = lists.join(sizes, "list").withColumn("_k", F.pmod(F.xxhash64("row_key"), F.col("_m")).cast("int"))
+    rows = rows.withColumn("_j", F.explode(F.sequence(F.lit(0), F.col("_m") - 1)))
+    rows = rows.groupBy("list", F.least("_k", "_j").alias("i"), F.greatest("_k", "_j").alias("j")).agg(F.collect_list(F.struct("row_key", "size", "own", "component", "map", F.col("_k").alias("chunk"))).alias("rows"))
+
+    def paired(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [np.zeros((2, 0), np.int64)]
+            for first, second, rows in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+                flat = rows.values
+                key, size, own, component, chunk = (flat.field(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("row_key", "size", "own", "component", "chunk"))
+                found.append(_possible(key, size, own, component, flat.field("map"), chunk if first != second else None, shared, of))
+            a, b = np.concatenate(found, axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+
+    return rows.where(F.size("rows") > 1).select("i", "j", "rows").mapInArrow(paired, "a long, b long").distinct()
+
+
+def _possible(key: np.ndarray, size: np.ndarray, own: np.ndarray, component: np.ndarray, maps: pa.Array, chunk: np.ndarray | None, shared: int, of: int) -> np.ndarray:
+    """The pairs of keys that may be alike: alike sets differ in at most (of - shared) / (of + shared) of both sizes.
+
+    Elements of their own count as differences, and so do the bits in which maps differ.
+    """
+    i, j = np.nonzero(np.triu(component[:, None] != component[None, :], 1) if chunk is None else (component[:, None] != component[None, :]) & (chunk[:, None] < chunk[None, :]))
+    most = (of - shared) * (size[i] + size[j]) // (of + shared)
+    least = own[i] + own[j] + np.abs((size[i] - own[i]) - (size[j] - own[j]))
+    keep = least <= most
+    i, j, most = i[keep], j[keep], most[keep]
+    if len(i) and not maps.null_count:
+        data = [np.frombuffer(m.as_buffer(), np.uint8) for m in maps]
+        width = np.array([len(m) for m in data])
+        for w in np.unique(np.minimum(width[i], width[j])):
+            mine = np.flatnonzero(np.minimum(width[i], width[j]) == w)
+            used = np.unique(np.concatenate((i[mine], j[mine])))
+            folded = np.zeros((len(key), w), np.uint8)
+            for r in used:
+                folded[r] = np.bitwise_xor.reduce(data[r].reshape(-1, w), axis=0)
+            for at in range(0, len(mine), 1 << 14):
+                some = mine[at : at + (1 << 14)]
+                differ = np.bitwise_count(folded[i[some]] ^ folded[j[some]]).sum(axis=1, dtype=np.int64)
+                most[some] -= own[i[some]] + own[j[some]] + differ
+        keep = most >= 0
+        i, j = i[keep], j[keep]
+    return np.stack((key[i], key[j]))
 
 
 def linked(postings: DataFrame, verified: Callable[[DataFrame], DataFrame], shared: int, of: int, rounds: int = ROUNDS) -> tuple[DataFrame, DataFrame]:
     """Verified pairs (a < b) whose components are those of all alike pairs that some list holds, and node, component.
 
-    postings: list, row_key, size, own. Alike sets have shared/of of their union in common,
-    so the smaller is at least that part of the larger; verified keeps the alike ones of
-    distinct pairs (a, b).
+    postings: list, row_key, size, own (elements in no other set) and map (parity_map of the
+    others, or null). Alike sets have shared/of of their union in common; verified keeps the
+    alike ones of distinct pairs (a, b). Of lists that hold the same rows one is looked at.
     """
     work = Workspace(postings.sparkSession, "links")
-    often = postings.groupBy("list").agg(F.count("*").alias("n")).where("n > 1").select("list")
-    postings = work.keep(postings.join(often, "list"), "postings")
+    h = [F.bit_xor(F.xxhash64(F.lit(s), "row_key")).alias(f"h{s}") for s in (1, 2)]
+    often = postings.groupBy("list").agg(F.count("*").alias("n"), *h).where("n > 1").groupBy("n", "h1", "h2").agg(F.min("list").alias("list"))
+    postings = work.keep(postings.join(often.select("list"), "list"), "postings", compression="zstd")
     lists, links, done = postings.withColumn("component", F.col("row_key")), None, None
     for turn in range(rounds + 1):
-        met = central_pairs(lists, turn) if turn < rounds else remaining_pairs(lists)
-        pairs = met.where(F.least("m", "n") * of >= F.greatest("m", "n") * shared).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+        if turn < rounds:
+            met = central_pairs(lists, turn)
+            fits = (F.col("k") + F.col("l") + F.abs(F.col("m") - F.col("k") - F.col("n") + F.col("l"))) * (of + shared) <= (F.col("m") + F.col("n")) * (of - shared)
+            pairs = met.where(fits).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+        else:
+            pairs = remaining_pairs(lists, shared, of)
         pairs = work.keep(pairs if done is None else pairs.join(done, ["a", "b"], "left_anti"), "pairs")
         done = pairs if done is None else done.unionByName(pairs)
         found = verified(pairs).select("a", "b")
@@ -60,5 +125,5 @@ def linked(postings: DataFrame, verified: Callable[[DataFrame], DataFrame], shar
         if turn < rounds:
             named = postings.join(components.withColumnRenamed("node", "row_key"), "row_key", "left").withColumn("component", F.coalesce("component", "row_key"))
             apart = named.groupBy("list").agg((F.min("component") < F.max("component")).alias("apart")).where("apart").select("list")
-            lists = work.keep(named.join(apart, "list"), "lists")
+            lists = work.keep(named.join(apart, "list"), "lists", compression="zstd")
     return links, components

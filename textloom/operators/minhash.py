@@ -86,6 +86,20 @@ def grams_of(text: str | None, ngram: int, least: int = 0) -> set[str]:
     return {joined[starts[i] : e] for i, e in enumerate(ends[ngram - 1 :])}
 
 
+def gram_rows(docs: DataFrame, ngram: int = 5, least: int = 0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """id, gram: the distinct grams of each document, one row each."""
+
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                some = batch.slice(at, 256)
+                found = [list(grams_of(t, ngram, least)) for t in some.column(1).to_pylist()]
+                owner = np.repeat(np.arange(len(found)), [len(f) for f in found])
+                yield pa.RecordBatch.from_arrays([some.column(0).take(pa.array(owner)), pa.array([g for f in found for g in f], pa.string())], names=[id_col, "gram"])
+
+    return spread(docs.select(F.col(id_col).cast("long").alias(id_col), F.col(text_col).cast("string"))).mapInArrow(made, f"{id_col} long, gram string")
+
+
 def tokens_of(text: str | None) -> set[str]:
     """Distinct pieces of a text without empty ones."""
     return {p for p in _BREAK.split(text or "") if p}
@@ -154,7 +168,7 @@ def near_links(found: DataFrame, shared: int = 4, of: int = 5, id_col: str = "do
     Documents with equal sets of grams are linked too. Ids are unique and not null.
     """
     long_ = found.where("size > 0").select(F.col(id_col).alias("row_key"), "size", F.lit(0).alias("own"), F.posexplode("keys").alias("band", "key"))
-    postings = long_.select(F.struct("band", "key").alias("list"), "row_key", "size", "own")
+    postings = long_.select(F.struct("band", "key").alias("list"), "row_key", "size", "own", F.lit(None).cast("binary").alias("map"))
     return linked(postings, lambda pairs: verified_pairs(pairs, found, shared, of, id_col), shared, of)
 
 

@@ -242,7 +242,7 @@ _H32 = "('0x' || substr(h, 7, 2) || substr(h, 5, 2) || substr(h, 3, 2) || substr
 
 @query(f"select doc_id, gram from ({_GRAMS})")
 def shingles(spark, sf_dir):
-    return wide(spark, sf_dir).select("doc_id", F.explode(T.shingles(T.pieces("text"), 5)).alias("gram"))
+    return minhash.gram_rows(docs(spark, sf_dir))
 
 
 @query(f"select doc_id, {_H32} hash from (select doc_id, sha1(text) h from documents)")

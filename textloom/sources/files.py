@@ -2,6 +2,13 @@
 
 from __future__ import annotations
 
+import io
+import tarfile
+import zipfile
+from collections.abc import Iterator
+from xml.etree import ElementTree
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -46,6 +53,71 @@ def repositories(files: DataFrame) -> DataFrame:
     return files.withColumns({"department": F.try_element_at(parts, F.lit(1)), "repo": F.try_element_at(parts, F.lit(2))}).where(F.size(parts) > 2)
 
 
+def projects(files: DataFrame, root: str) -> DataFrame:
+    """files (path below root) with project, their folder right below root, and department, the second to last part of root."""
+    parts = root.rstrip("/").split("/")
+    placed = files.where(F.size(T.path_parts("path")) > 1)
+    return placed.withColumns({"project": F.element_at(T.path_parts("path"), 1), "department": F.lit(parts[-2] if len(parts) > 1 else None).cast("string")})
+
+
+def origin_of(config: Column | str) -> Column:
+    """Where a repository comes from, by its .git/config: the first url, without user and password; empty without one."""
+    url = F.trim(F.regexp_extract(T.col(config), r"(?m)^\s*url[^=\n]*=([^=\n]*)", 1))
+    return F.regexp_replace(url, r"^(\w+://)[^/@]*@", "$1")
+
+
+def branch_of(head: Column | str) -> Column:
+    """The branch that .git/HEAD names; empty if it names a revision."""
+    return F.regexp_extract(T.col(head), r"(?m)^ref[^/\n]*/[^/\n]*/([^/\s]+)", 1)
+
+
+def revision_of(ref: Column | str) -> Column:
+    """The first seven characters of a branch's revision."""
+    return F.substring(F.trim(T.col(ref)), 1, 7)
+
+
+def archive_files(spark: SparkSession, path: str) -> DataFrame:
+    """archive, path, content of the regular files in tar archives (plain, gzip, bzip2, xz), read by the executors."""
+
+    def unpacked(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for archive, data in zip(frame.path, frame.content):
+                with tarfile.open(fileobj=io.BytesIO(data)) as tar:
+                    for member in tar:
+                        if member.isfile():
+                            yield pd.DataFrame({"archive": [archive], "path": [member.name], "content": [tar.extractfile(member).read()]})
+
+    raw = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "content")
+    return raw.mapInPandas(unpacked, "archive string, path string, content binary")
+
+
+_SHEET = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
+
+
+def sheet_rows(path: str, sheet: int = 1) -> list[dict[str, str]]:
+    """The rows of one sheet of an Excel workbook under the names of its first row; empty cells are empty strings."""
+    with zipfile.ZipFile(path) as book:
+        shared = []
+        if "xl/sharedStrings.xml" in book.namelist():
+            shared = ["".join(t.text or "" for t in item.iter(f"{_SHEET}t")) for item in ElementTree.fromstring(book.read("xl/sharedStrings.xml"))]
+        rows = []
+        for row in ElementTree.fromstring(book.read(f"xl/worksheets/sheet{sheet}.xml")).iter(f"{_SHEET}row"):
+            cells = {}
+            for cell in row:
+                column = cell.get("r", "").rstrip("0123456789")
+                text = "".join(t.text or "" for t in cell.iter() if t.tag in (f"{_SHEET}v", f"{_SHEET}t"))
+                cells[column] = shared[int(text)] if cell.get("t") == "s" else text
+            rows.append(cells)
+    head = rows[0] if rows else {}
+    return [{name: cells.get(column, "") for column, name in head.items()} for cells in rows[1:]]
+
+
+def test_notes(spark: SparkSession, path: str, name: str, point: str, steps: str) -> DataFrame:
+    """name, test_point, test_steps of a workbook of notes on tests, which is read once by the driver; the last note of a name counts."""
+    notes = {r[name]: (r[name], r[point], r[steps]) for r in sheet_rows(path)}
+    return spark.createDataFrame(list(notes.values()), "name string, test_point string, test_steps string")
+
+
 def with_language(files: DataFrame, languages: DataFrame, other: str = "other") -> DataFrame:
     """files with lang by extension, case as written; languages: lang, extension (one row an extension)."""
     return files.join(languages.select("extension", "lang"), "extension", "left").withColumn("lang", F.coalesce("lang", F.lit(other)))

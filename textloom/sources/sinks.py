@@ -16,12 +16,17 @@ def save(df: DataFrame, path: str, kind: str = "parquet", by: list[str] | None =
     (writer.partitionBy(*by) if by else writer).format(kind).save(path)
 
 
-def save_shards(df: DataFrame, path: str, text_col: str, order: str, shard_bytes: int = SHARD_BYTES) -> int:
-    """Parquet shards of about shard_bytes of text each, contiguous in the given order; returns how many."""
+def save_shards(df: DataFrame, path: str, text_col: str, order: str, shard_bytes: int = SHARD_BYTES, name: str = "train") -> int:
+    """Parquet shards of about shard_bytes of text each, contiguous in the given order, named train-00000-of-00004; returns how many."""
     size = df.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
-    n = int(size // shard_bytes) + 1
-    df.repartitionByRange(n, order).write.mode("overwrite").parquet(path)
-    return n
+    df.repartitionByRange(int(size // shard_bytes) + 1, order).write.mode("overwrite").parquet(path)
+    spark = df.sparkSession
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    parts = sorted((s.getPath() for s in fs.listStatus(at) if s.getPath().getName().startswith("part-")), key=lambda p: p.getName())
+    for i, part in enumerate(parts):
+        fs.rename(part, spark.sparkContext._jvm.org.apache.hadoop.fs.Path(at, f"{name}-{i:05d}-of-{len(parts):05d}.parquet"))
+    return len(parts)
 
 
 def sized_groups(df: DataFrame, size_col: str, order: str, most: int) -> DataFrame:
