@@ -70,5 +70,12 @@ def test_left_out_example_is_not_its_own_neighbour(spark):
     where = "/root/testdata/sf0.001"
     model = toxicity.fit(spark.read.parquet(f"{where}/documents.parquet"), spark.read.parquet(f"{where}/labels.parquet"))
     own = [(model.term[a:b], model.value[a:b]) for a, b in zip(model.starts[:-1], model.starts[1:])]
-    for i, (places, _) in enumerate(model.nearest(own, 5, list(range(len(own))))):
-        assert i not in places and len(places) >= 5
+    rows = np.zeros((len(own), len(model.terms)))
+    for i, (t, w) in enumerate(own):
+        rows[i, t] = w
+    cosines = rows @ rows.T
+    np.fill_diagonal(cosines, 0)
+    for i, (places, found) in enumerate(model.nearest(own, 5, list(range(len(own))))):
+        kth = np.sort(cosines[i])[-5]
+        assert set(places.tolist()) == set(np.flatnonzero((cosines[i] > 0) & (cosines[i] >= kth - 1e-9)).tolist())
+        assert np.allclose(found, cosines[i][places])

@@ -34,8 +34,8 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: whether its label is held out, its score, and the label the score predicts."""
     docs = documents(spark, sf_dir)
-    model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    scored = toxicity.score(docs.select("doc_id", "text"), model)
+    model, counted = toxicity.fit_counted(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    scored = toxicity.score_counted(counted, model)
     return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 

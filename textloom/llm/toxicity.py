@@ -10,7 +10,9 @@ probability by an isotonic fit to votes that leave each example itself out.
 
 from __future__ import annotations
 
+import gc
 import math
+import threading
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -23,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
 
 from textloom.llm.common import free_name, text_bytes
+from textloom.session import Workspace
 
 EXAMPLES = 20_000
 NEIGHBOURS = 25
@@ -30,12 +33,14 @@ BLOCK = 64
 #: Terms in most examples, whose weights are multiplied as a matrix; texts compared at once; centres that order the examples.
 DENSE, TOGETHER, GATHERED = 768, 256, 160
 #: How many blocks are opened for a first k-th cosine, and for a better one.
-FIRST = (6, 24)
+FIRST = (24,)
 #: The share of labels that smooth a term's odds, the squared deviation that scales its weight to about a half, and the least one counted.
 SMOOTH, HALF, LEAST = 5.0, 30.0, 0.1
 _OTHERS = r"[^\p{L}]+"
 #: Rows and bytes of text that are cut into words at once, about.
-ROWS, TEXT = 4096, 32 << 20
+ROWS, TEXT = 2048, 8 << 20
+#: Examples whose rows are weighed at once; seconds that an idle worker keeps the model.
+PART, IDLE = 1024, 1.0
 
 
 def words_of(texts: pa.Array) -> pa.Array:
@@ -91,9 +96,12 @@ class Blocks:
         most = np.argsort(-have, kind="stable")[:DENSE]
         self.column = np.full(terms, -1, np.int32)
         self.column[most] = np.arange(len(most))
-        common = self.column[term] >= 0
         held = np.zeros((n, len(most)), np.float32)
-        held[rows[common], self.column[term[common]]] = value[common]
+        for at in range(0, n, PART):
+            cut = slice(starts[at], starts[min(at + PART, n)])
+            column = self.column[term[cut]]
+            common = column >= 0
+            held[rows[cut][common], column[common]] = value[cut][common]
         self.centres, self.order = self._together(held)
         self.place = np.empty(n, np.int32)
         self.place[self.order] = np.arange(n)
@@ -104,7 +112,7 @@ class Blocks:
             self.dense[b, :, : len(mine)] = held[mine].T
         del held
         self.most = np.ascontiguousarray(self.dense.max(axis=2).T) if n else np.zeros((len(most), 0), np.float32)
-        rare = np.flatnonzero(~common)
+        rare = np.flatnonzero(self.column[term] < 0).astype(np.int32)
         rare = rare[np.argsort(term[rare], kind="stable")]
         self.first = np.concatenate(([0], np.cumsum(np.where(self.column < 0, have, 0))))
         self.ids, self.weights = self.place[rows[rare]], value[rare]
@@ -219,15 +227,18 @@ class Model:
     _ready: dict = field(default_factory=dict, repr=False)
 
     def __getstate__(self):
-        """Compressed, since every machine keeps a copy on disk: terms as text, rows as steps between ascending terms."""
+        """Compressed, since every machine keeps a copy on disk: terms as lengths and bytes, rows as steps between ascending terms."""
         state = {k: v for k, v in self.__dict__.items() if k not in ("_ready", "terms", "term", "times")}
-        steps = np.diff(self.term, prepend=0).astype(np.int32)
-        planes = steps.view(np.uint8).reshape(-1, 4).T.tobytes()
-        return state | {"_packed": [zlib.compress(x, 1) for x in ("\n".join(self.terms.to_pylist()).encode(), planes, self.times.tobytes())]}
+        text, ends = text_bytes(self.terms)
+        steps = np.diff(self.term, prepend=np.int32(0)).astype(np.int32)
+        parts = (text, np.diff(ends).astype(np.int32), steps.view(np.uint8).reshape(-1, 4).T, self.times)
+        return state | {"_packed": [zlib.compress(x.tobytes(), 1) for x in parts]}
 
     def __setstate__(self, state):
-        terms, planes, times = map(zlib.decompress, state.pop("_packed"))
-        self.__dict__ |= state | {"_ready": {}, "terms": pa.array(terms.decode().split("\n") if terms else [], pa.large_string())}
+        text, sizes, planes, times = map(zlib.decompress, state.pop("_packed"))
+        ends = np.concatenate(([0], np.cumsum(np.frombuffer(sizes, np.int32), dtype=np.int64)))
+        terms = pa.Array.from_buffers(pa.large_string(), len(ends) - 1, [None, pa.py_buffer(ends), pa.py_buffer(text)])
+        self.__dict__ |= state | {"_ready": {"copy": True}, "terms": terms}
         steps = np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(4, -1).T).view(np.int32)[:, 0] if planes else np.zeros(0, np.int32)
         self.term, self.times = np.cumsum(steps, dtype=np.int32), np.frombuffer(times, np.int32)
 
@@ -241,7 +252,9 @@ class Model:
 
     def vectors(self, texts: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
         """Each text's terms and their weights, of length one; empty if it has none of them."""
-        term, times, starts = self.counts(texts)
+        return self.weighed(*self.counts(texts))
+
+    def weighed(self, term: np.ndarray, times: np.ndarray, starts: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
         made = (1 + np.log(times)) * self.weight[term]
         square = np.concatenate(([0], np.cumsum(made * made)))
         length = np.sqrt(np.maximum(np.diff(square[starts]), 1e-300))
@@ -250,17 +263,24 @@ class Model:
 
     @property
     def value(self) -> np.ndarray:
-        """The weights of the examples' rows."""
+        """The weights of the examples' rows, made a part at a time."""
         if "value" not in self._ready:
-            made = ((1 + np.log(self.times)) * self.weight[self.term]) if len(self.term) else np.zeros(0)
-            length = np.sqrt(np.add.reduceat(made * made, self.starts[:-1])) if len(made) else np.zeros(0)
-            self._ready["value"] = (made / np.repeat(length, np.diff(self.starts))).astype(np.float32)
+            out, rows = np.empty(len(self.term), np.float32), len(self.starts) - 1
+            for at in range(0, rows, PART):
+                starts = self.starts[at : min(at + PART, rows) + 1]
+                cut = slice(starts[0], starts[-1])
+                made = (1 + np.log(self.times[cut])) * self.weight[self.term[cut]]
+                length = np.sqrt(np.add.reduceat(made * made, starts[:-1] - starts[0]))
+                out[cut] = made / np.repeat(length, np.diff(starts))
+            self._ready["value"] = out
         return self._ready["value"]
 
     @property
     def index(self) -> "Blocks":
         if "index" not in self._ready:
             self._ready["index"] = Blocks(self.starts, self.term, self.value, len(self.terms))
+            if "copy" in self._ready:  # an executor's, which needs the times no more
+                self.times = None
         return self._ready["index"]
 
     def nearest(self, vectors: list[tuple[np.ndarray, np.ndarray]], k: int, leave: list[int] | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -349,9 +369,32 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = EXAMPLES, id_col: str =
     Driver memory is bounded by `most` examples' terms. Without examples of both labels
     every score is the share of toxic ones (0.5 without any).
     """
+    return fit_counted(docs, labels, most=most, id_col=id_col, text_col=text_col)[0]
+
+
+def _packed(values: np.ndarray, starts: np.ndarray) -> pa.Array:
+    """Rows of 32-bit numbers as binary values."""
+    return pa.Array.from_buffers(pa.large_binary(), len(starts) - 1, [None, pa.py_buffer(starts.astype(np.int64) * 4), pa.py_buffer(values.astype("<i4"))]).cast(pa.binary())
+
+
+def _unpacked(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    data, at = text_bytes(column)
+    return data.view("<i4"), at // 4
+
+
+def fit_counted(
+    docs: DataFrame, labels: DataFrame, keep: str | None = None, most: int = EXAMPLES, id_col: str = "doc_id", text_col: str = "text"
+) -> tuple[Model, DataFrame]:
+    """The model of fit(), and the terms of every text as it needs them: doc_id, row (the column `keep`), t and n.
+
+    Texts are cut into words once; frequencies, examples and score_counted() all read this
+    written table.
+    """
+    work = Workspace(docs.sparkSession, "toxicity")
     chosen = F.broadcast(examples(labels, most))  # `most` rows of two numbers
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    known = texts.join(chosen, "doc_id").select("doc_id", "text", "toxic")
+    row = (F.col(f"`{keep}`") if keep else F.lit(None)).cast("long").alias("row")
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), row, F.col(text_col).cast("string").alias("text"))
+    known = texts.select("doc_id", "text").join(chosen, "doc_id").select("doc_id", "text", "toxic")
 
     def by_term(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -378,29 +421,28 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = EXAMPLES, id_col: str =
     none = np.zeros(0, np.int32)
     model = Model(terms, np.ones(len(terms)), np.zeros(1, np.int64), none, none, none, none, (0, 0))
 
+    def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for some in slices(batch, 2):
+                term, times, starts = model.counts(some.column(2))
+                yield pa.RecordBatch.from_arrays([some.column(0), some.column(1), _packed(term, starts), _packed(times, starts)], names=["doc_id", "row", "t", "n"])
+
+    counted = work.keep(texts.mapInArrow(counts, "doc_id long, row long, t binary, n binary"), "counted", compression="zstd")
+
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n = np.zeros(len(model.terms) + 1, np.int64)
         for batch in batches:
-            for some in slices(batch, 0):
-                np.add.at(n, model.counts(some.column(0))[0], 1)
-                n[-1] += some.num_rows
+            np.add.at(n, _unpacked(batch.column(0))[0], 1)
+            n[-1] += batch.num_rows
         some = np.flatnonzero(n)
         yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(n[some])], names=["term", "n"])
 
     df = np.zeros(len(terms) + 1)
     if len(terms):
-        made = texts.select("text").mapInArrow(frequencies, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+        made = counted.select("t").mapInArrow(frequencies, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
         df[made["term"].to_numpy()] = made["n"].to_numpy()
     model.weight = (np.log((1 + df[-1]) / (1 + df[:-1])) + 1) * told
-
-    def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for some in slices(batch, 1):
-                term, times, starts = model.counts(some.column(1))
-                made = [[x[a:b].astype(np.int32).tobytes() for a, b in zip(starts[:-1], starts[1:])] for x in (term, times)]
-                yield pa.RecordBatch.from_arrays([some.column(0), some.column(2), *(pa.array(x, pa.binary()) for x in made)], names=["doc_id", "toxic", "t", "n"])
-
-    held = known.mapInArrow(vectors, "doc_id long, toxic int, t binary, n binary").toArrow()
+    held = counted.join(chosen, "doc_id").select("doc_id", "toxic", "t", "n").toArrow()
     held = held.take(pc.sort_indices(held, [("doc_id", "ascending"), ("toxic", "ascending")]))
     ids, toxic = held["doc_id"].to_numpy(), held["toxic"].to_numpy().astype(np.int32)
     size = pc.binary_length(held["t"]).to_numpy().astype(np.int64) // 4
@@ -413,13 +455,13 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = EXAMPLES, id_col: str =
         shared = docs.sparkSession.sparkContext.broadcast(model)
 
         def left_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            mine = shared.value
-            for batch in batches:
-                for at in range(0, batch.num_rows, ROWS):
-                    places = batch.column(0).slice(at, ROWS).to_pylist()
-                    cuts = [slice(mine.starts[i], mine.starts[i + 1]) for i in places]
-                    found = mine.votes([(mine.term[c], mine.value[c]) for c in cuts], places)
-                    yield pa.RecordBatch.from_arrays([pa.array(places, pa.int64()), pa.array(found, pa.float64())], names=["place", "vote"])
+            with _Lent(shared) as mine:
+                for batch in batches:
+                    for at in range(0, batch.num_rows, ROWS):
+                        places = batch.column(0).slice(at, ROWS).to_pylist()
+                        cuts = [slice(mine.starts[i], mine.starts[i + 1]) for i in places]
+                        found = mine.votes([(mine.term[c], mine.value[c]) for c in cuts], places)
+                        yield pa.RecordBatch.from_arrays([pa.array(places, pa.int64()), pa.array(found, pa.float64())], names=["place", "vote"])
 
         voted = docs.sparkSession.range(len(model.toxic)).mapInArrow(left_out, "place long, vote double").toArrow()
         shared.destroy()
@@ -428,7 +470,37 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = EXAMPLES, id_col: str =
         near = ~np.isnan(x)
         model.steps = centred(*isotonic(x[near], model.toxic[near].astype(float), np.ones(int(near.sum()))))
         model._ready.clear()
-    return model
+    return model, counted
+
+
+_TIMERS: dict[int, threading.Timer] = {}
+
+
+class _Lent:
+    """A broadcast model for the time of a task; a worker that gets no other task for IDLE seconds lets it go.
+
+    Else the model would stay in every idle Python worker for as long as the job runs.
+    """
+
+    def __init__(self, shared):
+        self.shared = shared
+
+    def __enter__(self) -> Model:
+        timer = _TIMERS.pop(id(self.shared), None)
+        if timer:
+            timer.cancel()
+        return self.shared.value
+
+    def __exit__(self, *_) -> None:
+        timer = _TIMERS[id(self.shared)] = threading.Timer(IDLE, _let_go, (self.shared,))
+        timer.daemon = True
+        timer.start()
+
+
+def _let_go(shared) -> None:
+    shared.__dict__.pop("_value", None)
+    gc.collect()
+    pa.default_memory_pool().release_unused()
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", out: str = "score", evidence: str | None = None) -> DataFrame:
@@ -447,13 +519,28 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", out: str = "sco
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mine = shared.value
-        for whole in batches:
-            for batch in slices(whole, 0):
-                made = mine.vectors(batch.column(0))
-                columns = [*batch.columns[1:], pa.array(mine.scores(made), pa.float64())]
-                if evidence:
-                    columns.append(pa.array(mine.evidence(made), kind))
-                yield pa.RecordBatch.from_arrays(columns, names=[*kept, out, *([evidence] if evidence else [])])
+        with _Lent(shared) as mine:
+            for whole in batches:
+                for batch in slices(whole, 0):
+                    made = mine.vectors(batch.column(0))
+                    columns = [*batch.columns[1:], pa.array(mine.scores(made), pa.float64())]
+                    if evidence:
+                        columns.append(pa.array(mine.evidence(made), kind))
+                    yield pa.RecordBatch.from_arrays(columns, names=[*kept, out, *([evidence] if evidence else [])])
 
     return docs.select(F.col(text_col).cast("string").alias(free_name(docs, "_text")), *columns).mapInArrow(scored, schema)
+
+
+def score_counted(counted: DataFrame, model: Model) -> DataFrame:
+    """doc_id, row and score of each text of fit_counted()'s table: what score() gives, without cutting texts again."""
+    shared = counted.sparkSession.sparkContext.broadcast(model)
+
+    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        with _Lent(shared) as mine:
+            for whole in batches:
+                for batch in (whole.slice(at, ROWS) for at in range(0, whole.num_rows, ROWS)):
+                    (term, starts), (times, _) = _unpacked(batch.column(2)), _unpacked(batch.column(3))
+                    found = mine.scores(mine.weighed(term, times, starts))
+                    yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.float64())], names=["doc_id", "row", "score"])
+
+    return counted.select("doc_id", "row", "t", "n").mapInArrow(scored, "doc_id long, row long, score double")
