@@ -35,16 +35,32 @@ def parity_map(elements: np.ndarray) -> bytes:
     return np.packbits((counts & 1).astype(np.uint8)).tobytes()
 
 
-def central_pairs(lists: DataFrame, turn: int) -> DataFrame:
-    """Pairs (x, y), their sizes (m, n) and unshared elements (k, l), of each list's most central row with its rows of other components.
+def central_pairs(lists: DataFrame, turn: int, shared: int, of: int) -> DataFrame:
+    """Distinct pairs a < b of each list's most central row with its rows of other components that may be alike by sizes and parity maps.
 
-    lists: list, row_key, size, own, component. The row with the smallest share of elements
-    of its own is central in the first turn; in later ones any row may be, by a hash.
+    lists: list, row_key, size, own, component, map. The row with the smallest share of
+    elements of its own is central in the first turn; in later ones any row may be, by a hash.
     """
     order = F.col("own") / F.greatest("size", F.lit(1)) if turn == 0 else F.xxhash64(F.lit(turn), "list", "row_key").cast("double")
-    centre = lists.groupBy("list").agg(F.min_by(F.struct("row_key", "size", "own", "component"), F.struct(order, "row_key")).alias("c"))
+    centre = lists.groupBy("list").agg(F.min_by(F.struct("row_key", "size", "own", "component", "map"), F.struct(order, "row_key")).alias("c"))
     met = lists.join(centre, "list").where("c.component <> component")
-    return met.select(F.col("c.row_key").alias("x"), F.col("c.size").alias("m"), F.col("c.own").alias("k"), F.col("row_key").alias("y"), F.col("size").alias("n"), F.col("own").alias("l"))
+    most = F.floor((F.col("c.size") + F.col("size")) * (of - shared) / (of + shared)) - F.col("c.own") - F.col("own")
+    met = met.select(F.least("c.row_key", "row_key").alias("a"), F.greatest("c.row_key", "row_key").alias("b"), most.cast("long").alias("most"), F.col("c.map").alias("x"), F.col("map").alias("y"), F.abs(F.col("c.size") - F.col("c.own") - F.col("size") + F.col("own")).alias("least"))
+    met = met.where("least <= most")
+
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = [x is None or y is None or _differ(x, y) <= most for most, x, y in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4)))]
+            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+
+    return met.select("a", "b", "most", "x", "y").mapInArrow(near, "a long, b long").distinct()
+
+
+def _differ(x: bytes, y: bytes) -> int:
+    """In how many bits two parity maps differ, the larger halved to the smaller."""
+    width = min(len(x), len(y))
+    x, y = (np.bitwise_xor.reduce(np.frombuffer(m, np.uint8).reshape(-1, width), axis=0) for m in (x, y))
+    return int(np.bitwise_count(x ^ y).sum())
 
 
 def remaining_pairs(lists: DataFrame, shared: int, of: int) -> DataFrame:
@@ -111,12 +127,7 @@ def linked(postings: DataFrame, verified: Callable[[DataFrame], DataFrame], shar
     postings = work.keep(postings.join(often.select("list"), "list"), "postings", compression="zstd")
     lists, links, done = postings.withColumn("component", F.col("row_key")), None, None
     for turn in range(rounds + 1):
-        if turn < rounds:
-            met = central_pairs(lists, turn)
-            fits = (F.col("k") + F.col("l") + F.abs(F.col("m") - F.col("k") - F.col("n") + F.col("l"))) * (of + shared) <= (F.col("m") + F.col("n")) * (of - shared)
-            pairs = met.where(fits).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-        else:
-            pairs = remaining_pairs(lists, shared, of)
+        pairs = central_pairs(lists, turn, shared, of) if turn < rounds else remaining_pairs(lists, shared, of)
         pairs = work.keep(pairs if done is None else pairs.join(done, ["a", "b"], "left_anti"), "pairs")
         done = pairs if done is None else done.unionByName(pairs)
         found = verified(pairs).select("a", "b")
@@ -125,5 +136,8 @@ def linked(postings: DataFrame, verified: Callable[[DataFrame], DataFrame], shar
         if turn < rounds:
             named = postings.join(components.withColumnRenamed("node", "row_key"), "row_key", "left").withColumn("component", F.coalesce("component", "row_key"))
             apart = named.groupBy("list").agg((F.min("component") < F.max("component")).alias("apart")).where("apart").select("list")
-            lists = work.keep(named.join(apart, "list"), "lists", compression="zstd")
+            before, lists = lists, work.keep(named.join(apart, "list"), "lists", compression="zstd")
+            if turn:
+                work.drop(before)
+    work.drop(postings)
     return links, components
