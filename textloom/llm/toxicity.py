@@ -32,6 +32,8 @@ NEIGHBOURS = 25
 BLOCK = 64
 #: Terms in most examples, whose weights are multiplied as a matrix; texts compared at once; centres that order the examples.
 DENSE, TOGETHER, GATHERED = 768, 256, 160
+#: Of them, those by which examples are told alike.
+GATHERED_BY = 256
 #: How many blocks are opened for a first k-th cosine, and for a better one.
 FIRST = (24,)
 #: The share of labels that smooth a term's odds, the squared deviation that scales its weight to about a half, and the least one counted.
@@ -91,31 +93,38 @@ class Blocks:
 
     def __init__(self, starts: np.ndarray, term: np.ndarray, value: np.ndarray, terms: int):
         n = len(starts) - 1
-        rows = np.repeat(np.arange(n, dtype=np.int32), np.diff(starts))
         have = np.bincount(term, minlength=terms)
         most = np.argsort(-have, kind="stable")[:DENSE]
         self.column = np.full(terms, -1, np.int32)
         self.column[most] = np.arange(len(most))
-        held = np.zeros((n, len(most)), np.float32)
-        for at in range(0, n, PART):
-            cut = slice(starts[at], starts[min(at + PART, n)])
-            column = self.column[term[cut]]
-            common = column >= 0
-            held[rows[cut][common], column[common]] = value[cut][common]
+
+        def common(cut: slice, upto: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            """Rows, columns and weights of the frequent terms, of the first `upto` of them, in some examples."""
+            column = self.column[term[starts[cut.start] : starts[cut.stop]]]
+            some = np.flatnonzero((column >= 0) & (column < upto))
+            row = np.repeat(np.arange(cut.start, cut.stop), np.diff(starts[cut.start : cut.stop + 1]))
+            return row[some], column[some], value[starts[cut.start] : starts[cut.stop]][some]
+
+        parts = [slice(at, min(at + PART, n)) for at in range(0, n, PART)]
+        held = np.zeros((n, min(GATHERED_BY, len(most))), np.float32)
+        for cut in parts:
+            row, column, weight = common(cut, held.shape[1])
+            held[row, column] = weight
         self.centres, self.order = self._together(held)
+        del held
         self.place = np.empty(n, np.int32)
         self.place[self.order] = np.arange(n)
         self.blocks = -(-n // BLOCK)
         self.dense = np.zeros((self.blocks, len(most), BLOCK), np.float32)
-        for b in range(self.blocks):
-            mine = self.order[b * BLOCK : (b + 1) * BLOCK]
-            self.dense[b, :, : len(mine)] = held[mine].T
-        del held
+        for cut in parts:
+            row, column, weight = common(cut, len(most))
+            at = self.place[row]
+            self.dense[at // BLOCK, column, at % BLOCK] = weight
         self.most = np.ascontiguousarray(self.dense.max(axis=2).T) if n else np.zeros((len(most), 0), np.float32)
-        rare = np.flatnonzero(self.column[term] < 0).astype(np.int32)
+        rare = np.concatenate([starts[cut.start] + np.flatnonzero(self.column[term[starts[cut.start] : starts[cut.stop]]] < 0) for cut in parts] or [[]]).astype(np.int32)
         rare = rare[np.argsort(term[rare], kind="stable")]
         self.first = np.concatenate(([0], np.cumsum(np.where(self.column < 0, have, 0))))
-        self.ids, self.weights = self.place[rows[rare]], value[rare]
+        self.ids, self.weights = self.place[np.searchsorted(starts, rare, "right") - 1], value[rare]
 
     @staticmethod
     def _together(held: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -150,7 +159,7 @@ class Blocks:
             common = at >= 0
             asked[i, at[common]] = w[common]
             rare.append((t[~common], w[~common]))
-        order = np.argsort((asked @ self.centres.T).argmax(axis=1), kind="stable")
+        order = np.argsort((asked[:, : self.centres.shape[1]] @ self.centres.T).argmax(axis=1), kind="stable")
         out: list[np.ndarray] = [self.order] * len(vectors)
         for at in range(0, len(order), TOGETHER):
             some = order[at : at + TOGETHER]
@@ -240,7 +249,7 @@ class Model:
         terms = pa.Array.from_buffers(pa.large_string(), len(ends) - 1, [None, pa.py_buffer(ends), pa.py_buffer(text)])
         self.__dict__ |= state | {"_ready": {"copy": True}, "terms": terms}
         steps = np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(4, -1).T).view(np.int32)[:, 0] if planes else np.zeros(0, np.int32)
-        self.term, self.times = np.cumsum(steps, dtype=np.int32), np.frombuffer(times, np.int32)
+        self.term, self.times = np.cumsum(steps, dtype=np.int32, out=steps), np.frombuffer(times, np.int32)
 
     def counts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The terms of each text, ascending, how often each occurs, and where each text's terms start (one more at the end)."""
@@ -278,9 +287,10 @@ class Model:
     @property
     def index(self) -> "Blocks":
         if "index" not in self._ready:
-            self._ready["index"] = Blocks(self.starts, self.term, self.value, len(self.terms))
+            value = self.value
             if "copy" in self._ready:  # an executor's, which needs the times no more
                 self.times = None
+            self._ready["index"] = Blocks(self.starts, self.term, value, len(self.terms))
         return self._ready["index"]
 
     def nearest(self, vectors: list[tuple[np.ndarray, np.ndarray]], k: int, leave: list[int] | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -369,7 +379,9 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = EXAMPLES, id_col: str =
     Driver memory is bounded by `most` examples' terms. Without examples of both labels
     every score is the share of toxic ones (0.5 without any).
     """
-    return fit_counted(docs, labels, most=most, id_col=id_col, text_col=text_col)[0]
+    model, counted = fit_counted(docs, labels, most=most, id_col=id_col, text_col=text_col)
+    Workspace(docs.sparkSession, "toxicity").drop(counted)
+    return model
 
 
 def _packed(values: np.ndarray, starts: np.ndarray) -> pa.Array:
