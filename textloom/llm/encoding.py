@@ -50,6 +50,7 @@ def _byte_letters() -> dict[int, str]:
 
 
 _LETTERS = _byte_letters()
+_SPACE = _LETTERS[0x20]
 
 
 class Memo(dict):
@@ -85,8 +86,10 @@ class Encoder:
 
         self.whole = Tokenizer.from_file(path)
         added = self.whole.get_added_tokens_decoder().values()
-        self._added = regex.compile("|".join(regex.escape(t.content) for t in added) or "(?!)", regex.IGNORECASE if any(t.normalized for t in added) else 0)
+        self._added = tuple(t.content for t in added if not t.normalized)
+        self._added_lower = tuple(t.content.lower() for t in added if t.normalized)  # found in normalised texts
         self.model = self.whole.model
+        self._tokenize = self.model.tokenize
         self.words = self.model.end_of_word_suffix is not None
         self.dtype = np.dtype("<u2" if self.whole.get_vocab_size() <= 1 << 16 else "<u4")
         self._pieces = regex.compile(WORD_PIECES if self.words else BYTE_PIECES)
@@ -133,7 +136,10 @@ class Encoder:
         return np.array(self.whole.encode(text, add_special_tokens=False).offsets, np.int64).reshape(-1, 2)
 
     def _holds_added(self, text: str) -> bool:
-        return self._added.search(text) is not None
+        for content in self._added:
+            if content in text:
+                return True
+        return bool(self._added_lower) and any(content in text.lower() for content in self._added_lower)
 
     def _word_ids(self, chunk: str) -> bytes:
         if not chunk:
@@ -142,13 +148,16 @@ class Encoder:
             return array(self._code, self.whole.encode(chunk, add_special_tokens=False).ids).tobytes()
         chunk = chunk.lower()
         if chunk.isalpha():
-            return self._merged(chunk)
+            return array(self._code, [t.id for t in self._tokenize(chunk)]).tobytes() if chunk.isascii() else self._merged(chunk)
         pieces = self._pieces.findall(chunk)
         return self._merged(chunk) if pieces == [chunk] else b"".join(map(self._get, pieces))
 
     def _chunk_ids(self, chunk: str) -> bytes | None:
         """Ids of a chunk that is one piece, or of its pieces, each of which is a chunk too."""
-        if chunk[1:].isalpha() and (chunk[0] == " " or chunk[0].isalpha()):
+        rest = chunk[1:]
+        if rest.isalpha() and (chunk[0] == " " or chunk[0].isalpha()):
+            if chunk.isascii():  # letters stand for themselves
+                return array(self._code, [t.id for t in self._tokenize(_SPACE + rest if chunk[0] == " " else chunk)]).tobytes()
             return self._merged(chunk)
         if _doubtful(chunk):
             return None
@@ -159,7 +168,7 @@ class Encoder:
         return array(self._code, [t.id for t in self._tokens(piece)]).tobytes()
 
     def _tokens(self, piece: str):
-        return self.model.tokenize(piece.encode().decode("latin-1").translate(_LETTERS))
+        return self._tokenize(piece.encode().decode("latin-1").translate(_LETTERS))
 
     def _chunk_spans(self, chunk: str) -> bytes | None:
         if _doubtful(chunk) or len(chunk) > 60_000:
