@@ -48,7 +48,7 @@ def _pack(batches: Iterator[pa.RecordBatch], window: int, most: int) -> Iterator
         kinds = (pa.int64(), pa.list_(pa.int64()), pa.binary(), pa.int64(), pa.binary())
         return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(row, kinds)], names=["block", "doc_ids", "lengths", "n_windows", "payload"])
 
-    for batch in batches:
+    for batch in (whole.slice(at, 512) for whole in batches for at in range(0, whole.num_rows, 512)):
         counts = word_counts(batch.column(1)).tolist()
         for key, text, n in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.large_binary()).to_pylist(), counts):
             ids.append(key)
@@ -85,9 +85,9 @@ def opened(batches: Iterator[pa.RecordBatch]):
             yield key, _texts(lengths, payload), ids, *replies
 
 
-def range_bits(entries: int) -> int:
-    """How many leading bits number the ranges of so many entries."""
-    return min(30, max(0, (max(1, entries) // RANGE_ENTRIES).bit_length()))
+def range_bits(entries: int, each: int | None = None) -> int:
+    """How many leading bits number the ranges of so many entries, `each` in one."""
+    return min(30, max(0, (max(1, entries) // (each or RANGE_ENTRIES)).bit_length()))
 
 
 def ranges(top: np.ndarray, bits: int, leading: int) -> list[tuple[int, slice]]:
