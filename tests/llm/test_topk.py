@@ -35,3 +35,19 @@ def test_top_k_against_brute_force(spark, monkeypatch):
 def test_scores_are_exact_where_doubles_are_not():
     a = np.array([[(1 << 30) + 1, 3]], np.int64)
     assert topk_search.scores(a, a).tolist() == [[((1 << 30) + 1) ** 2 + 9]]
+
+
+def test_blocks_and_what_the_driver_holds_are_bounded(spark, monkeypatch):
+    """Of vectors of any length a row is at most a block, and the queries' intervals are never broadcast."""
+    rng = np.random.default_rng(3)
+    rows = [(i, rng.normal(0, 0.3, 512).tolist()) for i in range(300)] + [(300, [-32.0] * 512), (301, [40.0] * 512), (302, [6e4] + [0.1] * 511)]
+    docs = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(1)
+    kept = topk_search.blocks(docs, 4096).collect()
+    assert sorted(i for b in kept for i in b.ids) == list(range(303))
+    assert max(len(b.numbers) for b in kept) <= topk_search.BLOCK_BYTES
+    assert sum(len(b.numbers) for b in kept) < 303 * 512 * 8
+    monkeypatch.setattr(topk_search, "BLOCK_BYTES", 512 * 8 * 7)
+    monkeypatch.setattr(topk_search, "GROUP_BYTES", 512 * 8 * 20)
+    found = topk_search.search(docs, "vec_id % 50 = 0 or vec_id = 301")
+    assert "BroadcastExchange" not in found._jdf.queryExecution().executedPlan().toString()
+    assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in found.collect()) == plain(rows, 10, lambda q: q % 50 == 0 or q == 301)
