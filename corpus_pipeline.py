@@ -39,6 +39,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model, counted = toxicity.fit_counted(rows, spark.read.parquet(f"{sf_dir}/labels.parquet"), keep=row)
     bad = toxicity.score_counted(counted, model).where(F.col("score") >= REJECTED_FROM)
     kept = _without(rows, row, bad.select(F.col("row").alias(row)), work)
+    model.release()
     work.drop(counted)
     return kept
 

@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -94,3 +95,14 @@ def test_joins_beyond_the_broadcast_bound_give_the_same(spark, monkeypatch):
     expected = sorted(r.doc_id for r in corpus_pipeline.drop_copies(spark, docs, "").collect())
     monkeypatch.setattr(corpus_pipeline, "BROADCAST_ROWS", 0)
     assert expected == list(range(2, 60, 3)) == sorted(r.doc_id for r in corpus_pipeline.drop_copies(spark, docs, "").collect())
+
+
+def test_the_toxicity_stage_sends_its_model_once_and_leaves_none_behind(spark, monkeypatch):
+    made, ended = [], []
+    send, end = type(spark.sparkContext).broadcast, Broadcast.destroy
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", lambda self, value: made.append(send(self, value)) or made[-1])
+    monkeypatch.setattr(Broadcast, "destroy", lambda self, blocking=False: ended.append(self) or end(self, blocking))
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    kept = corpus_pipeline.drop_toxic(spark, docs, "/root/testdata/sf0.001")
+    assert len(made) == 1 and ended == made
+    assert 0 < kept.count() < docs.count()

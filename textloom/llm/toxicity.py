@@ -15,12 +15,12 @@ import math
 import threading
 import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
 
@@ -239,9 +239,11 @@ class Model:
         """Compressed, since every machine keeps a copy on disk: terms as lengths and bytes, rows as steps between ascending terms."""
         state = {k: v for k, v in self.__dict__.items() if k not in ("_ready", "terms", "term", "times")}
         text, ends = text_bytes(self.terms)
-        steps = np.diff(self.term, prepend=np.int32(0)).astype(np.int32)
+        steps = np.empty(len(self.term), np.int32)
+        steps[:1] = self.term[:1]
+        np.subtract(self.term[1:], self.term[:-1], out=steps[1:])
         parts = (text, np.diff(ends).astype(np.int32), steps.view(np.uint8).reshape(-1, 4).T, self.times)
-        return state | {"_packed": [zlib.compress(x.tobytes(), 1) for x in parts]}
+        return state | {"_packed": [zlib.compress(np.ascontiguousarray(x), 1) for x in parts]}
 
     def __setstate__(self, state):
         text, sizes, planes, times = map(zlib.decompress, state.pop("_packed"))
@@ -251,6 +253,20 @@ class Model:
         steps = np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(4, -1).T).view(np.int32)[:, 0] if planes else np.zeros(0, np.int32)
         self.term, self.times = np.cumsum(steps, dtype=np.int32, out=steps), np.frombuffer(times, np.int32)
 
+    def shared(self, spark: SparkSession):
+        """The one broadcast of the examples, without the calibration `steps`, until released."""
+        app, held = self._ready.get("shared", (None, None))
+        if app != spark.sparkContext.applicationId:
+            held = spark.sparkContext.broadcast(replace(self, steps=None, _ready={}))
+            self._ready["shared"] = spark.sparkContext.applicationId, held
+        return held
+
+    def release(self) -> None:
+        """Remove that broadcast from all machines, once nothing lazy still scores."""
+        _, held = self._ready.pop("shared", (None, None))
+        if held is not None:
+            held.destroy()
+
     def counts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The terms of each text, ascending, how often each occurs, and where each text's terms start (one more at the end)."""
         words = words_of(texts)
@@ -394,6 +410,16 @@ def _unpacked(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data.view("<i4"), at // 4
 
 
+def _joined(column: pa.ChunkedArray) -> np.ndarray:
+    """All numbers of a column of _packed() rows."""
+    out, at = np.empty(int(pc.sum(pc.binary_length(column)).as_py() or 0) // 4, np.int32), 0
+    for chunk in column.chunks:
+        some = text_bytes(chunk)[0].view("<i4")
+        out[at : at + len(some)] = some
+        at += len(some)
+    return out
+
+
 def fit_counted(
     docs: DataFrame, labels: DataFrame, keep: str | None = None, most: int = EXAMPLES, id_col: str = "doc_id", text_col: str = "text"
 ) -> tuple[Model, DataFrame]:
@@ -403,7 +429,8 @@ def fit_counted(
     written table.
     """
     work = Workspace(docs.sparkSession, "toxicity")
-    chosen = F.broadcast(examples(labels, most))  # `most` rows of two numbers
+    learned = work.keep(examples(labels, most), "examples")
+    chosen = F.broadcast(learned)  # `most` rows of two numbers
     row = (F.col(f"`{keep}`") if keep else F.lit(None)).cast("long").alias("row")
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), row, F.col(text_col).cast("string").alias("text"))
     known = texts.select("doc_id", "text").join(chosen, "doc_id").select("doc_id", "text", "toxic")
@@ -455,16 +482,22 @@ def fit_counted(
         df[made["term"].to_numpy()] = made["n"].to_numpy()
     model.weight = (np.log((1 + df[-1]) / (1 + df[:-1])) + 1) * told
     held = counted.join(chosen, "doc_id").select("doc_id", "toxic", "t", "n").toArrow()
-    held = held.take(pc.sort_indices(held, [("doc_id", "ascending"), ("toxic", "ascending")]))
+    order = pc.sort_indices(held, [("doc_id", "ascending"), ("toxic", "ascending")])
+    for at, name in enumerate(held.column_names):  # one column twice at a time
+        held = held.set_column(at, name, held[name].take(order))
     ids, toxic = held["doc_id"].to_numpy(), held["toxic"].to_numpy().astype(np.int32)
     size = pc.binary_length(held["t"]).to_numpy().astype(np.int64) // 4
     model.bare = int((size == 0).sum()), int(toxic[size == 0].sum())
     model.ids, model.toxic, model.starts = ids[size > 0], toxic[size > 0], np.concatenate(([0], np.cumsum(size[size > 0])))
-    model.term, model.times = (np.concatenate([text_bytes(x)[0] for x in held[c].chunks] or [none.view(np.uint8)]).view(np.int32) for c in ("t", "n"))
+    model.term = _joined(held["t"])
+    held = held.drop_columns(["t"])
+    model.times = _joined(held["n"])
     del held
+    pa.default_memory_pool().release_unused()
+    work.drop(learned)
     if good and bad:
         # each example's vote without itself, by the executors
-        shared = docs.sparkSession.sparkContext.broadcast(model)
+        shared = model.shared(docs.sparkSession)
 
         def left_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             with _Lent(shared) as mine:
@@ -476,12 +509,10 @@ def fit_counted(
                         yield pa.RecordBatch.from_arrays([pa.array(places, pa.int64()), pa.array(found, pa.float64())], names=["place", "vote"])
 
         voted = docs.sparkSession.range(len(model.toxic)).mapInArrow(left_out, "place long, vote double").toArrow()
-        shared.destroy()
         x = np.full(len(model.toxic), np.nan)
         x[voted["place"].to_numpy()] = voted["vote"].to_numpy()
         near = ~np.isnan(x)
         model.steps = centred(*isotonic(x[near], model.toxic[near].astype(float), np.ones(int(near.sum()))))
-        model._ready.clear()
     return model, counted
 
 
@@ -528,10 +559,11 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", out: str = "sco
     kind = pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64()), ("toxic", pa.int32())]))
     if evidence:
         schema = schema.add(evidence, ArrayType(StructType().add("doc_id", "long").add("cosine", "double").add("toxic", "integer")))
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared, steps = model.shared(docs.sparkSession), model.steps
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with _Lent(shared) as mine:
+            mine.steps = steps
             for whole in batches:
                 for batch in slices(whole, 0):
                     made = mine.vectors(batch.column(0))
@@ -545,10 +577,11 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", out: str = "sco
 
 def score_counted(counted: DataFrame, model: Model) -> DataFrame:
     """doc_id, row and score of each text of fit_counted()'s table: what score() gives, without cutting texts again."""
-    shared = counted.sparkSession.sparkContext.broadcast(model)
+    shared, steps = model.shared(counted.sparkSession), model.steps
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with _Lent(shared) as mine:
+            mine.steps = steps
             for whole in batches:
                 for batch in (whole.slice(at, ROWS) for at in range(0, whole.num_rows, ROWS)):
                     (term, starts), (times, _) = _unpacked(batch.column(2)), _unpacked(batch.column(3))
