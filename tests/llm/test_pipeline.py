@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tests.llm.test_rows import lowered, mark, reach
+from textloom.llm import near_copies
+from textloom.llm.simhash import shingle_hashes
 
 
 def alike(texts):
@@ -106,3 +108,27 @@ def test_the_toxicity_stage_sends_its_model_once_and_leaves_none_behind(spark, m
     kept = corpus_pipeline.drop_toxic(spark, docs, "/root/testdata/sf0.001")
     assert len(made) == 1 and ended == made
     assert 0 < kept.count() < docs.count()
+
+
+def test_near_copies_are_first_linked_by_simhash(spark, monkeypatch):
+    """Fingerprints at most two bits apart give the first links; the index of shingles adds the rest."""
+    rng = np.random.default_rng(6)
+    texts = ["", "  "]
+    for base in rng.integers(0, 3000, (10, 600)):
+        for changes in (0, 1, 1, 40):
+            words = base.copy()
+            words[rng.integers(0, 600, changes)] = rng.integers(3000, 6000, changes)
+            texts.append(" ".join(map(str, words)))
+    found, whole = [], near_copies.linked
+    monkeypatch.setattr(near_copies, "linked", lambda *a, known=None, **kw: found.extend(known.collect()) or whole(*a, known=known, **kw))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    kept = [r.doc_id for r in corpus_pipeline.drop_near_copies(spark, docs, "").collect()]
+    assert sorted(kept) == sorted(set(alike(texts)))
+    assert len(found) >= 5
+    lists = near_copies.shingle_sets(docs, "doc_id").select("row_key", "mark").collect()
+    for i, mark in ((r.row_key, r.mark) for r in lists):
+        shingles = set(shingle_hashes(texts[i].encode(), 5))
+        assert mark % 2**64 == sum((2 * sum(h >> b & 1 for h in shingles) > len(shingles)) << b for b in range(64))
+    marks = {r.row_key: r.mark % 2**64 for r in lists}
+    rows = sorted(marks)
+    assert any((marks[i] ^ marks[j]).bit_count() in (1, 2) for i in rows for j in rows)

@@ -1,6 +1,9 @@
-"""Near copies by exact Jaccard similarity of word shingles: inverted index with count filtering.
+"""Near copies by exact Jaccard similarity of word shingles: SimHash first, then an index of shingles.
 
-A similar pair shares a shingle among the first few of both sets, in any one order of all
+Sets whose SimHash fingerprints differ in few bits are found by the inverted index on
+positional bytes with count filtering (simhash.py) and compared whole. Most alike sets
+differ in more bits, and no number of shared bytes is certain for them, so an exact search
+follows among all rows that these links keep apart. A similar pair shares a shingle among the first few of both sets, in any one order of all
 shingles (prefix filter). The order here is rarest first, by estimates that all blocks of
 texts exchange once: unique shingles, the bulk of any corpus, come first and make no
 postings, and shared passages come last. What two sets share are shingles that are not
@@ -22,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textloom.llm.blocks import blocks_of, exchange, gaps, opened, range_bits, ranges, sent
-from textloom.llm.simhash import shingle_hashes
+from textloom.llm.simhash import BITS_APART, links, majority, shingle_hashes
 from textloom.llm.token_files import decode_segment, encode_segment
 from textloom.operators.links import linked, parity_map
 from textloom.session import Workspace
@@ -39,7 +42,7 @@ BROADCAST_PAIRS = 200_000
 #: Entries that one range handles, about.
 RANGE_ENTRIES = 1 << 19
 _ODD = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
-_SETS = "row_key long, size int, own int, digest binary, prefix array<long>, common binary, map binary"
+_SETS = "row_key long, size int, own int, digest binary, prefix array<long>, common binary, map binary, mark long"
 
 
 class _Shingles:
@@ -89,9 +92,9 @@ def _answered(reply: list | None) -> np.ndarray:
 
 
 def shingle_sets(docs: DataFrame, row_col: str, text_col: str = "text", work: Workspace | None = None) -> DataFrame:
-    """The sets that may have a partner: row_key, size, own (unique shingles), digest, prefix, common and map.
+    """The sets that may have a partner: row_key, size, own (unique shingles), digest, prefix, common, map and mark.
 
-    map is the parity map of common, which holds the hashes of the set's shingles not known to be unique,
+    mark is the SimHash fingerprint of the set, as a signed long, 0 for the empty set; map is the parity map of common, which holds the hashes of the set's shingles not known to be unique,
     ascending; prefix those among its first size - ceil(size * SHARED / OF) + 1 in the order
     of (estimate, hash). Sets without any of them have no partner and are left out; empty
     sets are kept, they equal each other.
@@ -115,20 +118,24 @@ def shingle_sets(docs: DataFrame, row_col: str, text_col: str = "text", work: Wo
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, texts, keys, reply in opened(batches):
-            mine, out = _Shingles(texts, bits), [[] for _ in range(7)]
+            mine, out = _Shingles(texts, bits), [[] for _ in range(8)]
             estimate = _answered(reply)[mine.entry]
-            for key, (n, cut) in zip(keys, mine.each()):
+            sizes = np.array(mine.sizes, np.int64)
+            marks = np.zeros(len(sizes), np.uint64)
+            if len(mine.hashes):
+                marks[sizes > 0] = majority(mine.hashes, sizes[sizes > 0])
+            for key, mark, (n, cut) in zip(keys, marks.view(np.int64).tolist(), mine.each()):
                 often, hashes = estimate[cut], mine.hashes[cut]
                 shared = np.flatnonzero(often > 1)
                 first = n - -(-n * SHARED // OF) + 1 - (n - len(shared))
                 if n and first <= 0:
                     continue
                 order = shared[np.argsort(often[shared], kind="stable")[: max(0, first)]]
-                row = key, n, n - len(shared), xxhash.xxh3_128_digest(hashes.tobytes()), hashes[order].view(np.int64), hashes[shared].tobytes(), parity_map(hashes[shared])
+                row = key, n, n - len(shared), xxhash.xxh3_128_digest(hashes.tobytes()), hashes[order].view(np.int64), hashes[shared].tobytes(), parity_map(hashes[shared]), mark
                 for column, value in zip(out, row):
                     column.append(value)
-            kinds = (pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.list_(pa.int64()), pa.binary(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, kinds)], names=["row_key", "size", "own", "digest", "prefix", "common", "map"])
+            kinds = (pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, kinds)], names=["row_key", "size", "own", "digest", "prefix", "common", "map", "mark"])
 
     replies = exchange(blocks, sketches, _estimates, work, "estimates")
     joined = blocks.join(replies.hint("shuffle_hash"), "block", "left")
@@ -154,6 +161,14 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return met.select("a", "b", "x", "y", "m", "n").mapInArrow(alike, "a long, b long")
 
 
+def marked_pairs(nodes: DataFrame, work: Workspace, apart: int = BITS_APART) -> DataFrame:
+    """Pairs a < b of rows whose fingerprints are equal, or tied by links of at most so many differing bits."""
+    marks = work.keep(nodes.groupBy("mark").agg(F.min("row_key").alias("first")), "marks")
+    same = nodes.join(marks, "mark").where("row_key <> first").select(F.col("first").alias("a"), F.col("row_key").alias("b"))
+    tied = links(marks.select("mark"), apart).join(marks.toDF("src", "x"), "src").join(marks.toDF("dst", "y"), "dst")
+    return same.unionByName(tied.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))).distinct()
+
+
 def near_copies(docs: DataFrame, row_col: str, text_col: str = "text") -> DataFrame:
     """row_key and component (the smallest row key reached) of each row that has a near copy.
 
@@ -169,7 +184,8 @@ def near_copies(docs: DataFrame, row_col: str, text_col: str = "text") -> DataFr
     members = work.keep(rows.select("row_key", "digest").join(named, "digest").select("row_key", "node"), "members")
     nodes = rows.join(named.select(F.col("node").alias("row_key")), "row_key", "left_semi")
     posted = nodes.select("row_key", "size", "own", "map", F.explode("prefix").alias("list"))
-    _, components = linked(posted, lambda pairs: verified(pairs, rows), SHARED, OF)
+    known = work.keep(verified(work.keep(marked_pairs(nodes.select("row_key", "mark"), work), "marked"), rows), "known")
+    _, components = linked(posted, lambda pairs: verified(pairs, rows), SHARED, OF, known=known)
     found = members.join(components, members.node == components.node, "left").select("row_key", members.node.alias("own"), F.coalesce("component", members.node).alias("component"))
     several = found.groupBy("component").agg((F.count("*") > 1).alias("several")).where("several").select("component")
     out = work.keep(found.join(several, "component").select("row_key", "component"), "out")

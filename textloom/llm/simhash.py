@@ -70,9 +70,13 @@ def shingle_hashes(text: bytes | None, shingle: int) -> list[int]:
 def _majority(held: list[list[int]]) -> np.ndarray:
     """The fingerprint of each list of hashes."""
     counts = np.array([len(x) for x in held], np.int64)
-    flat = np.fromiter((h for x in held for h in x), np.uint64, int(counts.sum()))
+    return majority(np.fromiter((h for x in held for h in x), np.uint64, int(counts.sum())), counts)
+
+
+def majority(flat: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The fingerprint of each run of so many hashes, one after another; a run has at least one."""
     at = np.concatenate(([0], np.cumsum(counts)))
-    ones = np.empty((len(held), 64), np.int64)
+    ones = np.empty((len(counts), 64), np.int64)
     for byte in range(8):
         bits = np.unpackbits(np.ascontiguousarray(flat.view(np.uint8).reshape(-1, 8)[:, byte : byte + 1]), axis=1, bitorder="little")
         ones[:, 8 * byte : 8 * byte + 8] = np.add.reduceat(bits, at[:-1], axis=0, dtype=np.int64)

@@ -114,18 +114,27 @@ def _possible(key: np.ndarray, size: np.ndarray, own: np.ndarray, component: np.
     return np.stack((key[i], key[j]))
 
 
-def linked(postings: DataFrame, verified: Callable[[DataFrame], DataFrame], shared: int, of: int, rounds: int = ROUNDS) -> tuple[DataFrame, DataFrame]:
+def linked(
+    postings: DataFrame, verified: Callable[[DataFrame], DataFrame], shared: int, of: int, rounds: int = ROUNDS, known: DataFrame | None = None
+) -> tuple[DataFrame, DataFrame]:
     """Verified pairs (a < b) whose components are those of all alike pairs that some list holds, and node, component.
 
     postings: list, row_key, size, own (elements in no other set) and map (parity_map of the
     others, or null). Alike sets have shared/of of their union in common; verified keeps the
     alike ones of distinct pairs (a, b). Of lists that hold the same rows one is looked at.
+    known: a written table of verified pairs, found otherwise, which count as links from the start.
     """
     work = Workspace(postings.sparkSession, "links")
     h = [F.bit_xor(F.xxhash64(F.lit(s), "row_key")).alias(f"h{s}") for s in (1, 2)]
     often = postings.groupBy("list").agg(F.count("*").alias("n"), *h).where("n > 1").groupBy("n", "h1", "h2").agg(F.min("list").alias("list"))
     postings = work.keep(postings.join(often.select("list"), "list"), "postings", compression="zstd")
-    lists, links, done = postings.withColumn("component", F.col("row_key")), None, None
+
+    def named(components: DataFrame) -> DataFrame:
+        return postings.join(components.withColumnRenamed("node", "row_key"), "row_key", "left").withColumn("component", F.coalesce("component", "row_key"))
+
+    lists, links, done = postings.withColumn("component", F.col("row_key")), known, known
+    if known is not None and not known.isEmpty():
+        lists = named(work.keep(connected_components(known, "a", "b"), "components"))
     for turn in range(rounds + 1):
         pairs = central_pairs(lists, turn, shared, of) if turn < rounds else remaining_pairs(lists, shared, of)
         pairs = work.keep(pairs if done is None else pairs.join(done, ["a", "b"], "left_anti"), "pairs")
@@ -134,9 +143,9 @@ def linked(postings: DataFrame, verified: Callable[[DataFrame], DataFrame], shar
         links = work.keep(found if links is None else links.unionByName(found), "links")
         components = work.keep(connected_components(links, "a", "b"), "components")
         if turn < rounds:
-            named = postings.join(components.withColumnRenamed("node", "row_key"), "row_key", "left").withColumn("component", F.coalesce("component", "row_key"))
-            apart = named.groupBy("list").agg((F.min("component") < F.max("component")).alias("apart")).where("apart").select("list")
-            before, lists = lists, work.keep(named.join(apart, "list"), "lists", compression="zstd")
+            placed = named(components)
+            apart = placed.groupBy("list").agg((F.min("component") < F.max("component")).alias("apart")).where("apart").select("list")
+            before, lists = lists, work.keep(placed.join(apart, "list"), "lists", compression="zstd")
             if turn:
                 work.drop(before)
     work.drop(postings)
