@@ -201,3 +201,19 @@ def test_evaluation_set(spark):
     assert 0 < len(found) <= 20 and len({r.filename for r in found}) <= 10 and len({r.answer for r in found}) == len(found)
     scores = evaluation.prompt_scores(rows.withColumn("same", F.col("answer")), "answer", ["same", "prompt"]).collect()
     assert {r.variant: r["mean"] for r in scores} == {"same": 100.0, "prompt": 0.0}
+
+
+def test_components_in_one_task_equal_those_of_rounds(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    edges = [(int(a), int(b)) for a, b in rng.integers(-300, 300, (250, 2))] + [(900 + i, 901 + i) for i in range(60)] + [(5000, 5000)]
+    table = spark.createDataFrame([*edges, (None, 1)], "src long, dst long").repartition(3)
+    label = {x: x for e in edges for x in e}
+    while any(label[a] != label[b] for a, b in edges):
+        for a, b in edges:
+            label[a] = label[b] = min(label[a], label[b])
+    asked = []
+    monkeypatch.setattr(components, "_large_star", lambda e, whole=components._large_star: asked.append(1) or whole(e))
+    assert {r.node: r.component for r in components.connected_components(table).collect()} == label and not asked
+    assert components.connected_components(table.where("src > 9999")).count() == 0
+    monkeypatch.setattr(components, "ONE_TASK", 0)
+    assert {r.node: r.component for r in components.connected_components(table).collect()} == label and asked
